@@ -29,7 +29,7 @@ def concat_text(*columns: str) -> Column:
 
 def strip(c: Column) -> Column:
     """Drop Unicode white space from both ends."""
-    return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(c, F.lit(fixed.WHITESPACE_CHARS))
 
 
 def clean_tags(c: str) -> Column:
@@ -41,7 +41,7 @@ def clean_tags(c: str) -> Column:
 
 def whitespace_words(c: Column) -> Column:
     """Number of white-space separated words."""
-    return F.regexp_count(c, F.lit(f"[^{WS}]+"))
+    return F.regexp_count(c, F.lit(f"[^{WS}]++"))
 
 
 def contains_question_mark(c: str) -> Column:
@@ -74,7 +74,7 @@ def action_density(c: str) -> Column:
 
 def readability_tokens(c: Column) -> Column:
     """Runs between white space and sentence marks: punctuation stays glued to its word."""
-    return F.regexp_extract_all(c, F.lit(f"[^.!?{WS}]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(f"[^.!?{WS}]++"), F.lit(0))
 
 
 def readability_sentences(c: Column) -> Column:
@@ -88,7 +88,7 @@ def split_sentences(c: Column) -> Column:
     return F.filter(parts, lambda s: s.rlike(f"[^{WS}]"))
 
 
-TOKEN_PATTERN = rf"[{WORD_CHAR}]+|[^{WORD_CHAR}{WS}]"
+TOKEN_PATTERN = rf"[{WORD_CHAR}]++|[^{WORD_CHAR}{WS}]"
 
 
 def word_tokens(c: Column) -> Column:
@@ -110,11 +110,6 @@ def word_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(whole(r"\p{L}+")))
 
 
-def mean_token_length(c: Column) -> Column:
-    """Tokens hold every character that is not white space."""
-    return ratio(F.length(F.regexp_replace(c, f"[{WS}]+", "")), token_count(c))
-
-
 def unique_fraction(c: Column) -> Column:
     """Distinct tokens over all tokens, 0 for an empty text."""
     return ratio(F.size(F.array_distinct(word_tokens(c))), token_count(c))
@@ -152,7 +147,7 @@ def clean_ascii(c: str | Column) -> Column:
     Arrow function; pure ASCII rows pass it as null and stay in the JVM.
     """
     low = F.lower(strip(text(c)))
-    foreign = low.rlike(r"[^\x00-\x7f]")
+    foreign = F.octet_length(low) != F.length(low)
     return F.when(foreign, _fold_to_ascii(F.when(foreign, low))).otherwise(low)
 
 

@@ -51,12 +51,11 @@ def readability(df: DataFrame, text: Column, row_id: str, lexicon: DataFrame, *k
     `keep` names small columns that depend on the row id; they ride along instead of
     being joined back.
     """
-    exploded = df.select(
-        row_id,
-        *keep,
-        T.readability_sentences(text).alias("sentences"),
-        F.explode_outer(T.readability_tokens(text)).alias("token"),
+    # Counted before the explode: beside it, the count would run once per token.
+    counted = df.select(
+        row_id, *keep, T.readability_sentences(text).alias("sentences"), T.readability_tokens(text).alias("tokens")
     )
+    exploded = counted.select(row_id, *keep, "sentences", F.explode_outer("tokens").alias("token"))
     return (
         with_syllables(exploded, lexicon)
         .groupBy(row_id)
@@ -69,30 +68,43 @@ def readability(df: DataFrame, text: Column, row_id: str, lexicon: DataFrame, *k
     )
 
 
-def report_columns(text: str) -> dict[str, Column]:
-    """The statistics that need nothing but the text itself."""
-    c = T.text(text)
-    return {
-        "told_said": T.token_usage(c, fixed.REPORTING_VERBS),
-        "but_and": T.token_usage(c, fixed.CONJUNCTIONS),
-        "wh_adverbs": T.token_usage(c, fixed.WH_ADVERBS),
-        "mean_token_length": T.mean_token_length(c),
-        "unique_fraction": T.unique_fraction(c),
-        "words": T.word_count(c),
-        "sentences": F.size(T.split_sentences(c)),
-    }
-
-
 def text_report(df: DataFrame, text: str, row_id: str, lexicon: DataFrame) -> DataFrame:
-    """Every statistic of a text in one row."""
-    columns = report_columns(text)
-    exploded = tokens(df.withColumns(columns), text, row_id, *columns)
-    return (
-        with_syllables(exploded, lexicon)
-        .groupBy(row_id)
-        .agg(
-            *[F.max(c).alias(c) for c in columns],
-            F.sum(F.col("syllables") * F.col("uses")).alias("syllables"),
-        )
-        .withColumn("flesch_score", T.flesch(F.col("sentences"), F.col("words"), F.col("syllables")))
+    """Every statistic of a text in one row.
+
+    What needs the text as a whole is taken before the explode; the rest are sums that
+    collapse to one row per text before the only shuffle.
+    """
+    split = df.select(
+        row_id, F.size(T.split_sentences(T.text(text))).alias("sentences"), T.word_tokens(T.text(text)).alias("tokens")
+    )
+    # Beside the explode this would run once per token.
+    counted = split.select("*", F.size(F.array_distinct("tokens")).alias("distinct"))
+    exploded = counted.select(row_id, "sentences", "distinct", F.explode_outer("tokens").alias("token"))
+    uses = F.col("uses")
+
+    def usage(words: list[str]) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("token").isin(*words), uses)), F.lit(0))
+
+    sums = with_syllables(exploded, lexicon).groupBy(row_id).agg(
+        usage(fixed.REPORTING_VERBS).alias("told_said"),
+        usage(fixed.CONJUNCTIONS).alias("but_and"),
+        usage(fixed.WH_ADVERBS).alias("wh_adverbs"),
+        F.coalesce(F.sum(F.length("token") * uses), F.lit(0)).alias("characters"),
+        F.coalesce(F.sum(F.when(F.col("token").isNotNull(), uses)), F.lit(0)).alias("tokens"),
+        F.max("distinct").alias("distinct"),
+        F.sum(F.col("syllables") * uses).alias("syllables"),
+        F.sum(F.col("alphabetic").cast("bigint") * uses).alias("words"),
+        F.max("sentences").alias("sentences"),
+    )
+    return sums.select(
+        row_id,
+        "told_said",
+        "but_and",
+        "wh_adverbs",
+        T.ratio(F.col("characters"), F.col("tokens")).alias("mean_token_length"),
+        T.ratio(F.col("distinct"), F.col("tokens")).alias("unique_fraction"),
+        "syllables",
+        "words",
+        "sentences",
+        T.flesch(F.col("sentences"), F.col("words"), F.col("syllables")).alias("flesch_score"),
     )

@@ -39,19 +39,20 @@ def mean_word_vector(
     """Mean vector of the known tokens per text; without any, zeros.
 
     One plain sum per dimension keeps the aggregate in fixed-width buffers, so a text's
-    tokens collapse to one row before the only shuffle. Texts without a known token
-    come in through a union of zero rows, not through a join.
+    tokens collapse to one row before the only shuffle. The left lookup keeps texts
+    without a known token, so no join back is needed.
     """
     dims = dims or vector_width(vectors)
-    known = word_vector_lookup(df, text, row_id, vectors, dims).select(
-        row_id, F.col("uses"), *[(F.col("vector")[i] * F.col("uses")).alias(f"v{i}") for i in range(dims)]
+    words = df.select(row_id, T.word_tokens(text).alias("words")).select(row_id, F.explode_outer("words").alias("word"))
+    found = lookup_words(words, vectors.select("word", "vector"), "left", BROADCAST_NUMBERS // dims)
+    known, uses = F.col("vector").isNotNull(), F.col("uses")
+    sums = found.groupBy(row_id).agg(
+        F.sum(F.when(known, uses)).alias("known"),
+        *[F.sum(F.col("vector")[i] * uses).alias(f"v{i}") for i in range(dims)],
     )
-    every = df.select(row_id, F.lit(0).cast("bigint").alias("uses"), *[F.lit(0.0).alias(f"v{i}") for i in range(dims)])
-    sums = known.unionByName(every).groupBy(row_id).agg(
-        F.sum("uses").alias("uses"), *[F.sum(f"v{i}").alias(f"v{i}") for i in range(dims)]
+    return sums.select(
+        row_id, F.array(*[F.coalesce(F.col(f"v{i}") / F.col("known"), F.lit(0.0)) for i in range(dims)]).alias("vector")
     )
-    count = F.greatest(F.col("uses"), F.lit(1))
-    return sums.select(row_id, F.array(*[F.col(f"v{i}") / count for i in range(dims)]).alias("vector"))
 
 
 def fit_svd(df: DataFrame, vector: str, components: int) -> np.ndarray:

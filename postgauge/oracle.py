@@ -374,4 +374,40 @@ SELECT DISTINCT key FROM (SELECT key FROM applied UNION ALL SELECT 'Question_qua
     "single_label": sql("edits", """
 SELECT u.Id, coalesce(v.value, 'Unlabeled') AS new_label FROM (SELECT DISTINCT Id FROM edits) u LEFT JOIN (
   SELECT Id, value FROM edits WHERE key = 'purchase' QUALIFY row_number() OVER (PARTITION BY Id ORDER BY ts DESC, event_id DESC) = 1) v ON u.Id = v.Id"""),
+    "read_posts_xml": sql("posts", """
+SELECT Id, PostTypeId::BIGINT AS PostTypeId, ParentId, Title, Body, Score::BIGINT AS Score, OwnerUserId, AcceptedAnswerId, ClosedDate, AnswerCount
+FROM posts"""),
+    "read_posts_csv": sql("posts", """
+SELECT Id, PostTypeId::BIGINT AS PostTypeId, ParentId, nullif(Title, '') AS Title, nullif(Body, '') AS Body, Score::BIGINT AS Score,
+  OwnerUserId, AcceptedAnswerId, ClosedDate, AnswerCount FROM posts WHERE PostTypeId = 1"""),
+    "write_posts_csv": sql("posts keyed", f"""
+SELECT Id, PostTypeId::BIGINT AS PostTypeId, ParentId, nullif(Title, '') AS Title, nullif(Body, '') AS Body, Score::BIGINT AS Score,
+  g AS OwnerUserId, AcceptedAnswerId, ClosedDate, AnswerCount,
+  CASE WHEN {SPLIT_HASH} < 'b3333333' THEN 'train' ELSE 'test' END AS side FROM keyed"""),
+    "structured_features": """
+WITH o AS (SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS price FROM orders),
+i AS (SELECT *, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM o)) AS filled FROM o),
+z AS (SELECT *, (filled - (SELECT avg(filled) FROM i)) / (SELECT stddev_pop(filled) FROM i) AS scaled FROM i)
+SELECT o_orderkey, 'structured_processing__' || slot AS slot, round(value, 6) AS value FROM (
+  SELECT o_orderkey, 'num__price' AS slot, scaled AS value FROM z
+  UNION ALL SELECT o_orderkey, 'cat__o_orderpriority_' || k.v, CASE WHEN o_orderpriority = k.v THEN 1.0::DOUBLE ELSE 0 END
+    FROM z CROSS JOIN (SELECT DISTINCT o_orderpriority AS v FROM orders) k
+  UNION ALL SELECT o_orderkey, 'cat__o_orderstatus_' || k.v, CASE WHEN o_orderstatus = k.v THEN 1.0::DOUBLE ELSE 0 END
+    FROM z CROSS JOIN (SELECT DISTINCT o_orderstatus AS v FROM orders) k
+  UNION ALL SELECT o_orderkey, 'date__o_orderdate_year', year(o_orderdate)::DOUBLE FROM z
+  UNION ALL SELECT o_orderkey, 'date__o_orderdate_month', month(o_orderdate)::DOUBLE FROM z
+  UNION ALL SELECT o_orderkey, 'date__o_orderdate_day', day(o_orderdate)::DOUBLE FROM z)""",
+    "knn_graph": """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, neighbor, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) AS rank, round(distance, 6) AS distance
+FROM d QUALIFY rank <= 15""",
+    "knn_graph_cosine": """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_cosine_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, neighbor, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) AS rank, round(distance, 6) AS distance
+FROM d QUALIFY rank <= 15""",
+    "save_model_metadata": sql("posts", """
+SELECT 'random_forest' AS model_type, 'quality_based' AS label_type, CAST(NULL AS DOUBLE) AS median_threshold, 1::BIGINT AS dated
+UNION ALL SELECT 'random_forest', 'score_based', CAST(quantile_cont(Score, 0.5) AS DOUBLE), 1 FROM posts"""),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +12,14 @@ from pyspark.sql import types as T
 from postgauge.functions import fixed
 from postgauge.functions import posts as P
 from postgauge.functions import text as X
-from postgauge.operators import annotate, distribution, evaluation, labeling, matching
-from postgauge.operators import quality, splitting, structured, textstats, vectors
+from postgauge.operators import annotate, distribution, evaluation, labeling, matching, models
+from postgauge.operators import neighbors, projection, quality, splitting, structured, textstats, vectors
+from postgauge.plans import post_map as maps
+from postgauge.plans import training
 from postgauge.sources import derived as D
-from postgauge.sources import post_files
+from postgauge.session import fresh_path, materialise, spread
+from postgauge.sources import model_files, post_files
+from postgauge.stages.post_features import PostFeatures, vector_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +56,33 @@ def read_posts_limited(spark, folder):
     return post_files.limit_posts(D.posts(spark, folder)).select("Id", "PostTypeId", "Score")
 
 
+@query
+def read_posts_xml(spark, folder):
+    """Posts written as XML rows and read back."""
+    posts, path = D.posts(spark, folder), fresh_path(spark, "posts_xml")
+    post_files.write_posts_xml(posts, path)
+    return post_files.read_posts_xml(spark, path, posts.columns)
+
+
+@query
+def read_posts_csv(spark, folder):
+    """Posts written as CSV and read back, questions only."""
+    posts, path = D.posts(spark, folder), fresh_path(spark, "posts_csv")
+    post_files.write_posts_csv(posts, path)
+    return post_files.read_posts_csv(spark, path, posts.columns, questions_only=True)
+
+
+@query
+def write_posts_csv(spark, folder):
+    """Both sides of a split written as CSV and read back together."""
+    path = fresh_path(spark, "split_csv")
+    train, test = splitting.split_by_group(D.posts(spark, folder))
+    post_files.write_posts_csv(train, f"{path}/train")
+    post_files.write_posts_csv(test, f"{path}/test")
+    sides = [post_files.read_posts_csv(spark, f"{path}/{s}", train.columns).withColumn("side", F.lit(s)) for s in ("train", "test")]
+    return sides[0].unionByName(sides[1])
+
+
 # --- projections and filters ----------------------------------------------
 
 @query
@@ -61,7 +93,8 @@ def normalize_group_key(spark, folder):
 
 @query
 def strip_html(spark, folder):
-    return D.table(spark, folder, "pages").select("page_id", X.strip_html("html").alias("text"))
+    pages = spread(D.table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    return pages.select("page_id", X.strip_html("html").alias("text"))
 
 
 @query
@@ -142,7 +175,7 @@ def answered_questions(spark, folder):
 @query
 def lexicon_lookup(spark, folder):
     found = textstats.with_syllables(
-        textstats.tokens(D.table(spark, folder, "documents"), "text", "doc_id"), D.lexicon(spark, folder)
+        textstats.tokens(D.documents(spark, folder), "text", "doc_id"), D.lexicon(spark, folder)
     )
     return found.where(F.col("token").isNotNull()).groupBy("token").agg(
         F.max("syllables").alias("syllables"), F.sum("uses").alias("uses")
@@ -151,9 +184,12 @@ def lexicon_lookup(spark, folder):
 
 @query
 def word_vector_lookup(spark, folder):
-    table = D.word_vectors(spark, folder)
     found = vectors.word_vector_lookup(
-        D.table(spark, folder, "documents"), X.text("text"), "doc_id", table, vectors.vector_width(table)
+        D.documents(spark, folder),
+        X.text("text"),
+        "doc_id",
+        D.word_vectors(spark, folder),
+        D.vector_width(spark, folder),
     )
     return found.groupBy("word").agg(
         F.sum("uses").alias("uses"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v)).alias("vector_sum")
@@ -227,7 +263,11 @@ def classification_report(spark, folder):
 @query
 def mean_word_vector(spark, folder):
     means = vectors.mean_word_vector(
-        D.table(spark, folder, "documents"), X.text("text"), "doc_id", D.word_vectors(spark, folder)
+        D.documents(spark, folder),
+        X.text("text"),
+        "doc_id",
+        D.word_vectors(spark, folder),
+        D.vector_width(spark, folder),
     )
     return long_form(means, "doc_id", "vector")
 
@@ -272,51 +312,47 @@ def quality_features(spark, folder):
 
 # --- text statistics ------------------------------------------------------
 
-def _documents(spark, folder):
-    return D.table(spark, folder, "documents").select("doc_id", "text")
-
-
 @query
 def clean_text_ascii(spark, folder):
-    return _documents(spark, folder).select("doc_id", X.clean_ascii("text").alias("text"))
+    return D.documents(spark, folder).select("doc_id", X.clean_ascii("text").alias("text"))
 
 
 @query
 def tokenize_sentences(spark, folder):
-    sentences = textstats.sentence_tokens(_documents(spark, folder), "text", "doc_id")
+    sentences = textstats.sentence_tokens(D.documents(spark, folder), "text", "doc_id")
     return sentences.select("doc_id", "sentence_no", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query
 def word_usage(spark, folder):
     words = fixed.CONJUNCTIONS + ["the", "que", "der"]
-    return _documents(spark, folder).select("doc_id", X.token_usage(X.text("text"), words).alias("uses"))
+    return D.documents(spark, folder).select("doc_id", X.token_usage(X.text("text"), words).alias("uses"))
 
 
 @query
 def unique_word_fraction(spark, folder):
-    return _documents(spark, folder).select("doc_id", X.unique_fraction(X.text("text")).alias("unique_fraction"))
+    return D.documents(spark, folder).select("doc_id", X.unique_fraction(X.text("text")).alias("unique_fraction"))
 
 
 @query
 def syllable_count(spark, folder):
-    return textstats.syllable_count(_documents(spark, folder), "text", "doc_id", D.lexicon(spark, folder))
+    return textstats.syllable_count(D.documents(spark, folder), "text", "doc_id", D.lexicon(spark, folder))
 
 
 @query
 def word_count(spark, folder):
-    return _documents(spark, folder).select("doc_id", X.word_count(X.text("text")).alias("words"))
+    return D.documents(spark, folder).select("doc_id", X.word_count(X.text("text")).alias("words"))
 
 
 @query
 def flesch_score(spark, folder):
-    report = textstats.text_report(_documents(spark, folder), "text", "doc_id", D.lexicon(spark, folder))
+    report = textstats.text_report(D.documents(spark, folder), "text", "doc_id", D.lexicon(spark, folder))
     return report.select("doc_id", "sentences", "words", "syllables", "flesch_score")
 
 
 @query
 def text_report(spark, folder):
-    cleaned = _documents(spark, folder).withColumn("text", X.clean_ascii("text"))
+    cleaned = D.documents(spark, folder).withColumn("text", X.clean_ascii("text"))
     return textstats.text_report(cleaned, "text", "doc_id", D.lexicon(spark, folder))
 
 
@@ -359,6 +395,68 @@ def date_parts(spark, folder):
     return structured.extract_dates(dated, ["o_orderdate", "text_date"])
 
 
+@query
+def structured_features(spark, folder):
+    orders = D.table(spark, folder, "orders").withColumn(
+        "price", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice"))
+    )
+    stage = PostFeatures(
+        idCol="o_orderkey", numericCols=["price"], categoricalCols=["o_orderpriority", "o_orderstatus"], dateCols=["o_orderdate"]
+    )
+    out = stage.fit(orders).transform(orders)
+    names = F.array(*[F.lit(n) for n in vector_names(out)])
+    return long_form(out.withColumn("v", vector_to_array("features")), "o_orderkey", "v").select(
+        "o_orderkey", F.element_at(names, F.col("dim") + 1).alias("slot"), "value"
+    )
+
+
+@query
+def svd_reduce(spark, folder):
+    """Mean word vectors of all documents, reduced to 16 components."""
+    means = materialise(
+        vectors.mean_word_vector(
+            D.documents(spark, folder), X.text("text"), "doc_id", D.word_vectors(spark, folder), D.vector_width(spark, folder)
+        )
+    )
+    basis = vectors.fit_svd(means, "vector", 16)
+    return long_form(means.withColumn("vector", vectors.project(F.col("vector"), basis)), "doc_id", "vector")
+
+
+def _features(spark, folder) -> PostFeatures:
+    """The default feature set, over word tables stored where all executors can read them."""
+    paths = {}
+    for name, table in (("lexicon", D.lexicon(spark, folder)), ("vectors", D.word_vectors(spark, folder))):
+        paths[name] = fresh_path(spark, name)
+        table.write.parquet(paths[name])
+    return PostFeatures(textCols=["Title", "Body"], qualityFeatures=True, **paths)
+
+
+def _train_test(spark, folder):
+    return splitting.split_by_group(D.posts(spark, folder))
+
+
+@query
+def feature_matrix(spark, folder):
+    posts = D.posts(spark, folder)
+    out = _features(spark, folder).fit(posts).transform(posts)
+    return long_form(out.withColumn("v", vector_to_array("features")), "Id", "v")
+
+
+@query
+def feature_names(spark, folder):
+    posts = D.posts(spark, folder)
+    out = _features(spark, folder).fit(posts).transform(posts)
+    names = list(enumerate(vector_names(out)))
+    return spark.createDataFrame(names, "slot bigint, name string")
+
+
+@query
+def fit_train_apply_test(spark, folder):
+    train, test = _train_test(spark, folder)
+    _, applied, _ = training.fit_train_apply_test(_features(spark, folder), train, test)
+    return long_form(applied.withColumn("v", vector_to_array("features")), "Id", "v")
+
+
 # --- splitting and sampling -----------------------------------------------
 
 def _sides(train, test):
@@ -399,6 +497,83 @@ def class_weights(spark, folder):
     return evaluation.class_weights(labeling.labeled_training_set(D.posts(spark, folder))).select("label", "weight")
 
 
+# --- models ---------------------------------------------------------------
+
+def _trained(spark, folder, algorithm="random_forest", quality_labels=True):
+    train, test = _train_test(spark, folder)
+    return training.train_evaluate(train, test, _features(spark, folder), algorithm, quality_labels=quality_labels)
+
+
+@query
+def train_random_forest(spark, folder):
+    return _trained(spark, folder).predictions
+
+
+@query
+def train_logistic(spark, folder):
+    return _trained(spark, folder, "logistic_regression").predictions
+
+
+@query
+def predict_quality(spark, folder):
+    """Quality predicted for every post, labelled or not."""
+    model = _trained(spark, folder, "logistic_regression").model
+    return models.predict(model, D.posts(spark, folder)).select("Id", "prediction")
+
+
+@query
+def train_evaluate(spark, folder):
+    return _trained(spark, folder).metrics
+
+
+@query
+def save_model(spark, folder):
+    """Predictions of the fitted model and of its saved copy."""
+    model, path = _trained(spark, folder, "logistic_regression").model, fresh_path(spark, "model")
+    model_files.save_model(model, path)
+    posts = D.posts(spark, folder)
+    fitted = models.predict(model, posts).select("Id", "prediction")
+    loaded = models.predict(model_files.load_model(path), posts).select("Id", F.col("prediction").alias("reloaded"))
+    return fitted.join(loaded, "Id")
+
+
+@query
+def save_model_metadata(spark, folder):
+    path, median = fresh_path(spark, "metadata"), labeling.score_median(D.posts(spark, folder))
+    model_files.save_model_metadata(spark, f"{path}/rules", "random_forest", None)
+    model_files.save_model_metadata(spark, f"{path}/median", "random_forest", median)
+    saved = model_files.load_model_metadata(spark, f"{path}/rules").union(model_files.load_model_metadata(spark, f"{path}/median"))
+    return saved.withColumn("dated", F.col("training_date").isNotNull()).drop("training_date")
+
+
+# --- map of posts ---------------------------------------------------------
+
+def _embeddings(spark, folder):
+    return D.table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+
+
+@query
+def knn_graph(spark, folder):
+    return neighbors.knn_graph(_embeddings(spark, folder), "vec_id", "vector")
+
+
+@query
+def knn_graph_cosine(spark, folder):
+    return neighbors.knn_graph(_embeddings(spark, folder), "vec_id", "vector", metric="cosine")
+
+
+@query
+def project_2d(spark, folder):
+    vectors_only = _embeddings(spark, folder).select("vec_id", array_to_vector("vector").alias("features"))
+    return projection.project_2d(vectors_only, "features", "vec_id")
+
+
+@query
+def post_map(spark, folder):
+    shown = maps.post_map(D.posts(spark, folder), _features(spark, folder))
+    return shown.select("Id", "Title", "Score", "cluster", "label_store", "x", "y")
+
+
 # --- manual labels --------------------------------------------------------
 
 def _raw_stores(spark, folder):

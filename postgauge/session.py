@@ -51,3 +51,13 @@ def materialise(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on a table that arrives in too few pieces.
+
+    A table split into at least one partition per core, as any large one is, stays
+    as it was read. Spreading by the row id lets a later grouping by it reuse the shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

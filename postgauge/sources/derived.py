@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from postgauge.session import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -50,9 +52,13 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+
+
 def documents_as_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts: the first line is the title, the whole text the body."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         F.col("doc_id").alias("Id"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("Title"),
         F.col("text").alias("Body"),
@@ -90,6 +96,10 @@ def word_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.join(vectors, "vec_id").select("word", "vector")
 
 
+def vector_width(spark: SparkSession, folder: str) -> int:
+    return table(spark, folder, "embeddings").select(F.size("embedding")).first()[0]
+
+
 def label_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events as edits: the user is the row, the event type the key."""
     return table(spark, folder, "events").select(
