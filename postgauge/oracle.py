@@ -160,11 +160,13 @@ FENCED = r"regexp_replace({0}, '([\p{{L}}\p{{N}}_]+)', chr(1) || '\1' || chr(2),
 FENCED_PHRASES = "(?i)" + "|".join(
     " ".join(f"\\x01{w}\\x02" for w in phrase.split(" ")) for phrase in fixed.ACTION_PHRASES
 )
-ACTION_DENSITY = (
-    f"round(coalesce(len(regexp_extract_all({FENCED.format('Body')}, '{FENCED_PHRASES}'))::DOUBLE"
-    f" / nullif(len(regexp_extract_all(Body, '[^{WS}]+')), 0), 0), 6)"
+ACTION_DENSITY_RAW = (
+    f"coalesce(len(regexp_extract_all({FENCED.format('Body')}, '{FENCED_PHRASES}'))::DOUBLE"
+    f" / nullif(len(regexp_extract_all(Body, '[^{WS}]+')), 0), 0)"
 )
-CAPS_RATIO = "round(coalesce(len(regexp_extract_all(coalesce(Title,''), '[A-Z]'))::DOUBLE / nullif(length(coalesce(Title,'')), 0), 0), 6)"
+ACTION_DENSITY = f"round({ACTION_DENSITY_RAW}, 6)"
+CAPS_RATIO_RAW = "coalesce(len(regexp_extract_all(coalesce(Title,''), '[A-Z]'))::DOUBLE / nullif(length(coalesce(Title,'')), 0), 0)"
+CAPS_RATIO = f"round({CAPS_RATIO_RAW}, 6)"
 
 
 def _strip_html() -> str:
@@ -410,4 +412,25 @@ FROM d QUALIFY rank <= 15""",
     "save_model_metadata": sql("posts", """
 SELECT 'random_forest' AS model_type, 'quality_based' AS label_type, CAST(NULL AS DOUBLE) AS median_threshold, 1::BIGINT AS dated
 UNION ALL SELECT 'random_forest', 'score_based', CAST(quantile_cont(Score, 0.5) AS DOUBLE), 1 FROM posts"""),
+    "feature_matrix_full_width": sql("posts lexicon word_vectors", "," + _readability("posts", "Id", DOC_AS_TEXT) + rf""",
+words AS (SELECT Id, unnest(regexp_extract_all(coalesce(Body,'') || ' ' || coalesce(Title,''), '{TOKEN}')) AS token FROM posts),
+uses AS (SELECT Id, token, count(*) AS n FROM words GROUP BY Id, token),
+cells AS (SELECT Id, n, unnest(range(64)) AS dim, unnest(vector) AS v FROM uses JOIN word_vectors ON token = word),
+means AS (SELECT Id, dim, sum(v * n) / sum(n) AS value FROM cells GROUP BY Id, dim),
+f AS (
+  SELECT Id, unnest([length(coalesce(Title,''))::DOUBLE, length(Body)::DOUBLE, contains(coalesce(Title,''), '?')::INT::DOUBLE,
+      contains(Body, '?')::INT::DOUBLE, flesch_score, {ACTION_DENSITY_RAW}, {CAPS_RATIO_RAW}]) AS value,
+    64 + unnest(range(7)) AS dim
+  FROM posts JOIN scored ON Id = rid),
+m AS (SELECT dim, avg(value) AS mean, stddev_pop(value) AS dev FROM f GROUP BY dim)
+SELECT Id, dim, round(coalesce(value, 0), 6) AS value
+FROM (SELECT Id, unnest(range(64)) AS dim FROM posts) LEFT JOIN means USING (Id, dim)
+UNION ALL
+SELECT Id, dim, round((value - mean) / CASE WHEN dev = 0 THEN 1 ELSE dev END, 6) FROM f JOIN m USING (dim)"""),
+    "feature_names": f"""
+WITH d AS (SELECT least(max(len(embedding)), {fixed.SVD_COMPONENTS}) AS n FROM embeddings)
+SELECT i AS slot, 'text_processing__truncatedsvd' || i AS name FROM (SELECT unnest(range(n)) AS i FROM d)
+UNION ALL
+SELECT n + i, 'quality_processing__' || name FROM d CROSS JOIN (
+  SELECT unnest(range(7)) AS i, unnest([{", ".join(f"'{c}'" for c in fixed.QUALITY_FEATURES)}]) AS name)""",
 }

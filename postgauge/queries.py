@@ -442,6 +442,15 @@ def feature_matrix(spark, folder):
     return long_form(out.withColumn("v", vector_to_array("features")), "Id", "v")
 
 
+@query
+def feature_matrix_full_width(spark, folder):
+    """The feature matrix with all word-vector dimensions kept."""
+    posts = D.posts(spark, folder)
+    stage = _features(spark, folder)
+    stage.set(stage.components, 0)
+    return long_form(stage.fit(posts).transform(posts).withColumn("v", vector_to_array("features")), "Id", "v")
+
+
 @query
 def feature_names(spark, folder):
     posts = D.posts(spark, folder)
