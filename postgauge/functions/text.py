@@ -151,15 +151,15 @@ def clean_ascii(c: str | Column) -> Column:
     return F.when(foreign, _fold_to_ascii(F.when(foreign, low))).otherwise(low)
 
 
-# Content that is not text, then markup; one pattern per element, since neither
-# Java nor RE2 should need back-references here.
+# Content that is not text, then markup; one pattern per element. Groups repeat
+# possessively: Java would otherwise recurse once per attribute and overflow its stack.
 HTML_DROPS = [
     r"(?is)<script\b.*?(?:</script\s*>|\z)",
     r"(?is)<style\b.*?(?:</style\s*>|\z)",
     r"(?is)<template\b.*?(?:</template\s*>|\z)",
     r"(?s)<!--.*?(?:-->|\z)",
     r"<[!?][^>]*>",
-    r"""</?[a-zA-Z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>""",
+    r"""</?[a-zA-Z][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>""",
     r"</?[a-zA-Z][^>]*>",
 ]
 

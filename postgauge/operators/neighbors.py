@@ -79,28 +79,35 @@ def _route(pivots: np.ndarray, radius: np.ndarray, inner: np.ndarray, nearest: n
     return run
 
 
-def _best(k: int):
-    """The k best members of one block for every visiting row of one block."""
+def _best(k: int, digits: int | None):
+    """The k best members of one block for every visiting row of one block.
 
-    def run(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"rep": [], "other": [], "distance": []}).astype({"rep": "int64", "other": "int64"})
-        if queries.empty or members.empty:
-            return empty
-        q, m = np.stack(queries["vector"].to_numpy()), np.stack(members["vector"].to_numpy())
-        q_ids, m_ids = queries["rep"].to_numpy(), members["rep"].to_numpy()
+    Distances from the matrix product choose who is measured again without
+    cancellation: all that come within a hair of the k-th, so equal distances are all
+    there to be ordered by id. `digits` rounds before that, where equal distances may
+    differ in the last bit.
+    """
+
+    def measure(q: np.ndarray, m: np.ndarray, q_ids: np.ndarray, m_ids: np.ndarray) -> pd.DataFrame:
         d = _distances(q, m)
         d[q_ids[:, None] == m_ids[None, :]] = np.inf
-        # A few more than k, then measured again without cancellation.
-        take = min(k + 4, d.shape[1])
-        picked = np.argpartition(d, take - 1, axis=1)[:, :take]
-        exact = np.sqrt(((q[:, None, :] - m[picked]) ** 2).sum(2)) if len(q) * take * q.shape[1] <= 1 << 25 else np.stack(
-            [np.sqrt(((q[i] - m[picked[i]]) ** 2).sum(1)) for i in range(len(q))]
-        )
-        rows = np.repeat(np.arange(len(q)), take)
-        out = pd.DataFrame({"rep": q_ids[rows], "other": m_ids[picked.ravel()], "distance": exact.ravel()})
+        edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if d.shape[1] > k else np.full((len(d), 1), np.finfo(float).max)
+        rows, cols = np.nonzero(d <= edge * (1 + 1e-6) + 1e-6)
+        exact = np.sqrt(((q[rows] - m[cols]) ** 2).sum(1))
+        if digits is not None:
+            exact = exact.round(digits)
+        out = pd.DataFrame({"rep": q_ids[rows], "other": m_ids[cols], "distance": exact})
         out = out[out["rep"] != out["other"]].sort_values(["rep", "distance", "other"])
         return out.groupby("rep").head(k)
 
+    def run(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or members.empty:
+            return pd.DataFrame({"rep": [], "other": [], "distance": []}).astype({"rep": "int64", "other": "int64"})
+        q, m = np.stack(queries["vector"].to_numpy()), np.stack(members["vector"].to_numpy())
+        q_ids, m_ids = queries["rep"].to_numpy(), members["rep"].to_numpy()
+        step = max(1, CHUNK_NUMBERS // m.size)
+        return pd.concat([measure(q[i : i + step], m, q_ids[i : i + step], m_ids) for i in range(0, len(q), step)])
+
     return run
 
 
@@ -109,7 +116,7 @@ def _closest(df: DataFrame, key: str, other: str, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _distinct_edges(groups: DataFrame, k: int, block_rows: int) -> DataFrame:
+def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | None) -> DataFrame:
     """k nearest other vectors of every distinct vector."""
     n = groups.count()
     wanted = max(1, min(MAX_PIVOTS, math.isqrt(n)))
@@ -149,7 +156,7 @@ def _distinct_edges(groups: DataFrame, k: int, block_rows: int) -> DataFrame:
     )
     keys = ["cell", "qb", "mb"]
     found = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(
-        _best(k), "rep bigint, other bigint, distance double"
+        _best(k, digits), "rep bigint, other bigint, distance double"
     )
     return _closest(found, "rep", "other", k)
 
@@ -177,7 +184,7 @@ def knn_graph(
     groups = materialise(
         firsts.groupBy("vector").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("members"))
     )
-    edges = _distinct_edges(groups, k, block_rows)
+    edges = _distinct_edges(groups, k, block_rows, 12 if metric == "cosine" else None)
     shared = groups.where(F.size("members") > 1)
     if shared.isEmpty():
         out = edges.select(F.col("rep").alias("id"), F.col("other").alias("neighbor"), "rank", "distance")

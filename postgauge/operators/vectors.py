@@ -45,14 +45,13 @@ def mean_word_vector(
     dims = dims or vector_width(vectors)
     words = df.select(row_id, T.word_tokens(text).alias("words")).select(row_id, F.explode_outer("words").alias("word"))
     found = lookup_words(words, vectors.select("word", "vector"), "left", BROADCAST_NUMBERS // dims)
-    known, uses = F.col("vector").isNotNull(), F.col("uses")
+    # One SQL string per list of columns: building hundreds of column objects takes seconds.
     sums = found.groupBy(row_id).agg(
-        F.sum(F.when(known, uses)).alias("known"),
-        *[F.sum(F.col("vector")[i] * uses).alias(f"v{i}") for i in range(dims)],
-    )
-    return sums.select(
-        row_id, F.array(*[F.coalesce(F.col(f"v{i}") / F.col("known"), F.lit(0.0)) for i in range(dims)]).alias("vector")
+        F.expr("sum(CASE WHEN vector IS NOT NULL THEN uses END) AS known"),
+        *[F.expr(f"sum(vector[{i}] * uses) AS v{i}") for i in range(dims)],
     )
+    means = ", ".join(f"coalesce(v{i} / known, 0.0D)" for i in range(dims))
+    return sums.select(row_id, F.expr(f"array({means}) AS vector"))
 
 
 def fit_svd(df: DataFrame, vector: str, components: int) -> np.ndarray:

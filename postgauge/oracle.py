@@ -174,7 +174,8 @@ def _strip_html() -> str:
 
     out = "html"
     for pattern in HTML_DROPS:
-        out = "regexp_replace({}, '{}', '', 'g')".format(out, pattern.replace("'", "''"))
+        plain = pattern.replace("*+", "*").replace("'", "''")  # RE2 has no possessive form and needs none
+        out = "regexp_replace({}, '{}', '', 'g')".format(out, plain)
     for entity, char in COMMON_ENTITIES:
         out = "replace({}, '{}', '{}')".format(out, entity, char.replace("'", "''"))
     return f"SELECT page_id, {out} AS text FROM pages"
