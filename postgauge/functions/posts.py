@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
+from postgauge.functions.text import strip, text
 
 QUESTION, ANSWER = 1, 2
 
@@ -22,7 +23,7 @@ def group_key(c: str) -> Column:
 
 
 def is_blank(c: str) -> Column:
-    return F.coalesce(F.trim(F.col(c).cast("string")) == "", F.lit(True))
+    return strip(text(c)) == ""
 
 
 def quality_label(score: str = "Score", closed: str = "ClosedDate", accepted: str = "AcceptedAnswerId") -> Column:

@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
+from postgauge.functions.text import strip
+from postgauge.operators.lookup import fits
 
 STORE = "label_store"
 MAP = "map<string,string>"
+# Label keys a broadcast registry may hold.
+REGISTRY_ROWS = 100_000
 
 
 def init_store(c: str = STORE) -> Column:
@@ -27,18 +31,19 @@ def store_map(c: str = STORE) -> Column:
 
 def tidy_key(c: Column) -> Column:
     """Trimmed, first letter upper, rest lower."""
-    key = F.trim(c)
+    key = strip(c)
     return F.concat(F.upper(F.left(key, F.lit(1))), F.lower(F.substr(key, F.lit(2))))
 
 
 def canonical_keys(edits: DataFrame, registry: DataFrame, key: str = "key") -> DataFrame:
     """Edits with tidy keys; a registered key differing only by case wins, empty is refused.
 
-    `registry` has one column, `key`. The distinct spellings are reduced first, so the
-    join handles keys, not edits, on its registry side.
+    `registry` has one column, `key`.
     """
     known = registry.groupBy(F.lower("key").alias("folded")).agg(F.min("key").alias("registered"))
-    wanted = edits.where(F.trim(F.col(key)) != "").withColumn("folded", F.lower(F.trim(F.col(key))))
+    if fits(known, REGISTRY_ROWS):
+        known = F.broadcast(known)
+    wanted = edits.withColumn("folded", F.lower(strip(F.col(key)))).where(F.col("folded") != "")
     return (
         wanted.join(known, "folded", "left")
         .withColumn(key, F.coalesce("registered", tidy_key(F.col(key))))
@@ -48,7 +53,7 @@ def canonical_keys(edits: DataFrame, registry: DataFrame, key: str = "key") -> D
 
 def latest_labels(edits: DataFrame, row_id: str = "Id", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
     """The last value per row and key; empty values are refused. Hot rows shrink map-side."""
-    valid = edits.where((F.col("value") != "") & (F.trim(F.col("key")) != ""))
+    valid = edits.where((F.col("value") != "") & (strip(F.col("key")) != ""))
     return valid.groupBy(row_id, "key").agg(F.max_by("value", F.struct(*order)).alias("value"))
 
 
@@ -80,7 +85,10 @@ def label_keys(df: DataFrame, store: str = STORE, configured: list[str] = fixed.
 def expand_labels(
     df: DataFrame, store: str = STORE, keys: list[str] | None = None, empty: str | None = None
 ) -> DataFrame:
-    """One column per key, null (or `empty`) where a row has none. Keys in use are looked up if not given."""
+    """One column per key, null (or `empty`) where a row has none.
+
+    Keys in use are looked up if not given; as they become columns, they must be few.
+    """
     if keys is None:
         keys = [r["key"] for r in label_keys(df, store, []).collect()]
     labels = store_map(store)

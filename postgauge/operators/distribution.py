@@ -9,6 +9,7 @@ from postgauge.functions import fixed
 from postgauge.functions.posts import numeric
 from postgauge.operators.matching import questions
 from postgauge.operators.quantiles import exact_median, exact_quantiles
+from postgauge.session import materialise
 
 GROUPS = ["low", "high"]
 SERIES = ["Score", "BodyLength"]
@@ -16,7 +17,8 @@ SERIES = ["Score", "BodyLength"]
 
 def score_split(df: DataFrame, body_limit: int = fixed.BODY_LENGTH_LIMIT) -> DataFrame:
     """Short questions in a low group, up to the median score, and a high one."""
-    short = (
+    # Several passes follow, here and in the caller: the bodies are measured once.
+    short = materialise(
         questions(df)
         .select("Id", numeric("Score").alias("Score"), F.length("Body").alias("BodyLength"))
         .where(F.col("BodyLength") < body_limit)

@@ -27,7 +27,7 @@ def make_classifier(algorithm: str = "random_forest", seed: int = fixed.SEED, ro
         )
     if algorithm == "logistic_regression":
         return LogisticRegression(
-            maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False, tol=1e-8
+            maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
         )
     raise ValueError(f"Unknown algorithm: {algorithm}. Supported: 'random_forest', 'logistic_regression'")
 

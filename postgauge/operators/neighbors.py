@@ -91,7 +91,7 @@ def _best(k: int, digits: int | None):
     def measure(q: np.ndarray, m: np.ndarray, q_ids: np.ndarray, m_ids: np.ndarray) -> pd.DataFrame:
         d = _distances(q, m)
         d[q_ids[:, None] == m_ids[None, :]] = np.inf
-        edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if d.shape[1] > k else np.full((len(d), 1), np.finfo(float).max)
+        edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if d.shape[1] > k else np.full((len(d), 1), np.inf)
         rows, cols = np.nonzero(d <= edge * (1 + 1e-6) + 1e-6)
         exact = np.sqrt(((q[rows] - m[cols]) ** 2).sum(1))
         if digits is not None:

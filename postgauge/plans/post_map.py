@@ -18,8 +18,9 @@ def post_map(df: DataFrame, features: PostFeatures, shown: list[str] = SHOWN) ->
     """Questions with `x`, `y`, `cluster`, display text and an empty label store."""
     q = questions(df)
     row_id = features.getOrDefault("idCol")
-    # Three passes over the vectors follow; the texts behind them are read once.
-    vectors = materialise(features.fit(q).transform(q).select(row_id, "features"))
+    # Fitting, the projection and its centre all read these rows; the texts are read once.
+    prepared = materialise(features.prepare(q).select(row_id, *features.inputs()))
+    vectors = features.fit(prepared).transform(prepared)
     at = project_2d(vectors, "features", row_id)
     flagged = q.withColumn("cluster", answered_flag())
     readable = flagged.withColumns({c: display_text(c) for c in shown if c in q.columns})

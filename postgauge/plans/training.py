@@ -46,8 +46,8 @@ def train_evaluate(
 ) -> Training:
     """Train on one side, judge on the other.
 
-    The featurised rows are checkpointed: tree growing reads them once per level, and
-    a lost executor must not cost the text passes again.
+    What comes from the texts is stored first: fitting, training and a lost executor
+    all go back to those small rows, and every text is read once.
     """
     if params is None:
         params = FOREST if algorithm == "random_forest" else {}
@@ -64,13 +64,13 @@ def train_evaluate(
         train, threshold = median_labeled_set(train)
         test, _ = median_labeled_set(test, threshold)
     row_id = features.getOrDefault("idCol")
+    label = F.col("label").cast("int").alias("label")
+    train, test = (materialise(features.prepare(rows).select(row_id, label, *features.inputs())) for rows in (train, test))
     train_x, test_x, feature_model = fit_train_apply_test(features, train, test)
-    keep = [row_id, F.col("label").cast("int").alias("label"), features.getOrDefault("outputCol")]
-    train_x = materialise(train_x.select(*keep))
     lap("features")
     classifier = fit_classifier(train_x, algorithm, seed, params, features=features.getOrDefault("outputCol"))
     lap("training")
-    predictions = materialise(predict(classifier, test_x.select(*keep)).select(row_id, "label", "prediction"))
+    predictions = materialise(predict(classifier, test_x).select(row_id, "label", "prediction"))
     metrics = binary_metrics(predictions)
     lap("evaluation")
     return Training(PipelineModel([feature_model, classifier]), predictions, metrics, threshold, seconds)

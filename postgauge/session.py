@@ -46,11 +46,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a reliable checkpoint, so lost executors only cost a reread."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Store the rows in the shared folder and go on from there.
+
+    Lost executors then cost a reread, not a recomputation, and what follows reads
+    only the columns it needs.
+    """
+    path = fresh_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -32,6 +32,9 @@ def _param(name: str, doc: str, convert=TypeConverters.toString) -> Param:
     return Param(Params._dummy(), name, doc, convert)
 
 
+RAW_TEXT = "mean_word_vector"
+
+
 class _FeatureParams(Params):
     idCol = _param("idCol", "unique row id")
     textCols = _param("textCols", "text columns averaged into word vectors", TypeConverters.toListString)
@@ -61,13 +64,38 @@ class _FeatureParams(Params):
     def _get(self, name: str):
         return self.getOrDefault(name)
 
-    def _means(self, df: DataFrame, dims: int) -> DataFrame:
+    def _means(self, df: DataFrame) -> DataFrame:
+        """Row id and mean word vector; prepared rows bring theirs along."""
+        row_id = self._get("idCol")
+        if RAW_TEXT in df.columns:
+            return df.select(row_id, RAW_TEXT)
         table = open_table(df.sparkSession, self._get("vectors"))
         text = T.concat_text(*sorted(self._get("textCols")))
-        return mean_word_vector(df, text, self._get("idCol"), table, dims)
+        return mean_word_vector(df, text, row_id, table).withColumnRenamed("vector", RAW_TEXT)
 
     def _quality(self, df: DataFrame) -> DataFrame:
-        return quality_features(df, open_table(df.sparkSession, self._get("lexicon")), self._get("idCol"))
+        row_id = self._get("idCol")
+        if set(fixed.QUALITY_FEATURES) <= set(df.columns):
+            return df.select(row_id, *fixed.QUALITY_FEATURES)
+        return quality_features(df, open_table(df.sparkSession, self._get("lexicon")), row_id)
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """Rows with what has to be read from their texts, before anything fitted.
+
+        Stored, it serves both fit and transform, and the texts are read once.
+        """
+        out, row_id = df, self._get("idCol")
+        if self._get("textCols") and RAW_TEXT not in df.columns:
+            out = out.join(self._means(df), row_id)
+        if self._get("qualityFeatures") and not set(fixed.QUALITY_FEATURES) <= set(df.columns):
+            out = out.join(self._quality(df), row_id)
+        return out
+
+    def inputs(self) -> list[str]:
+        """Columns of prepared rows that fit and transform still need."""
+        raw = [RAW_TEXT] if self._get("textCols") else []
+        raw += fixed.QUALITY_FEATURES if self._get("qualityFeatures") else []
+        return [*self._get("numericCols"), *self._get("categoricalCols"), *self._get("dateCols"), *raw]
 
 
 class PostFeatures(Estimator, _FeatureParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -81,10 +109,9 @@ class PostFeatures(Estimator, _FeatureParams, DefaultParamsReadable, DefaultPara
     def _fit(self, df: DataFrame) -> PostFeaturesModel:
         state: dict = {}
         if self._get("textCols"):
-            dims = vector_width(open_table(df.sparkSession, self._get("vectors")))
-            state["dims"] = dims
+            state["dims"] = vector_width(open_table(df.sparkSession, self._get("vectors")))
             if self._get("components"):
-                state["basis"] = fit_svd(self._means(df, dims), "vector", self._get("components")).tolist()
+                state["basis"] = fit_svd(self._means(df), RAW_TEXT, self._get("components")).tolist()
         numbers = self._get("numericCols")
         if numbers:
             state["medians"] = S.fit_medians(df, numbers)
@@ -133,25 +160,23 @@ class PostFeaturesModel(Model, _FeatureParams, DefaultParamsReadable, DefaultPar
         return self._text_names() + list(self._structured(df)) + [f"quality_processing__{c}" for c in quality]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        learned, row_id, output = self.learned, self._get("idCol"), self._get("outputCol")
+        learned, output = self.learned, self._get("outputCol")
         names, slots = self.feature_names(df), self._structured(df)
-        out = df.withColumn("_structured", F.array(*slots.values())) if slots else df
-        blocks = ["_structured"] if slots else []
+        out = self.prepare(df)
+        blocks = []
         if self._get("textCols"):
-            text = self._means(df, learned["dims"])
-            if "basis" in learned:
-                text = text.withColumn("vector", project(F.col("vector"), np.array(learned["basis"])))
-            out = out.join(text.withColumnRenamed("vector", "_text"), row_id)
-            blocks.insert(0, "_text")
+            text = F.col(RAW_TEXT)
+            blocks.append(project(text, np.array(learned["basis"])) if "basis" in learned else text)
+        if slots:
+            blocks.append(F.array(*slots.values()))
         if self._get("qualityFeatures"):
-            scaled = [S.scale(F.col(c), *learned["quality"][c]) for c in fixed.QUALITY_FEATURES]
-            out = out.join(self._quality(df).select(row_id, F.array(*scaled).alias("_quality")), row_id)
-            blocks.append("_quality")
+            blocks.append(F.array(*[S.scale(F.col(c), *learned["quality"][c]) for c in fixed.QUALITY_FEATURES]))
         if not blocks:
             raise ValueError("no feature block is configured")
         attributes = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]}, "num_attrs": len(names)}}
         vector = array_to_vector(F.concat(*blocks))
-        return out.withColumn(output, vector.alias(output, metadata=attributes)).drop(*blocks)
+        added = [c for c in out.columns if c not in df.columns]
+        return out.withColumn(output, vector.alias(output, metadata=attributes)).drop(*added)
 
 
 def vector_names(df: DataFrame, column: str = "features") -> list[str]:
