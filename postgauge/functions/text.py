@@ -182,13 +182,19 @@ def _decode_entities(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+# Stands where markup was until entities are decoded, so an entity never continues
+# behind a tag; no character of any text.
+SEAM = "\uffff"
+
+
 def strip_html(c: str | Column) -> Column:
     """HTML to text; tags leave no separator, null becomes empty."""
     out = text(c)
     for pattern in HTML_DROPS:
-        out = F.regexp_replace(out, pattern, "")
+        out = F.regexp_replace(out, pattern, SEAM)
     plain = out
     for entity, char in COMMON_ENTITIES:
         plain = F.replace(plain, F.lit(entity), F.lit(char))
     rare = out.rlike(_RARE_ENTITY)
-    return F.when(rare, _decode_entities(F.when(rare, out))).otherwise(plain)
+    decoded = F.when(rare, _decode_entities(F.when(rare, out))).otherwise(plain)
+    return F.replace(decoded, F.lit(SEAM), F.lit(""))

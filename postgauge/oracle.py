@@ -175,10 +175,11 @@ def _strip_html() -> str:
     out = "html"
     for pattern in HTML_DROPS:
         plain = pattern.replace("*+", "*").replace("'", "''")  # RE2 has no possessive form and needs none
-        out = "regexp_replace({}, '{}', '', 'g')".format(out, plain)
+        out = "regexp_replace({}, '{}', chr(65535), 'g')".format(out, plain)
+    # These names are read without their semicolon too.
     for entity, char in COMMON_ENTITIES:
-        out = "replace({}, '{}', '{}')".format(out, entity, char.replace("'", "''"))
-    return f"SELECT page_id, {out} AS text FROM pages"
+        out = "regexp_replace({}, '{}?', '{}', 'g')".format(out, entity, char.replace("'", "''"))
+    return f"SELECT page_id, replace({out}, chr(65535), '') AS text FROM pages"
 
 
 def _one_hot() -> str:

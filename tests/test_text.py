@@ -74,6 +74,7 @@ def test_syllables(spark, lexicon):
         ("&amp;lt; &eacute; &#8364; &lt;i&gt;", "&lt; é € <i>"),
         ("<a title='x>y' href=\"z\">k</a><!-- no -->!", "k!"),
         ("<script>var t='</p>';</script><style>p{}</style>x<br>y", "xy"),
+        ("a &amp</b>mp; &amp<i>;</i> &copy 1 &AMP; &notit;", "a &mp; &; © 1 & ¬it;"),
         ("<!DOCTYPE html><?xml v?>t<script>open", "t"),
     ],
 )
