@@ -80,4 +80,5 @@ def project(vector: Column, basis: np.ndarray) -> Column:
             return pd.Series([], dtype=object)
         return pd.Series(list(np.stack(s.to_numpy()) @ matrix))
 
-    return multiply(vector)
+    # Called so that the optimiser never evaluates it twice.
+    return multiply.asNondeterministic()(vector)

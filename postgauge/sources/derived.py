@@ -79,10 +79,10 @@ def lexicon(spark: SparkSession, folder: str) -> DataFrame:
 def word_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """The lexicon word of alphabetical rank i gets the embedding of id i.
 
-    Ranks are counted per two-letter prefix and shifted by the words of the prefixes
-    before; there are at most 26 + 26 * 26 prefixes, which bounds the running total.
+    Ranks are counted per three-letter prefix and shifted by the words of the prefixes
+    before; there are at most 26 + 26**2 + 26**3 prefixes, which bounds the running total.
     """
-    words = lexicon(spark, folder).select("word", F.substr("word", F.lit(1), F.lit(2)).alias("prefix"))
+    words = lexicon(spark, folder).select("word", F.substr("word", F.lit(1), F.lit(3)).alias("prefix"))
     sizes = words.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("prefix", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -10,9 +11,11 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from postgauge.session import local_session
 
+    # Workers must not find the package by standing in its folder.
+    os.chdir(tmp_path_factory.mktemp("elsewhere"))
     session = local_session("8", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session

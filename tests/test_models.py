@@ -48,6 +48,19 @@ def test_metrics_and_timings(trained):
     assert set(trained.seconds) == {"features", "training", "evaluation"}
 
 
+def test_holdout_accuracy(spark, data, stage):
+    small = {**training.FOREST, "n_estimators": 2, "max_depth": 2}
+    assert 0 <= training.holdout_accuracy(D.posts(spark, data), stage, params=small) <= 1
+
+
+def test_median_labels_use_the_training_threshold(spark, data):
+    train, test = training.split_by_group(D.posts(spark, data))
+    numbers = PostFeatures(numericCols=["AnswerCount"])
+    done = training.train_evaluate(train, test, numbers, "logistic_regression", quality_labels=False)
+    assert done.median_threshold == pytest.approx(train.toPandas()["Score"].median())
+    assert done.predictions.count() == test.count()
+
+
 def test_reloaded_model_predicts_the_same(spark, data, trained):
     path = fresh_path(spark, "model")
     model_files.save_model(trained.model, path)

@@ -64,6 +64,32 @@ def test_matching(posts):
     assert {(r["QuestionId"], r["AnswerId"]) for r in pairs} == {(1, 3), (1, 4)}
 
 
+def test_one_question_with_a_third_of_all_answers(spark):
+    """Adaptive execution splits the hot partition; no pair is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ids = F.col("id")
+        asked = spark.range(1000).select(ids.alias("Id"), F.lit(1).alias("PostTypeId"), F.lit(None).cast("long").alias("ParentId"), F.lit("q").alias("Body"))
+        parent = F.when(ids % 3 == 0, F.lit(7)).otherwise(ids % 1000)
+        given = spark.range(1000, 61000, numPartitions=16).select(ids.alias("Id"), F.lit(2).alias("PostTypeId"), parent.alias("ParentId"), F.md5(ids.cast("string")).alias("Body"))
+        pairs = matching.match_questions_answers(asked.union(given))
+        assert len(pairs.collect()) == 60000
+        assert "skew=true" in pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_unanswered_ignores_null_parents(posts):
     assert [r["Id"] for r in matching.unanswered_questions(posts).collect()] == [2]
     assert [r["Id"] for r in matching.answered_questions(posts).collect()] == [1]
