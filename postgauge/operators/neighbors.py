@@ -22,7 +22,7 @@ from postgauge.operators.lookup import fits
 from postgauge.session import materialise
 
 MAX_PIVOTS = 1024
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 # Numbers one chunk of bounds may hold.
 CHUNK_NUMBERS = 1 << 22
 BROADCAST_COPIES = 10_000
@@ -53,34 +53,47 @@ def _assign(pivots: np.ndarray):
 
 
 def _route(pivots: np.ndarray, radius: np.ndarray, inner: np.ndarray, nearest: np.ndarray, k: int):
-    """Emit every row once per cell that may hold one of its k nearest."""
+    """Emit every row once per further cell that may hold one of its k nearest.
+
+    `reach`, the distance of the k-th neighbour at home, and the bound from the pivots
+    are both upper limits; the smaller one travels on.
+    """
     between = _distances(pivots, pivots)
     np.fill_diagonal(between, np.inf)
     step = max(1, CHUNK_NUMBERS // nearest.size)
 
-    def visits(vectors: np.ndarray, home: np.ndarray) -> np.ndarray:
+    def visits(vectors: np.ndarray, home: np.ndarray, reached: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         d = _distances(vectors, pivots)
         own = d[np.arange(len(d)), home][:, None]
         reach = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
         # The row itself is among the counted ones, hence index k, not k - 1.
         limit = np.partition(reach, k, axis=1)[:, k] if reach.shape[1] > k else np.full(len(d), np.inf)
+        limit = np.minimum(limit, reached)
         floor = np.maximum(np.maximum(d - radius, inner - d), (d * d - own * own) / (2.0 * between[home]))
-        return floor <= (limit * (1 + 1e-6) + 1e-6)[:, None]
+        open_cells = floor <= (limit * (1 + 1e-6) + 1e-6)[:, None]
+        open_cells[np.arange(len(d)), home] = False
+        return open_cells, limit
 
     def run(batches):
         for pdf in batches:
             for at in range(0, len(pdf), step):
                 part = pdf.iloc[at : at + step]
-                rows, cells = np.nonzero(visits(np.stack(part["vector"].to_numpy()), part["cell"].to_numpy()))
+                cells, limit = visits(np.stack(part["vector"].to_numpy()), part["cell"].to_numpy(), part["reach"].to_numpy())
+                rows, cells = np.nonzero(cells)
                 yield pd.DataFrame(
-                    {"rep": part["rep"].to_numpy()[rows], "vector": part["vector"].to_numpy()[rows], "cell": cells.astype("int32")}
+                    {
+                        "rep": part["rep"].to_numpy()[rows],
+                        "vector": part["vector"].to_numpy()[rows],
+                        "cell": cells.astype("int32"),
+                        "reach": limit[rows],
+                    }
                 )
 
     return run
 
 
 def _best(k: int, digits: int | None):
-    """The k best members of one block for every visiting row of one block.
+    """The k best members of one block, within reach, for every visiting row of one block.
 
     Distances from the matrix product choose who is measured again without
     cancellation: all that come within a hair of the k-th, so equal distances are all
@@ -88,11 +101,11 @@ def _best(k: int, digits: int | None):
     differ in the last bit.
     """
 
-    def measure(q: np.ndarray, m: np.ndarray, q_ids: np.ndarray, m_ids: np.ndarray) -> pd.DataFrame:
+    def measure(q: np.ndarray, m: np.ndarray, q_ids: np.ndarray, m_ids: np.ndarray, reach: np.ndarray) -> pd.DataFrame:
         d = _distances(q, m)
         d[q_ids[:, None] == m_ids[None, :]] = np.inf
         edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if d.shape[1] > k else np.full((len(d), 1), np.inf)
-        rows, cols = np.nonzero(d <= edge * (1 + 1e-6) + 1e-6)
+        rows, cols = np.nonzero(d <= np.minimum(edge, reach[:, None]) * (1 + 1e-6) + 1e-6)
         exact = np.sqrt(((q[rows] - m[cols]) ** 2).sum(1))
         if digits is not None:
             exact = exact.round(digits)
@@ -103,10 +116,11 @@ def _best(k: int, digits: int | None):
     def run(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or members.empty:
             return pd.DataFrame({"rep": [], "other": [], "distance": []}).astype({"rep": "int64", "other": "int64"})
-        q, m = np.stack(queries["vector"].to_numpy()), np.stack(members["vector"].to_numpy())
-        q_ids, m_ids = queries["rep"].to_numpy(), members["rep"].to_numpy()
+        q, m = np.stack(queries["vector"].to_numpy()), np.stack(members["point"].to_numpy())
+        q_ids, m_ids, reach = queries["rep"].to_numpy(), members["other"].to_numpy(), queries["reach"].to_numpy()
         step = max(1, CHUNK_NUMBERS // m.size)
-        return pd.concat([measure(q[i : i + step], m, q_ids[i : i + step], m_ids) for i in range(0, len(q), step)])
+        parts = [slice(i, i + step) for i in range(0, len(q), step)]
+        return pd.concat([measure(q[at], m, q_ids[at], m_ids, reach[at]) for at in parts])
 
     return run
 
@@ -119,7 +133,7 @@ def _closest(df: DataFrame, key: str, other: str, k: int) -> DataFrame:
 def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | None) -> DataFrame:
     """k nearest other vectors of every distinct vector."""
     n = groups.count()
-    wanted = max(1, min(MAX_PIVOTS, math.isqrt(n)))
+    wanted = max(1, min(MAX_PIVOTS, math.ceil(n / block_rows)))
     pivot_rows = groups.orderBy(F.xxhash64("rep"), "rep").select("vector").limit(wanted).collect()
     pivots = np.array([r["vector"] for r in pivot_rows], dtype=np.float64)
 
@@ -134,13 +148,30 @@ def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | No
     for r in ranked.collect():  # at most k + 1 per pivot
         nearest[r["cell"], r["r"] - 1] = r["to_pivot"]
 
+    def search(queries: DataFrame, load: dict[int, int]) -> DataFrame:
+        return _search(queries, placed, sizes, load, k, block_rows, digits)
+
+    # At home first: the k-th neighbour found there keeps most rows from travelling.
+    home = placed.select("rep", "vector", "cell", F.lit(float("inf")).alias("reach"))
+    near = materialise(_closest(search(home, {c: int(n) for c, n in enumerate(sizes) if n}), "rep", "other", k).drop("rank"))
+    if len(pivots) == 1:
+        return _closest(near, "rep", "other", k)
+    kth = near.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
+    reach = F.when(F.col("n") == k, F.col("far")).otherwise(float("inf")).alias("reach")
+    leaving = placed.join(kth, "rep", "left").select("rep", "vector", "cell", reach)
     route = _route(pivots, radius, inner, nearest, k)
-    visits = placed.mapInPandas(route, "rep bigint, vector array<double>, cell int")
+    visits = leaving.mapInPandas(route, "rep bigint, vector array<double>, cell int, reach double")
     load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-    plan = [
-        (c, math.ceil(sizes[c] / block_rows), math.ceil(load[c] / block_rows)) for c in range(len(pivots)) if sizes[c] and load.get(c)
-    ]
-    blocks = F.broadcast(groups.sparkSession.createDataFrame(plan, "cell int, member_blocks int, query_blocks int"))
+    return _closest(near.unionByName(search(visits, load)), "rep", "other", k)
+
+
+def _search(
+    queries: DataFrame, placed: DataFrame, sizes: np.ndarray, load: dict[int, int], k: int, block_rows: int, digits: int | None
+) -> DataFrame:
+    """Every row against the members of the cell it visits, in blocks on both sides."""
+    plan = [(c, math.ceil(sizes[c] / block_rows), math.ceil(n / block_rows)) for c, n in load.items()]
+    shape = "cell int, member_blocks int, query_blocks int"
+    blocks = F.broadcast(placed.sparkSession.createDataFrame(plan, shape))  # one row per pivot at most
 
     def block(of: str) -> F.Column:
         return F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
@@ -148,17 +179,19 @@ def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | No
     def every(of: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
 
-    queries = visits.join(blocks, "cell").select(
-        "rep", "vector", "cell", block("query_blocks").alias("qb"), every("member_blocks").alias("mb")
+    visitors = queries.join(blocks, "cell").select(
+        "rep", "vector", "reach", "cell", block("query_blocks").alias("qb"), every("member_blocks").alias("mb")
     )
     members = placed.join(blocks, "cell").select(
-        "rep", "vector", "cell", every("query_blocks").alias("qb"), block("member_blocks").alias("mb")
+        F.col("rep").alias("other"),
+        F.col("vector").alias("point"),
+        F.col("cell").alias("c"),
+        every("query_blocks").alias("q"),
+        block("member_blocks").alias("m"),
     )
-    keys = ["cell", "qb", "mb"]
-    found = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(
+    return visitors.groupBy("cell", "qb", "mb").cogroup(members.groupBy("c", "q", "m")).applyInPandas(
         _best(k, digits), "rep bigint, other bigint, distance double"
     )
-    return _closest(found, "rep", "other", k)
 
 
 def knn_graph(

@@ -120,9 +120,10 @@ def test_cells_are_skipped(spark):
         near[c, : len(first)] = first
     import pandas as pd
 
-    batch = pd.DataFrame({"rep": range(len(points)), "vector": list(points), "cell": home})
+    batch = pd.DataFrame({"rep": range(len(points)), "vector": list(points), "cell": home, "reach": np.inf})
     visits = pd.concat(neighbors._route(pivots, radius, inner, near, 5)([batch]))
     assert len(visits) <= len(points) * m / 4
+    assert len(pd.concat(neighbors._route(pivots, radius, inner, near, 5)([batch.assign(reach=0.0)]))) == 0
 
 
 def test_top_categories_break_ties_by_later_name(spark):
