@@ -25,13 +25,13 @@ def trained(spark, data, stage):
     return training.train_evaluate(train, test, stage, params=forest)
 
 
-def test_forest_parameters():
+def test_forest_parameters(spark):
     forest = models.make_classifier("random_forest", 42, params={"n_estimators": 50, "max_depth": 10, "min_samples_split": 5})
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (50, 10, 42)
     assert models.make_classifier(params={"max_depth": None}).getMaxDepth() == 30
 
 
-def test_logistic_type():
+def test_logistic_type(spark):
     assert isinstance(models.make_classifier("logistic_regression"), LogisticRegression)
 
 
