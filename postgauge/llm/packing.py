@@ -141,8 +141,9 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, doc_id:
         encoder, end = Encoder(tokenizer), np.array([end_id], "<u4")
         for batch in batches:
             rows = []
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.concatenate([encoder.ids(value.as_py()), end])
+            texts = (value.as_py() for value in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.many(texts), strict=True):
+                ids = np.concatenate([ids, end])
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     rows.append((key, piece, start, len(part), zlib.crc32(part)))

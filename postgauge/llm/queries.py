@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import decontaminate, packing, token_files
+from postgauge.llm import decontaminate, licenses, near_dup, nearest, packing, secret_scan, span_dedup
+from postgauge.llm import token_files, toxicity, url_filter
 from postgauge.llm.tables import fresh_path, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,18 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_url_reputation(spark, folder):
+    """Pages with the quality label of the document of the same number as their outcome."""
+    outcomes = read(spark, folder, "labels").withColumnRenamed("doc_id", "page_id")
+    return url_filter.judge_urls(read(spark, folder, "pages"), outcomes)
+
+
+@query
+def op2_near_duplicates(spark, folder):
+    return near_dup.near_duplicates(read(spark, folder, "documents"), percent=85)
+
+
 @query
 def op3_token_files(spark, folder):
     path = fresh_path(spark, "token_files")
@@ -31,12 +44,48 @@ def op3_token_files(spark, folder):
     return token_files.read_token_files(spark, path, lambda ids: (token_files.crc32(ids),), "ids_crc32 bigint")
 
 
+@query
+def op4_nearest_vectors(spark, folder):
+    return nearest.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op5_pack_documents(spark, folder):
     tokenizer = public_tokenizers.path(TOKENIZER)
     return packing.pack_documents(read(spark, folder, "documents"), 2048, tokenizer, end_id=0)
 
 
+@query
+def op6_repeated_sentences(spark, folder):
+    done = span_dedup.remove_repeated(read(spark, folder, "documents"))
+    return done.select("doc_id", "text", "n_removed")
+
+
+@query
+def op7_toxicity(spark, folder):
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    model = toxicity.fit(docs, labels, ~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, model, carry=["doc_id"])
+    doc_id = F.col("row.doc_id")
+    return scored.select(
+        doc_id, toxicity.held_out(doc_id).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op8_secrets(spark, folder):
+    found = secret_scan.scan_secrets(read(spark, folder, "documents").select("doc_id", "text"))
+    base = F.col("secrets.base")
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    digest = F.sha2(secret_scan.listed(base), 256).alias("base_sha256")
+    return found.select(
+        "doc_id", *map(count, ("assign", "access", "hex")), digest, secret_scan.listed(F.col("secrets.spans")).alias("spans")
+    )
+
+
 @query
 def op9_benchmark_contamination(spark, folder):
     docs, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
@@ -49,3 +98,10 @@ def op9_benchmark_contamination(spark, folder):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op10_licenses(spark, folder):
+    """Documents as files: a directory for each source, in it one for each language."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan_licenses(read(spark, folder, "documents"), path)

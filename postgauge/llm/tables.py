@@ -55,7 +55,7 @@ def map_beside(
     those of `schema`. The result holds the struct `row` (all columns of `docs`, or those in
     `carry`), which no name of a result can clash with, and then the results.
     """
-    kept = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
+    kept = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)] or [F.lit(0).alias("none")]
     given = docs.select(F.struct(*kept).alias("row"), *[c.alias(f"_{k}") for k, c in enumerate(inputs)])
     results = T._parse_datatype_string(schema)
     names = ["row", *results.names]

@@ -7,13 +7,13 @@ the lengths of four numbers at a time and gathers their bytes with numpy, withou
 per number.
 
 A folder holds `vocabulary` (Parquet: token, n, rank), `manifest` (Parquet: one row for each
-shard that was committed) and the shards. A shard is a sequence of blocks of bounded size:
-a header of four unsigned 32-bit numbers (document parts, numbers, control bytes, data bytes),
-then per part its doc_id (64 bit), its count of numbers (32 bit) and a flag byte, then the
-control bytes, then the data bytes. All integers are little-endian.
+shard that was committed) and the shards. A shard is a sequence of blocks of bounded size: a header of three unsigned 32-bit
+numbers (document parts, control bytes, data bytes), then for all parts their doc_ids (64 bit),
+counts of numbers, counts of data bytes (32 bit each) and flag bytes, then the control bytes,
+then the data bytes. A part begins at a whole control byte. All integers are little-endian.
 
 Rows with a null text have the end id alone. Null doc_ids come first; rows that repeat a
-doc_id are kept, ordered by their text. An empty table gives a folder without shards.
+doc_id are kept in the order in which they were read. An empty table gives a folder without shards.
 """
 
 from __future__ import annotations
@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from postgauge.llm.tables import open_folder, shuffle_width
+from postgauge.llm.tables import fresh_path, open_folder, shuffle_width
 from postgauge.llm.tokens import Encoder
 
-BLOCK = 1 << 20  # numbers in a block, at most
+BLOCK = 1 << 20  # data bytes after which a block is written
+PART = 1 << 20  # ids of a document that are handled at once
+TOKENIZED = "doc_id bigint, row bigint, part int, more boolean, ids binary"
 NULL_ID, CONTINUED = 1, 2  # flags of a document part
 LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], "<i8")
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], "<u4")
@@ -61,66 +63,95 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class ShardWriter:
-    """Collects documents and writes a block whenever enough numbers have come."""
+    """Collects the packed parts of documents and writes a block whenever enough have come."""
 
     def __init__(self, out):
-        self.out, self.parts, self.numbers, self.n = out, [], [], 0
-
-    def add(self, doc_id: int | None, ranks: np.ndarray) -> None:
-        null = NULL_ID if doc_id is None else 0
-        while True:
-            cut, ranks = ranks[: BLOCK - self.n], ranks[BLOCK - self.n :]
-            self.parts.append((doc_id or 0, len(cut), null | (CONTINUED if len(ranks) else 0)))
-            self.numbers.append(cut)
-            self.n += len(cut)
-            if self.n == BLOCK:
-                self.flush()
-            if not len(ranks):
-                return
+        self.out, self.parts, self.control, self.data, self.size = out, [], [], [], 0
+
+    def add(self, doc_id: int | None, n: int, flags: int, control: bytes, data: bytes) -> None:
+        self.parts.append((doc_id or 0, n, len(data), flags | (NULL_ID if doc_id is None else 0)))
+        self.control.append(control)
+        self.data.append(data)
+        self.size += len(data)
+        if self.size >= BLOCK:
+            self.flush()
 
     def flush(self) -> None:
         if self.parts:
-            control, data = pack(np.concatenate(self.numbers))
-            ids, counts, flags = zip(*self.parts, strict=True)
-            self.out.write(struct.pack("<4I", len(ids), self.n, len(control), len(data)))
-            self.out.write(np.array(ids, "<i8").tobytes() + np.array(counts, "<u4").tobytes() + bytes(flags))
+            ids, counts, sizes, flags = zip(*self.parts, strict=True)
+            control, data = b"".join(self.control), b"".join(self.data)
+            self.out.write(struct.pack("<3I", len(ids), len(control), len(data)))
+            self.out.write(np.array(ids, "<i8").tobytes() + np.array([counts, sizes], "<u4").tobytes() + bytes(flags))
             self.out.write(control + data)
-        self.parts, self.numbers, self.n = [], [], 0
+        self.parts, self.control, self.data, self.size = [], [], [], 0
 
 
 def read_shard(source) -> Iterator[tuple[int | None, list[np.ndarray]]]:
     """Documents of a shard in their order, each with its ranks in one or more arrays."""
     held: list[np.ndarray] = []
-    while head := source.read(16):
-        parts, n, n_control, n_data = struct.unpack("<4I", head)
-        ids = np.frombuffer(source.read(8 * parts), "<i8")
-        counts = np.frombuffer(source.read(4 * parts), "<u4").astype(np.int64)
-        flags = source.read(parts)
-        control = source.read(n_control)
-        numbers = unpack(control, source.read(n_data), n)
-        ends = np.cumsum(counts)
-        for doc_id, begin, end, flag in zip(ids.tolist(), (ends - counts).tolist(), ends.tolist(), flags, strict=True):
-            held.append(numbers[begin:end])
+    while head := source.read(12):
+        parts, n_control, n_data = struct.unpack("<3I", head)
+        ids = np.frombuffer(source.read(8 * parts), "<i8").tolist()
+        counts, sizes = np.frombuffer(source.read(8 * parts), "<u4").reshape(2, -1).tolist()
+        flags, control, data = source.read(parts), source.read(n_control), source.read(n_data)
+        c = d = 0
+        for doc_id, n, size, flag in zip(ids, counts, sizes, flags, strict=True):
+            c_end = c + -(-n // 4)
+            held.append(unpack(control[c:c_end], data[d : d + size], n))
+            c, d = c_end, d + size
             if not flag & CONTINUED:
                 yield None if flag & NULL_ID else doc_id, held
                 held = []
 
 
-def token_counts(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text") -> DataFrame:
+def _rows(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    if rows:
+        columns = zip(schema.types, zip(*rows, strict=True), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for t, c in columns], schema=schema)
+
+
+def _arrow(schema: str) -> pa.Schema:
+    return to_arrow_schema(T._parse_datatype_string(schema))
+
+
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, row (unique), part and ids (little-endian unsigned 32 bit); a document's parts have
+    at most `PART` ids, the last one ends with the end id."""
+    arrow = _arrow(TOKENIZED)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = Encoder(tokenizer), np.array([end_id], "<u4")
+        for batch in batches:
+            rows, size = [], 0
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            texts = (value.as_py() for value in batch.column(2))
+            for (key, row), ids in zip(keys, encoder.many(texts), strict=True):
+                ids = np.concatenate([ids, end])
+                for part, begin in enumerate(range(0, len(ids), PART)):
+                    cut = ids[begin : begin + PART]
+                    rows.append((key, row, part, begin + PART < len(ids), cut.tobytes()))
+                    size += len(cut)
+                if size >= PART:
+                    yield from _rows(rows, arrow)
+                    rows, size = [], 0
+            yield from _rows(rows, arrow)
+
+    given = docs.select(F.col(doc_id).cast("bigint"), F.monotonically_increasing_id(), text)
+    return given.mapInArrow(encode, TOKENIZED)
+
+
+def token_counts(stored: DataFrame, size: int) -> DataFrame:
     """How often each id occurs in the corpus: (token, n). Each task sends its own sums only."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        total = np.zeros(max(encoder.size, end_id + 1), np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                ids = encoder.ids(value.as_py())
-                total += np.bincount(ids, minlength=len(total))
-            total[end_id] += len(batch)
+            for ids in batch.column(0):
+                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=size)
         tokens = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(total[tokens])], ["token", "n"])
 
-    return docs.select(text).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    return stored.select("ids").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
@@ -128,48 +159,59 @@ def write_token_files(
 ) -> None:
     """Write `docs` into `path`, documents in ascending order over all shards.
 
-    A task writes its shard under a name of its own and reports it; only shards whose task
-    succeeded are in the manifest, so a repeated task leaves at most an unused file. The
-    rank table is as long as the vocabulary, whatever the corpus.
+    Texts are encoded once and their ids stored; what moves to its place in the order
+    are packed ranks, about half the bytes of the text. A task writes its shard under
+    a name of its own and reports it; only shards whose task succeeded are in the manifest,
+    so a repeated task leaves at most an unused file. The rank table is as long as the
+    vocabulary, whatever the corpus.
     """
     spark = docs.sparkSession
+    ids = fresh_path(spark, "ids")
+    tokenized(docs, tokenizer, end_id, doc_id, text).write.option("compression", "zstd").parquet(ids)
+    stored = spark.read.parquet(ids)
+    size = max(Encoder(tokenizer).size, end_id + 1)
     by_count = W.orderBy(F.desc("n"), "token")  # as many rows as the vocabulary has
-    counts = token_counts(docs, tokenizer, end_id, text)
-    counts.withColumn("rank", F.row_number().over(by_count) - 1).write.parquet(f"{path}/vocabulary")
+    token_counts(stored, size).withColumn("rank", F.row_number().over(by_count) - 1).write.parquet(f"{path}/vocabulary")
     table = spark.read.parquet(f"{path}/vocabulary").toPandas()
-    ranks = np.zeros(int(table["token"].max()) + 1 if len(table) else 1, "<u4")
+    ranks = np.zeros(size, "<u4")
     ranks[table["token"].to_numpy(int)] = table["rank"].to_numpy("u4")
 
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(4)]
+            packed = [pack(ranks[x]) for x in arrays]
+            made = [pa.array([len(x) for x in arrays], pa.int64())]
+            made += [pa.array(list(x), pa.binary()) for x in (zip(*packed, strict=True) if packed else ([], []))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], packed_arrow.names)
+
+    packed_schema = TOKENIZED.replace("ids binary", "n bigint, control binary, data binary")
+    packed_arrow = _arrow(packed_schema)
+    report = "shard bigint, file string, n_docs bigint, n_tokens bigint"
+    report_arrow = _arrow(report)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, name, out = Encoder(tokenizer), f"{uuid.uuid4().hex}.ids", None
+        name, out = f"{uuid.uuid4().hex}.ids", None
         n_docs = n_tokens = 0
-        end = np.array([end_id], "<u4")
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for key, more, n, control, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
                     system, folder = open_folder(f"{path}/shards")
                     system.create_dir(folder, recursive=True)
                     out = system.open_output_stream(f"{folder}/{name}")
                     shard = ShardWriter(out)
-                ids = np.concatenate([encoder.ids(value.as_py()), end])
-                shard.add(key, ranks[ids])
-                n_docs, n_tokens = n_docs + 1, n_tokens + len(ids)
+                shard.add(key, n, CONTINUED if more else 0, control, data)
+                n_docs, n_tokens = n_docs + (not more), n_tokens + n
         if out is not None:
             shard.flush()
             out.close()
-            row = {"shard": TaskContext.get().partitionId(), "file": name, "n_docs": n_docs, "n_tokens": n_tokens}
-            yield pa.RecordBatch.from_pylist([row])
+            yield from _rows([(TaskContext.get().partitionId(), name, n_docs, n_tokens)], report_arrow)
 
-    tie = F.xxhash64(text)  # rows that share a doc_id spread over tasks
-    ordered = (
-        docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), tie.alias("tie"))
-        .repartitionByRange(shards or shuffle_width(spark), "doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
-        .select("doc_id", "text")
-    )
-    ordered.mapInArrow(write, "shard bigint, file string, n_docs bigint, n_tokens bigint").write.parquet(f"{path}/manifest")
+    # Rows that share a doc_id spread over tasks, but the parts of a row stay together.
+    placed = stored.mapInArrow(rank, packed_schema).repartitionByRange(shards or shuffle_width(spark), "doc_id", "row")
+    ordered = placed.sortWithinPartitions("doc_id", "row", "part").select("doc_id", "more", "n", "control", "data")
+    ordered.mapInArrow(write, report).write.parquet(f"{path}/manifest")
 
 
 Reduce = Callable[[int | None, np.ndarray], tuple]
@@ -186,7 +228,7 @@ def read_token_files(spark: SparkSession, path: str, reduce: Reduce | None = Non
     manifest = spark.read.parquet(f"{path}/manifest")
     shards = manifest.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
     full = f"doc_id bigint, start bigint, n_tokens bigint, {schema}"
-    arrow = to_arrow_schema(T._parse_datatype_string(full))
+    arrow = _arrow(full)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,19 +241,13 @@ def read_token_files(spark: SparkSession, path: str, reduce: Reduce | None = Non
                         rows.append((key, at, len(ids), *reduce(ids)))
                         at += len(ids)
                         if len(rows) == 1000:
-                            yield from _batches(rows, arrow)
+                            yield from _rows(rows, arrow)
                             rows = []
-                yield from _batches(rows, arrow)
+                yield from _rows(rows, arrow)
 
     return shards.repartition(shuffle_width(spark)).mapInArrow(decode, full)
 
 
-def _batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    if rows:
-        columns = zip(schema.types, zip(*rows, strict=True), strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for t, c in columns], schema=schema)
-
-
 def crc32(ids: np.ndarray) -> int:
     """Checksum of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4"))

@@ -2,42 +2,132 @@
 
 from __future__ import annotations
 
+import gc
+import re
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import compress, repeat
+from operator import is_
+
 import numpy as np
 
+# A word, perhaps with punctuation after it that neither shortens words nor marks special tokens.
+_SIMPLE = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)?\Z")
+
+
+_PROBES = ["abcdefghijklm", "nopqrstuvwxyz", "ABCDEFGHIJKLM", "NOPQRSTUVWXYZ", "the", "The", "Zebra"]
 
-class Encoder(dict):
+
+class Encoder:
     """Ids of texts, remembering the pieces between blanks that were met before.
 
     White space ends every token of the tokenizers this is meant for (`splits` tells
     whether that holds for the file), so the ids of a text are those of its pieces
-    between blanks and line ends, one after the other. Natural text repeats its words, and
-    a remembered piece costs one dictionary access. Memory is bounded: at most `keep`
-    pieces of at most `longest` characters stay.
+    between blanks and line ends, one after the other. New pieces that are plain words
+    are encoded many in one call: their last tokens carry the vocabulary's end-of-word
+    mark, which shows where one word ends; words of ASCII letters go to the tokenizer's model
+    directly if it takes them as they are. Memory is bounded: at most `keep` pieces of at
+    most `longest` characters are remembered.
     """
 
-    def __init__(self, path: str, keep: int = 1 << 18, longest: int = 64):
-        super().__init__()
+    def __init__(self, path: str, keep: int = 1 << 20, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.longest = Tokenizer.from_file(path), keep, longest
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.known: dict[str, bytes] = {"": b""}
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.size, bool)
+        if mark:
+            for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.ends[number] = token.endswith(mark)
+        self.plain = bool(mark) and array("I").itemsize == 4 and all(map(self._is_plain, _PROBES))
         self.splits = self._whole("a b\nc d").tobytes() == b"".join(self._whole(x).tobytes() for x in "abcd")
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._whole(piece).tobytes()
-        if len(piece) <= self.longest:
-            if len(self) >= self.keep:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def _is_plain(self, word: str) -> bool:
+        """Whether the model alone, given the word in lower case, makes the word's ids."""
+        return self._whole(word).tolist() == [t.id for t in self.tokenizer.model.tokenize(word.lower())]
 
-    def ids(self, text: str | None) -> np.ndarray:
-        """Ids of a text as unsigned 32-bit integers; a null text has none."""
-        if not text:
-            return np.empty(0, "<u4")
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, each apart."""
+        ids = self._whole(" ".join(words))
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or len(ids) != ends[-1]:  # some word is more than one to the tokenizer
+            return [self._whole(w).tobytes() for w in words]
+        data, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self, pieces: set[str]) -> None:
+        known = self.known
+        joined, new, other = [], set(), []
+        for piece in pieces:
+            simple = _SIMPLE.match(piece) if len(piece) <= self.longest else None
+            if simple is None:
+                other.append(piece)
+                continue
+            word, tail = simple.groups()
+            if word not in known:
+                new.add(word)
+            if tail:
+                joined.append((piece, word, tail))
+                if tail not in known:
+                    known[tail] = self._whole(tail).tobytes()
+        if self.plain:
+            model = self.tokenizer.model.tokenize
+            for word in filter(str.isascii, new):
+                known[word] = array("I", [t.id for t in model(word.lower())]).tobytes()
+            new = {word for word in new if not word.isascii()}
+        if new:
+            words = list(new)
+            for k in range(0, len(words), 500):
+                known.update(zip(words[k : k + 500], self._words(words[k : k + 500])))
+        for piece, word, tail in joined:
+            known[piece] = known[word] + known[tail]
+        for piece in other:
+            known[piece] = self._whole(piece).tobytes()
+
+    def many(self, texts: Iterable[str | None], together: int = 1 << 20) -> Iterator[np.ndarray]:
+        """Ids of each text as unsigned 32-bit integers; a null text has none."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size >= together:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
         if not self.splits:
-            return self._whole(text)
-        return np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), "<u4")
+            return [self._whole(text) for text in texts]
+        if len(self.known) > self.keep:  # before a group: its pieces stay until it is done
+            self.known = {"": b""}
+        collects = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and passes over all remembered pieces take long
+        try:
+            parts = [text.replace("\n", " ").split(" ") for text in texts]
+            found = [list(map(self.known.get, p)) for p in parts]
+            missing: set[str] = set()
+            for p, f in zip(parts, found):
+                missing.update(compress(p, map(is_, f, repeat(None))))
+            if missing:
+                self._learn(missing)
+            made = []
+            for p, f in zip(parts, found):
+                if None in f:
+                    f = map(self.known.__getitem__, p)
+                made.append(np.frombuffer(b"".join(f), "<u4"))
+            for piece in missing:
+                if len(piece) > self.longest:
+                    del self.known[piece]
+            return made
+        finally:
+            if collects:
+                gc.enable()
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return next(self.many([text]))
