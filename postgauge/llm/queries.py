@@ -26,9 +26,12 @@ def query(f: Query) -> Query:
 
 @query
 def op1_url_reputation(spark, folder):
-    """Pages with the quality label of the document of the same number as their outcome."""
-    outcomes = read(spark, folder, "labels").withColumnRenamed("doc_id", "page_id")
-    return url_filter.judge_urls(read(spark, folder, "pages"), outcomes)
+    """A page's outcome is the quality label of the document whose number its path ends with."""
+    pages = read(spark, folder, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_filter.path("url"), r"/([0-9]{1,18})[^/0-9]*/?$", 1)
+    shown = pages.select("page_id", number.try_cast("bigint").alias("doc_id"))
+    outcomes = shown.join(read(spark, folder, "labels").select("doc_id", "quality"), "doc_id").select("page_id", "quality")
+    return url_filter.judge_urls(pages, outcomes)
 
 
 @query
