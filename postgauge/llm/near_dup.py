@@ -9,12 +9,11 @@ a whole run only where little else is in the document. Lists name the overlappin
 1. In every list each node is paired with the list's smallest node, never all with all.
    Pairs that pass the union-sketch estimate are verified on full shingle sets; the links
    give components.
-2. Lists that still hold several components are searched in blocks, pairs of nodes of
-   different components only, each pair in one list; what passes the estimate is verified too.
+2. Lists that still hold several components are searched for links between these: short ones
+   pair by pair with estimate and verification, long ones in blocks on full sets.
 
 So every pair of a list is either linked, estimated apart, verified, or inside one component
-already: large groups of copies cost one pair per copy, and no link that joins two components
-is lost.
+already: copies cost one pair per copy, and no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -29,14 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postgauge.llm.tables import map_beside, materialise, shuffle_width, small
+from postgauge.llm.tables import map_beside, materialise, small
 
 WORDS = 5  # in a shingle
 KEPT = 64  # values in a sketch
 RUN = 4  # neighbouring values in a key; 3 for sets in which a run of 4 could be broken
 SHORT = 14  # sets up to this size get keys of 3 values besides
 SLACK = 5.0  # standard deviations by which an estimate may fall short
-BLOCK = 256  # nodes of a list that are compared at once with as many others
+SHORT_LIST = 64  # entries of a list that is searched where it lies
+BLOCK = 256  # nodes that are compared at once with as many others
 # Letters A-Z become lower case and ASCII white space parts words.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -172,9 +172,9 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are similar. A node is the id of a document that
-    has its set; only texts of documents in a pair are read into sets again."""
+def _sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, shingles) of the nodes in `wanted`: a node is the id of a document that has its
+    set, and only the texts of these documents are read into sets again."""
 
     def start():
         numbers = WordHash()
@@ -184,6 +184,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text
 
         return work
 
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
+    texts = texts.join(small(materialise(wanted)), "node", "left_semi")
+    inputs = [F.col("node"), F.col("text")]
+    sets = map_beside(texts, inputs, start, "node bigint, shingles binary", carry=[]).drop("row")
+    return materialise(sets.groupBy("node").agg(F.first("shingles").alias("shingles")))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets are similar."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
@@ -193,13 +203,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text
                 kept.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
-    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b").select("node").distinct())
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).alias("text"))
-    texts = texts.join(small(wanted), "node", "left_semi")
-    inputs = [F.col("node"), F.col("text")]
-    sets = map_beside(texts, inputs, start, "node bigint, shingles binary", carry=[]).drop("row")
-    # Rows that repeat an id: the one whose set was made a node is found by its digest below.
-    sets = materialise(sets.groupBy("node").agg(F.first("shingles").alias("shingles")))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _sets(wanted, docs, doc_id, text)
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("two"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
@@ -237,52 +242,101 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed)).first())
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of nodes that share a list, lie in different components and may be similar."""
+def _open_lists(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries (key, node, n, component, c) of the lists that hold several components."""
     labelled = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     open_ = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
-    held = materialise(labelled.join(open_.where("lo <> hi").select("key", "c"), "key"))
+    return materialise(labelled.join(open_.where("lo <> hi").select("key", "c"), "key"))
+
+
+def _short_list_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of nodes that share a short list and lie in different components."""
     entry = F.struct("node", "n", "component").alias("x")
-    short = held.where(F.col("c") <= BLOCK // 4).groupBy("key").agg(F.sort_array(F.collect_list(entry)).alias("xs"))
+    short = held.where(F.col("c") <= SHORT_LIST).groupBy("key").agg(F.sort_array(F.collect_list(entry)).alias("xs"))
 
     def partners(x, i):
         later = F.slice("xs", i + 2, F.size("xs"))
         fits = F.filter(later, lambda y: (y["component"] != x["component"]) & _sizes_fit(x["n"], y["n"], percent))
         return F.transform(fits, lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
 
-    pairs = short.select(F.explode(F.flatten(F.transform("xs", partners))).alias("p")).select("p.a", "p.b").distinct()
-    return pairs.unionByName(_in_blocks(held.where(F.col("c") > BLOCK // 4), nodes, percent)).distinct()
-
-
-def _in_blocks(held: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The same for long lists: blocks of a list meet in tasks of their own, with sketches, and
-    only pairs that pass the estimate leave a task."""
-    count = F.ceil(F.col("c") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), count).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("count") - 1))
-    placed = (
-        held.select("key", "node", "n", "component", count.alias("count"), mine.alias("mine"))
-        .select("*", other.alias("other"))
-        .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "n", "component")
-        .join(nodes.select("node", "sketch"), "node")
-    )
-
-    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        rows = [
-            (r.node, r.n, r.component, r.mine, np.frombuffer(r.sketch, "<u8"))
-            for r in group.sort_values("node").itertuples(index=False)
-        ]
-        out = []
-        for k, (a, n_a, in_a, mine_a, one) in enumerate(rows):
-            for b, n_b, in_b, mine_b, two in rows[k + 1 :]:
-                if in_a == in_b or (i != j and mine_a == mine_b) or min(n_a, n_b) * 100 < max(n_a, n_b) * percent:
-                    continue
-                if passes(one, two, percent / 100):
-                    out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return placed.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+    return short.select(F.explode(F.flatten(F.transform("xs", partners))).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _long_list_links(held: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+    """Links between components whose nodes share a long list.
+
+    Lists that share nodes form a cluster, so that two nodes meet once and not once a list. A
+    cluster is cut into blocks, large components into blocks of their own; every two blocks that
+    are not of one component meet in a task, with full shingle sets. A task counts all its
+    intersections by products of incidence matrices and returns links that join components it
+    has not yet joined: fewer rows than it has nodes, whatever the number of similar pairs.
+    """
+    long = materialise(held.where(F.col("c") > SHORT_LIST).select("key", "node", "n", "component"))
+    if long.isEmpty():
+        return docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    heads = long.groupBy("key").agg(F.min("node").alias("head"))
+    clusters = components(long.join(heads, "key").select(F.col("head").alias("a"), F.col("node").alias("b")))
+    placed = long.select("node", "n", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), "node")
+    placed = materialise(placed)
+    sizes = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("c"))
+    rest = sizes.groupBy("cluster").agg(F.ceil(F.sum(F.when(F.col("c") < BLOCK, F.col("c")).otherwise(0)) / BLOCK).alias("mixed"))
+    own = F.concat_ws("-", "component", F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK)))
+    shared = F.concat(F.lit("m"), F.pmod(F.xxhash64("component"), F.greatest("mixed", F.lit(1))))
+    large = F.col("c") >= BLOCK
+    dealt = placed.join(sizes, ["cluster", "component"]).join(rest, "cluster")
+    dealt = dealt.select(
+        "cluster", "node", "n", "component",
+        F.when(large, own).otherwise(shared).alias("block"), F.when(large, F.col("component")).alias("only"),
+    )
+    dealt = materialise(dealt)
+    blocks = dealt.select("cluster", "block", "only").distinct()
+    one = blocks.select("cluster", F.col("block").alias("i"), F.col("only").alias("in_i"))
+    two = blocks.select("cluster", F.col("block").alias("j"), F.col("only").alias("in_j"))
+    meets = F.coalesce(F.col("in_i") != F.col("in_j"), F.lit(True))
+    meetings = one.join(two, "cluster").where((F.col("i") <= F.col("j")) & meets).select("cluster", "i", "j")
+    sides = meetings.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    sets = _sets(dealt.select("node").distinct(), docs, doc_id, text)
+    rows = dealt.drop("only").join(sets, "node").join(materialise(sides), ["cluster", "block"])
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
+        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+        return join_components(group["node"].tolist(), group["component"].tolist(), sets, percent)
+
+    return rows.groupBy("cluster", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+
+
+def join_components(nodes: list[int], labels: list[int], sets: list[np.ndarray], percent: int) -> pd.DataFrame:
+    """Links (a, b) that join the components of `labels` as far as similar pairs do."""
+    sizes = np.array([len(s) for s in sets])
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    step = 1 << 14
+    for begin in range(0, len(values), step):  # a strip of the incidence matrix at a time
+        lo, hi = np.searchsorted(column, [begin, begin + step])
+        strip = np.zeros((len(sets), min(step, len(values) - begin)), np.float32)
+        strip[owner[lo:hi], column[lo:hi] - begin] = 1
+        common += strip @ strip.T
+    both = np.rint(common).astype(np.int64)
+    similar = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    root = {label: label for label in labels}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    for i, j in np.argwhere(np.triu(similar, 1)).tolist():
+        x, y = find(labels[i]), find(labels[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            links.append((nodes[i], nodes[j]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -304,10 +358,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     star = materialise(members.where(fits).select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct())
     links = materialise(_verified(materialise(_estimated(star, nodes, percent)), docs, percent, doc_id, text))
     labels = components(links)
-    rest = _open_pairs(members.select("key", "node", "n"), labels, nodes, percent).join(star, ["a", "b"], "left_anti")
-    rest = materialise(_estimated(rest, nodes, percent))
+    held = _open_lists(members, labels)
+    more = materialise(_long_list_links(held, docs, percent, doc_id, text))
+    rest = materialise(_estimated(_short_list_pairs(held, percent).join(star, ["a", "b"], "left_anti"), nodes, percent))
     if not rest.isEmpty():
-        labels = components(links.unionByName(_verified(rest, docs, percent, doc_id, text)))
+        more = more.unionByName(_verified(rest, docs, percent, doc_id, text))
+    labels = components(links.unionByName(more))
     named = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("c"))
     joined = stored.select("doc_id", "n", "digest").join(named, "digest", "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("c"))).otherwise(F.col("doc_id"))
