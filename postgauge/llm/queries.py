@@ -108,3 +108,50 @@ def op10_licenses(spark, folder):
     """Documents as files: a directory for each source, in it one for each language."""
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return licenses.scan_licenses(read(spark, folder, "documents"), path)
+
+
+_RULES_SQL = ", ".join(f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" for r in url_filter.RULES)
+_TWO_SQL = ", ".join(f"'{s}'" for s in url_filter.TWO_PART_SUFFIXES)
+
+
+def _shrink_sql(name: str, parent: str, child: str, upper: str, prior: str) -> str:
+    """Posteriors of the rows of `child` under the priors in `upper`, by `parent`."""
+    return f"""
+    {name}_s as (select {parent}, g / t as m, t, t - nn / t as w, gg - g * g / t - g / t * (1 - g / t) * (k - 1) as b from (
+        select {parent}, sum(good) as g, sum(n)::double as t, count(*) as k, sum(good * good / n) as gg, sum(n::double * n) as nn
+        from {child} group by 1)),
+    {name} as (select c.*, c.good + s.v * u.{prior} as a, c.n + s.v - (c.good + s.v * u.{prior}) as b from {child} c
+        join {upper} u using ({parent})
+        join (select {parent}, case when w > 0 and b / w > 0
+            then least(greatest(m * (1 - m) / (b / w) - 1, 1.0), 1000.0) else 1000.0 end as v from {name}_s) s using ({parent}))"""
+
+
+ORACLES["op1_url_reputation"] = f"""
+with p as (select page_id, coalesce(url, '') as url from pages),
+h as (select page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from p),
+rules(text, under, begins, verdict) as (values {_RULES_SQL}),
+fits as (select page_id, arg_max(text, length(text)) as rule, arg_max(verdict, length(text)) as verdict from h, rules
+    where (host = under or ends_with(host, '.' || under)) and starts_with(path, begins) group by 1),
+counted as (select host, count(*) as n, sum(quality)::double as good from h
+    join labels l on l.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})[^/0-9]*/?$', 1) as bigint)
+    where host <> '' and quality is not null group by 1),
+split as (select *, string_split(host, '.') as x from counted),
+tailed as (select *, case when array_to_string(x[-2:], '.') in ({_TWO_SQL}) then array_to_string(x[-2:], '.') else x[-1] end as suffix
+    from split),
+hosts as (select host, n, good, suffix, array_to_string(x[-(len(string_split(suffix, '.')) + 1):], '.') as domain from tailed),
+domains as (select domain, suffix, sum(n) as n, sum(good) as good from hosts group by 1, 2),
+suffixes as (select suffix, '' as root, sum(n) as n, sum(good) as good from domains group by 1),
+whole as (select '' as root, (sum(good) + 1) / (sum(n) + 2) as prior from suffixes),
+{_shrink_sql("by_suffix", "root", "suffixes", "whole", "prior")},
+suffix_rate as (select suffix, a / (a + b) as prior from by_suffix),
+{_shrink_sql("by_domain", "suffix", "domains", "suffix_rate", "prior")},
+domain_rate as (select domain, a / (a + b) as prior from by_domain),
+{_shrink_sql("by_host", "domain", "hosts", "domain_rate", "prior")},
+bad as (select host from by_host
+    where a / (a + b) + 1.96 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) < 0.8)
+select h.page_id, h.host, h.path, f.rule,
+    coalesce(f.verdict, case when h.host in (select host from bad) then 'block' else 'allow' end) as verdict
+from h left join fits f using (page_id)
+"""

@@ -29,7 +29,7 @@ ALLOWED = (
     r"[^0-9]*",  # no digit: words, headings, separators
     r"[0-9_=+/-]*",  # no letter: numbers, dates, rulers
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUID
-    r"(?i).*(example|sample|placeholder|changeme|your|dummy|test|xxxx|0123456789|abcdefgh).*",
+    r"(?i).*(example|sample|placeholder|changeme|dummy|0123456789|abcdefgh).*",
     r"(?i)(sha(1|256|384|512)|md5)[-=_].*",  # a checksum that says so
     r"[a-z]+([_/-][a-z0-9]{1,12})+",  # identifiers, slugs and paths
 )
