@@ -12,8 +12,9 @@ QUESTION, ANSWER = 1, 2
 
 
 def numeric(c: str) -> Column:
-    """The column as a double; what is not a number becomes null."""
-    return F.col(c).try_cast("double")
+    """The column as a double; what is not a number, NaN included, becomes null."""
+    value = F.col(c).try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def group_key(c: str) -> Column:
@@ -45,7 +46,7 @@ def score_above(threshold: float, score: str = "Score") -> Column:
 
 
 def answered_flag(count: str = "AnswerCount") -> Column:
-    return F.when(F.col(count).try_cast("double") > 0, "Answered").otherwise("Unanswered")
+    return F.when(numeric(count) > 0, "Answered").otherwise("Unanswered")
 
 
 def display_text(c: str) -> Column:

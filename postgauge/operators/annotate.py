@@ -13,6 +13,8 @@ STORE = "label_store"
 MAP = "map<string,string>"
 # Label keys a broadcast registry may hold.
 REGISTRY_ROWS = 100_000
+# Label keys that may become columns.
+MAX_KEYS = 1000
 
 
 def init_store(c: str = STORE) -> Column:
@@ -63,14 +65,12 @@ def apply_labels(df: DataFrame, edits: DataFrame, row_id: str = "Id", store: str
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("fresh")
     )
     old = F.col("old")
-    merged = F.when(F.col("fresh").isNull(), old).otherwise(
-        F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(F.col("fresh"), k)), F.col("fresh"))
-    )
+    merged = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(F.col("fresh"), k)), F.col("fresh"))
     return (
         with_store(df, store)
         .withColumn("old", store_map(store))
         .join(fresh, row_id, "left")
-        .withColumn(store, F.to_json(merged))
+        .withColumn(store, F.when(F.col("fresh").isNull(), F.col(store)).otherwise(F.to_json(merged)))
         .drop("old", "fresh")
     )
 
@@ -87,10 +87,15 @@ def expand_labels(
 ) -> DataFrame:
     """One column per key, null (or `empty`) where a row has none.
 
-    Keys in use are looked up if not given; as they become columns, they must be few.
+    Keys in use are looked up if not given; as they become columns, more than `MAX_KEYS` are
+    refused, and so are keys that name a column already there, whatever their case.
     """
     if keys is None:
-        keys = [r["key"] for r in label_keys(df, store, []).collect()]
+        keys = [r["key"] for r in label_keys(df, store, []).limit(MAX_KEYS + 1).collect()]
+    names = [name.lower() for name in [*df.columns, *keys]]
+    clashes = sorted({k for k in keys if names.count(k.lower()) > 1})
+    if len(keys) > MAX_KEYS or clashes:
+        raise ValueError(f"label keys can't become columns: {clashes[:5] or f'more than {MAX_KEYS}'}")
     labels = store_map(store)
     return df.withColumns({k: F.coalesce(F.try_element_at(labels, F.lit(k)), F.lit(empty)) for k in keys})
 

@@ -18,9 +18,11 @@ def make_classifier(algorithm: str = "random_forest", seed: int = fixed.SEED, ro
     """An unfitted classifier; `rows` turns the L2 strength per data set into one per row."""
     params = params or {}
     if algorithm == "random_forest":
+        if (params.get("max_depth") or 0) > DEEPEST:
+            raise ValueError(f"max_depth is at most {DEEPEST}, or None for the deepest")
         return RandomForestClassifier(
             numTrees=params.get("n_estimators", 100),
-            maxDepth=min(params.get("max_depth") or DEEPEST, DEEPEST),
+            maxDepth=params.get("max_depth") or DEEPEST,
             # A node is split from min_samples_split rows on; its children may then hold one row.
             minInstancesPerNode=max(1, params.get("min_samples_split", 2) // 2),
             seed=seed,
@@ -29,7 +31,7 @@ def make_classifier(algorithm: str = "random_forest", seed: int = fixed.SEED, ro
         return LogisticRegression(
             maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
         )
-    raise ValueError(f"Unknown algorithm: {algorithm}. Supported: 'random_forest', 'logistic_regression'")
+    raise ValueError(f"Unknown algorithm: {algorithm}; choose random_forest or logistic_regression")
 
 
 def fit_classifier(

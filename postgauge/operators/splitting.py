@@ -27,7 +27,7 @@ def _as_number(digest: Column) -> Column:
 def fill_missing_groups(df: DataFrame, group: str = "OwnerUserId", row_id: str = "Id") -> DataFrame:
     """A row without a group becomes a group of its own."""
     if group not in df.columns:
-        raise KeyError(f"Dimension '{group}' not found in DataFrame.")
+        raise KeyError(f"no column '{group}' to split by")
     own = F.concat(F.lit("unknown_"), F.col(row_id).cast("string"))
     return df.withColumn(group, F.coalesce(F.col(group).cast("string"), own))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,11 +34,19 @@ def _string_schema(columns: list[str]) -> T.StructType:
 
 
 def typed_posts(raw: DataFrame, group_column: str = "OwnerUserId") -> DataFrame:
-    """Cast known columns; a value that does not fit its type becomes null."""
-    columns = [
-        F.col(c).try_cast(POST_TYPES[c]).alias(c) if POST_TYPES.get(c, "string") != "string" else F.col(c)
-        for c in raw.columns
-    ]
+    """Cast known columns; a value that does not fit its type becomes null.
+
+    Whole numbers may be written with a decimal point, as in `7.0`.
+    """
+
+    def typed(c: str) -> Column:
+        kind = POST_TYPES.get(c, "string")
+        if kind in ("int", "bigint"):
+            number = F.col(c).try_cast("decimal(38,6)")
+            return F.when(number == F.floor(number), number).try_cast(kind).alias(c)
+        return F.col(c) if kind == "string" else F.col(c).try_cast(kind).alias(c)
+
+    columns = [typed(c) for c in raw.columns]
     out = raw.select(*columns)
     return out.withColumn(group_column, group_key(group_column)) if group_column in raw.columns else out
 

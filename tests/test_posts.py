@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from postgauge.functions import posts as P
-from postgauge.operators import annotate, distribution, evaluation, labeling, matching, splitting
+from postgauge.operators import annotate, distribution, evaluation, labeling, matching, models, splitting
+from postgauge.sources import post_files
 
 SCORES = [-1, 0, 1, 4, 5, 9, 10, None]
 
@@ -131,7 +132,7 @@ def test_split_keeps_authors_together(spark, exact):
 
 
 def test_split_by_unknown_column(spark):
-    with pytest.raises(KeyError, match="Dimension 'nobody'"):
+    with pytest.raises(KeyError, match="no column 'nobody'"):
         splitting.split_by_group(spark.range(3), "nobody", "id")
 
 
@@ -163,3 +164,32 @@ def test_canonical_keys(spark):
     edits = spark.createDataFrame([("question_QUALITY",), (" topic ",), ("",), ("TOPIC",)], "key string")
     registry = spark.createDataFrame([("Question_quality",)], "key string")
     assert sorted(r["key"] for r in annotate.canonical_keys(edits, registry).collect()) == ["Question_quality", "Topic", "Topic"]
+
+
+def test_not_a_number_counts_as_missing(spark):
+    df = spark.createDataFrame([(float("nan"), None, None, float("nan"))], "Score double, ClosedDate string, AcceptedAnswerId string, AnswerCount double")
+    row = df.select(P.quality_label().alias("q"), P.score_above(0).alias("above"), P.answered_flag().alias("a")).first()
+    assert tuple(row) == (-1, False, "Unanswered")
+
+
+def test_whole_numbers_with_a_decimal_point(spark):
+    raw = spark.createDataFrame([("7.0", "3", "x"), ("2.5", "-1.0", None)], "Id string, Score string, ParentId string")
+    assert [tuple(r) for r in post_files.typed_posts(raw).collect()] == [(7, 3, None), (None, -1, None)]
+
+
+def test_label_keys_that_clash_are_refused(spark):
+    df = spark.createDataFrame([(1, "t", '{"title": "x"}')], f"Id int, Title string, {annotate.STORE} string")
+    with pytest.raises(ValueError, match="title"):
+        annotate.expand_labels(df)
+
+
+def test_stores_without_edits_stay_as_they_are(spark):
+    stores = ["{broken", '{"a": 1}', '{"b":{"c":2}}']
+    df = spark.createDataFrame(list(enumerate(stores)), f"Id int, {annotate.STORE} string")
+    edits = spark.createDataFrame([], "Id int, key string, value string, ts int, event_id int")
+    assert [r[1] for r in annotate.apply_labels(df, edits).orderBy("Id").select("Id", annotate.STORE).collect()] == stores
+
+
+def test_forest_depth_beyond_the_limit_is_refused():
+    with pytest.raises(ValueError, match="max_depth"):
+        models.make_classifier(params={"max_depth": 50})
