@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
 from postgauge.operators.lookup import fits
-from postgauge.operators.quantiles import order_statistic
+from postgauge.operators.quantiles import order_statistics, value_counts
 
 # Hash digits used as a number: 13 hex digits are exact in a double.
 DIGITS = 13
@@ -50,13 +50,13 @@ def split_by_group(
     rows = fill_missing_groups(df, group, row_id)
     digest = seeded_hash(seed, group)
     if exact:
-        hashes = rows.select(F.col(group)).distinct().select(_as_number(seeded_hash(seed, group)).alias("h"))
-        n = hashes.count()
-        wanted = math.floor(train_share * n)
+        hashes = value_counts(rows.select(F.col(group)).distinct(), [_as_number(digest)])
+        wanted = math.floor(train_share * (hashes.agg(F.sum("n")).first()[0] or 0))
         if wanted == 0:
             train = F.lit(False)
         else:
-            train = _as_number(digest) <= F.lit(order_statistic(hashes, "h", wanted - 1, n))
+            last = (0, wanted - 1)
+            train = _as_number(digest) <= F.lit(order_statistics(hashes, {last})[last])
     else:
         train = digest < f"{min(int(train_share * 16**8), 16**8 - 1):08x}" if train_share < 1 else F.lit(True)
     return rows.where(train), rows.where(~train)
@@ -67,8 +67,18 @@ def group_overlap(train: DataFrame, test: DataFrame, group: str = "OwnerUserId")
     return train.select(group).intersect(test.select(group))
 
 
+def first_rows(df: DataFrame, n: int, row_id: str, *order: Column) -> DataFrame:
+    """The first n rows in an order of their ids; only ids are ranked, then n rows are fetched.
+
+    With repeated ids more than n rows may be fetched, of which n stay.
+    """
+    first = df.select(row_id).orderBy(*order).limit(n).select(F.col(row_id).alias("_first"))
+    kept = df.join(F.broadcast(first), F.col(row_id).eqNullSafe(F.col("_first")), "left_semi")
+    return kept.orderBy(*order).limit(n)
+
+
 def sample_rows(df: DataFrame, n: int = fixed.SAMPLE_SIZE, seed: int = fixed.SEED, row_id: str = "Id") -> DataFrame:
     """Exactly n rows, the same ones every time; asking for more than there are raises."""
     if n > 0 and fits(df.select(row_id), n - 1):
         raise ValueError(f"cannot take a sample of {n} rows from fewer")
-    return df.orderBy(seeded_hash(seed, row_id), row_id).limit(n)
+    return first_rows(df, n, row_id, seeded_hash(seed, row_id), F.col(row_id))

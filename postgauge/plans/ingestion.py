@@ -29,13 +29,14 @@ def ingest_posts(
     group: str = "OwnerUserId",
     train_share: float = fixed.TRAIN_SHARE,
     seed: int = fixed.SEED,
+    columns: list[str] | None = None,
 ) -> Ingested:
     """XML in, `train` and `test` tables out; raises if an author is on both sides.
 
-    The cleaned posts are stored once and both sides read from there, so the XML is
-    parsed a single time.
+    Any attribute may be the group. The cleaned posts are stored once and both sides read
+    from there; `columns` names the attributes to read and spares the pass that finds them.
     """
-    raw = read_posts_xml(spark, source, group_column=group)
+    raw = read_posts_xml(spark, source, columns, group_column=group)
     if post_type is not None:
         raw = raw.where(raw.PostTypeId == post_type)
     if cap is not None:

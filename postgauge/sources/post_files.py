@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from postgauge.functions import fixed
 from postgauge.functions.posts import group_key
+from postgauge.operators.splitting import first_rows
 
 # Attributes of a post row, with the type each has once read.
 POST_TYPES = {
@@ -51,24 +52,47 @@ def typed_posts(raw: DataFrame, group_column: str = "OwnerUserId") -> DataFrame:
     return out.withColumn(group_column, group_key(group_column)) if group_column in raw.columns else out
 
 
+# The text of a row element after its name, up to the end of its tag.
+ROW_TAG = r"""^((?:[^"'<>]++|"[^"<]*+"|'[^'<]*+')*+)>"""
+ATTRIBUTE = r"""([^\s"'<>/=]+)\s*=\s*(?:"[^"]*"|'[^']*')"""
+
+
+def row_elements(spark: SparkSession, path: str) -> DataFrame:
+    """One record for each `<row .../>` in the files, as `xml`, wherever lines begin and end.
+
+    Text is cut before every row, so Spark splits one large file over many tasks. A row whose
+    tag can't be read stays as it is, for the parser to refuse; what stands before the first
+    row of a file (markup or blanks) is no row.
+    """
+    records = spark.read.option("lineSep", "<row").text(path)
+    # "<rows" and the like begin another element; a file begins with markup.
+    records = records.where(F.col("value").rlike(r"^[\s/>]") & ~F.col("value").rlike(r"^\s*(<|$)"))
+    attributes = F.regexp_extract("value", ROW_TAG, 1)
+    element = F.concat(F.lit("<row"), F.rtrim(F.rtrim(attributes), F.lit("/")), F.lit("/>"))
+    return records.select(F.when(F.col("value").rlike(ROW_TAG), element).otherwise(F.concat(F.lit("<row"), "value")).alias("xml"))
+
+
+def attribute_names(rows: DataFrame) -> list[str]:
+    """Attributes that occur in any row, sorted: a pass over the files that brings names only."""
+    names = F.regexp_extract_all("xml", F.lit(ATTRIBUTE), F.lit(1))
+    return sorted(r["name"] for r in rows.select(F.explode(F.array_distinct(names)).alias("name")).distinct().collect())
+
+
 def read_posts_xml(
     spark: SparkSession, path: str, columns: list[str] | None = None, group_column: str = "OwnerUserId"
 ) -> DataFrame:
-    """Posts from files with one `<row .../>` per line; attributes become columns.
+    """Posts from files of `<row .../>` elements; attributes become columns.
 
-    Line mode lets Spark split one large file over many tasks. The lines around the
-    rows come back as all-null records and are dropped.
+    Every row is kept, one without attributes too, and a row that is no XML fails the job.
+    Without `columns` all known attributes are read and all others that occur, which costs a
+    pass to find their names; a column that no row has is null.
     """
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "row")
-        .option("attributePrefix", "")
-        .option("ignoreSurroundingSpaces", "false")
-        .option("multiLine", "false")
-        .schema(_string_schema(columns or list(POST_TYPES)))
-        .load(path)
-    )
-    return typed_posts(raw.where(F.col("Id").isNotNull()), group_column)
+    rows = row_elements(spark, path)
+    if columns is None:
+        columns = [*POST_TYPES, *(n for n in attribute_names(rows) if n not in POST_TYPES)]
+    options = {"rowTag": "row", "attributePrefix": "", "ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
+    post = F.from_xml("xml", _string_schema(columns), options).alias("post")
+    return typed_posts(rows.select(post).select(*[F.col("post").getField(c).alias(c) for c in columns]), group_column)
 
 
 def write_posts_xml(df: DataFrame, path: str) -> None:
@@ -83,7 +107,7 @@ def write_posts_xml(df: DataFrame, path: str) -> None:
 
 def limit_posts(df: DataFrame, n: int = fixed.ROW_CAP) -> DataFrame:
     """The development cap: the first n posts by id."""
-    return df.orderBy("Id").limit(n)
+    return first_rows(df, n, "Id", F.col("Id"))
 
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}

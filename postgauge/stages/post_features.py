@@ -82,9 +82,17 @@ class _FeatureParams(Params):
     def prepare(self, df: DataFrame) -> DataFrame:
         """Rows with what has to be read from their texts, before anything fitted.
 
-        Stored, it serves both fit and transform, and the texts are read once.
+        Stored, it serves both fit and transform. Texts are read once for word vectors and once
+        for quality features. What was read meets its row by the id, which must be there and
+        unlike all others; other tables are refused.
         """
         out, row_id = df, self._get("idCol")
+        wanted = self._get("textCols") and RAW_TEXT not in df.columns
+        wanted = wanted or (self._get("qualityFeatures") and not set(fixed.QUALITY_FEATURES) <= set(df.columns))
+        if wanted:
+            ids = df.groupBy(row_id).agg(F.count(F.lit(1)).alias("_rows"))
+            if not ids.where(F.col(row_id).isNull() | (F.col("_rows") > 1)).isEmpty():
+                raise ValueError(f"every row needs a {row_id} of its own")
         if self._get("textCols") and RAW_TEXT not in df.columns:
             out = out.join(self._means(df), row_id)
         if self._get("qualityFeatures") and not set(fixed.QUALITY_FEATURES) <= set(df.columns):
@@ -147,7 +155,9 @@ class PostFeaturesModel(Model, _FeatureParams, DefaultParamsReadable, DefaultPar
             slots.update({f"cat__{n}": v for n, v in S.one_hot(c, *learned["categories"][c]).items()})
         for c in self._get("dateCols"):
             slots.update({f"date__{n}": v for n, v in S.date_parts(df, c).items()})
-        return {f"structured_processing__{n}": v.cast("double") for n, v in slots.items()}
+        # A date that is null or can't be read gives NaN slots.
+        nan = F.lit(float("nan"))
+        return {f"structured_processing__{n}": F.coalesce(v.cast("double"), nan) for n, v in slots.items()}
 
     def _text_names(self) -> list[str]:
         learned = self.learned
