@@ -132,6 +132,39 @@ def test_read_xml(spark, tmp_path):
     assert rows[4]["Body"] == "  c  "
 
 
+IRREGULAR = """<?xml version="1.0"?>
+<posts>
+<row Id="1"
+     PostTypeId="1" Body="two
+lines &gt; one" LastEditorUserId="77"/><row Id="2" PostTypeId="2" Body='single "quoted" href=x' ContentLicense="L" />
+<row PostTypeId="1" Body="no id"></row>
+<row/>
+</posts>
+"""
+
+
+def test_read_xml_of_any_layout(spark, tmp_path):
+    """Rows over two lines, two on a line, without id or attributes; all attributes are found."""
+    path = str(tmp_path / "Posts.xml")
+    (tmp_path / "Posts.xml").write_text(IRREGULAR)
+    df = post_files.read_posts_xml(spark, path, group_column="LastEditorUserId")
+    assert [c for c in df.columns if c not in post_files.POST_TYPES] == ["ContentLicense", "LastEditorUserId"]
+    got = sorted(((r["Id"] or 0, r["Body"], r["LastEditorUserId"], r["ContentLicense"]) for r in df.collect()), key=str)
+    assert got == sorted([
+        (0, None, None, None), (0, "no id", None, None),
+        (1, "two lines > one", "77", None), (2, 'single "quoted" href=x', None, "L"),
+    ], key=str)
+    named = post_files.read_posts_xml(spark, path, ["Id", "Nowhere"])
+    assert named.columns == ["Id", "Nowhere"] and named.count() == 4
+
+
+@pytest.mark.parametrize("broken", ['<row Id="1" Body=oops />', '<row Id="1" Body="open', '<row Id="1" Id="2"/>'])
+def test_broken_xml_rows_fail(spark, tmp_path, broken):
+    (tmp_path / "Posts.xml").write_text(f'<posts>\n<row Id="5" />\n{broken}\n</posts>')
+    with pytest.raises(Exception, match="(?i)malformed|xml"):
+        post_files.read_posts_xml(spark, str(tmp_path / "Posts.xml"), ["Id", "Body"]).collect()
+
+
 def test_ingestion(spark, tmp_path):
     (tmp_path / "Posts.xml").write_text(XML)
     done = ingestion.ingest_posts(spark, str(tmp_path / "Posts.xml"), str(tmp_path / "out"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postgauge.operators import lookup, neighbors, quantiles, structured, textstats, vectors
+from postgauge.operators import lookup, neighbors, quantiles, splitting, structured, textstats, vectors
 from postgauge.sources import derived as D
 
 
@@ -55,6 +55,27 @@ def test_wide_quantiles_are_exact(spark, seed):
     assert quantiles.exact_quantiles(df, {"x": F.col("x")}, probabilities)["x"] == pytest.approx(got, rel=1e-12)
 
 
+def test_quantiles_of_several_columns_and_extreme_values(spark):
+    big = [-1e308, -5.0, 0.0, 1e-300, 2e-300, 7.0, 1e308] * 3
+    df = spark.createDataFrame([(x, float(k % 2), None) for k, x in enumerate(big)], "a double, b double, c double")
+    columns = {c: F.col(c) for c in "abc"}
+    for most in (2, 1000):
+        got = quantiles.exact_quantiles(df, columns, [0.0, 0.5, 1.0], most)
+        assert got == {"a": [-1e308, 1e-300, 1e308], "b": [0.0, 0.0, 1.0], "c": [None] * 3}
+
+
+def test_infinite_values_keep_their_ranks(spark):
+    values = [float("-inf")] * 2 + [1.0, 2.0] + [float("inf")] * 3
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    got = quantiles.exact_quantiles(df, {"x": F.col("x")}, [0.0, 0.5, 1.0], 2)["x"]
+    assert got == [float("-inf"), 2.0, float("inf")]
+
+
+def test_first_rows_with_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None, "n"), (1, "a"), (1, "b"), (2, "c")], "Id long, x string")
+    assert [r["Id"] for r in splitting.first_rows(df, 2, "Id", F.col("Id")).collect()] == [None, 1]
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantiles.exact_median(df, F.col("x")) is None
