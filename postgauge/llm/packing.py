@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from postgauge.llm.tables import materialise
+from postgauge.llm.tables import materialise, small_batches
 from postgauge.llm.tokens import Encoder
 
 
@@ -153,7 +153,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, doc_id:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return docs.select(F.col(doc_id).cast("bigint"), text).mapInArrow(cut, schema)
+    return small_batches(docs).select(F.col(doc_id).cast("bigint"), text).mapInArrow(cut, schema)
 
 
 def solve_blocks(problems: DataFrame, capacity: int, search: Search) -> DataFrame:

@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from postgauge.session import fresh_path, materialise
 
-__all__ = ["fresh_path", "map_beside", "materialise", "open_folder", "read", "shuffle_width", "small"]
+__all__ = ["fresh_path", "map_beside", "materialise", "open_folder", "read", "shuffle_width", "small", "small_batches"]
 
 BROADCAST_ROWS = 1_000_000  # of narrow rows: a few ids or numbers
+BATCH_BYTES = 4 << 20  # of texts that a task hands to Python at once
 
 Work = Callable[[list[pa.Array]], list[pa.Array]]
 
@@ -46,6 +47,16 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; from now on the session hands Python at most about `BATCH_BYTES` at once.
+
+    Ten thousand texts, the default, may be any number of bytes, and are held several times
+    over: by the JVM on the way out and back, by Arrow, and as Python objects.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return docs
+
+
 def map_beside(
     docs: DataFrame, inputs: Sequence[Column], start: Callable[[], Work], schema: str, carry: Sequence[str] | None = None
 ) -> DataFrame:
@@ -56,7 +67,7 @@ def map_beside(
     `carry`), which no name of a result can clash with, and then the results.
     """
     kept = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)] or [F.lit(0).alias("none")]
-    given = docs.select(F.struct(*kept).alias("row"), *[c.alias(f"_{k}") for k, c in enumerate(inputs)])
+    given = small_batches(docs).select(F.struct(*kept).alias("row"), *[c.alias(f"_{k}") for k, c in enumerate(inputs)])
     results = T._parse_datatype_string(schema)
     names = ["row", *results.names]
 
