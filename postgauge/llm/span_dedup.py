@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postgauge.llm.tables import map_beside, materialise
+from postgauge.llm.tables import map_beside, materialise, small
 
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 BROADCAST_SPANS = 500_000
@@ -76,7 +76,9 @@ def repeated_spans(docs: DataFrame, sentences: int, words: int, doc_id: str = "d
     every = materialise(spans(docs, sentences, words, doc_id, text))
     first = F.min(F.struct("doc_id", "begin"))
     again = every.groupBy("hash").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = every.join(again.select("hash", "first"), "hash").where(F.struct("doc_id", "begin") != F.col("first"))
+    # Stored, so that the join has shuffles of its own, whose hot runs can be split.
+    again = small(materialise(again.select("hash", "first")))
+    later = every.join(again, "hash").where(F.struct("doc_id", "begin") != F.col("first"))
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
 
 
