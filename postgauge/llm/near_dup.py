@@ -32,8 +32,8 @@ from postgauge.llm.tables import map_beside, materialise, small
 
 WORDS = 5  # in a shingle
 KEPT = 64  # values in a sketch
-RUN = 4  # neighbouring values in a key; 3 for sets in which a run of 4 could be broken
-SHORT = 14  # sets up to this size get keys of 3 values besides
+RUN = 4  # neighbouring values in a key
+LEAST_PERCENT = 80  # below it large sets could share no run
 SLACK = 5.0  # standard deviations by which an estimate may fall short
 SHORT_LIST = 64  # entries of a list that is searched where it lies
 BLOCK = 256  # nodes that are compared at once with as many others
@@ -97,16 +97,33 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return map_beside(docs, inputs, start, "doc_id bigint, n bigint, digest binary, sketch binary", carry=[]).drop("row")
 
 
-def keys(nodes: DataFrame) -> DataFrame:
-    """Inverted-list entries: key, node, n. Sets of fewer than six shingles have none: a
-    different set can't be similar enough."""
+def run_widths(size: int, percent: int) -> list[int]:
+    """Lengths of the runs that give a set of `size` its keys.
+
+    With c values in both of two sets and d in one of them only, the c values lie in at most
+    d + 1 unbroken runs, so the longest has at least c / (d + 1). That length is a width for
+    both sets, for every c and d that make them similar enough; a small set with none can't
+    be similar to a different one. Longer runs are keyed by `RUN` values.
+    """
+    if size > KEPT:
+        return [RUN]
+    widths = set()
+    for both in range(1, size + 1):
+        for apart in range(max(1, size - both), both * (100 - percent) // percent + 1):
+            widths.add(min(RUN, -(-both // (apart + 1))))
+    return sorted(widths)
+
+
+def keys(nodes: DataFrame, percent: int) -> DataFrame:
+    """Inverted-list entries: key, node, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        widths = [run_widths(size, percent) for size in range(KEPT + 2)]
         for batch in batches:
             node, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             rows, counts = [], []
             for sketch, size in zip(batch.column(2), n, strict=True):
-                made = run_keys(np.frombuffer(sketch.as_py(), "<u8"), int(size))
+                made = run_keys(np.frombuffer(sketch.as_py(), "<u8"), widths[min(size, KEPT + 1)])
                 rows.append(made)
                 counts.append(len(made))
             if sum(counts):
@@ -116,12 +133,10 @@ def keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", "sketch").mapInArrow(run, "key bigint, node bigint, n bigint")
 
 
-def run_keys(sketch: np.ndarray, size: int) -> np.ndarray:
+def run_keys(sketch: np.ndarray, widths: list[int]) -> np.ndarray:
     """One number for every run of neighbouring values."""
-    if size < 6:
-        return np.empty(0, np.uint64)
-    made = []
-    for width in (3, RUN) if size <= SHORT else (RUN,):
+    made = [np.empty(0, np.uint64)]
+    for width in widths:
         rolled = np.full(len(sketch) - width + 1, width, np.uint64)
         for k in range(width):
             rolled += _mixed(sketch[k : len(sketch) - width + 1 + k] * _ODD[k] + np.uint64(k + 1))
@@ -347,11 +362,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     without words have no shingle and are linked with nothing; texts of fewer than five words
     are linked with equal ones only. Rows with one doc_id are one document. A row without
     doc_id is kept, has no component and is linked with nothing. An empty table gives no rows.
+    Less than 80 percent is refused: large sets could then share no run.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent is between {LEAST_PERCENT} and 100")
     stored = materialise(sketches(docs, doc_id, text))
     filled = stored.where("n > 0 and doc_id is not null")
     nodes = materialise(filled.groupBy("digest", "n", "sketch").agg(F.min("doc_id").alias("node")))
-    entries = keys(nodes)
+    entries = keys(nodes, percent)
     heads = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("c"))
     members = materialise(entries.join(heads.where("c > 1").select("key", "head"), "key"))
     fits = _sizes_fit(F.col("n"), F.col("head.n"), percent) & (F.col("node") != F.col("head.node"))

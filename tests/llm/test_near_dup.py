@@ -62,6 +62,39 @@ def test_families_of_edited_copies(spark, percent, monkeypatch):
     assert got == expected(list(enumerate(docs)), percent)
 
 
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_similar_small_sets_share_a_key(percent):
+    """All sizes at which sketches hold whole sets, differences placed evenly and at random."""
+    rng = random.Random(percent)
+    for both, one, two in itertools.product(range(1, 52), range(4), range(4)):
+        apart = one + two
+        if not apart or 100 * both < percent * (both + apart):
+            continue
+        for trial in range(4):
+            values = np.sort(np.random.default_rng(trial).choice(2**60, both + apart, replace=False).astype(np.uint64))
+            if trial:
+                odd = rng.sample(range(both + apart), apart)
+            else:  # the runs between differences as short as can be
+                odd = [(k + 1) * (both + apart + 1) // (apart + 1) - 1 for k in range(apart)]
+            a = np.delete(values, odd[:one])
+            b = np.delete(values, odd[one:])
+            found = [set(N.run_keys(x, N.run_widths(len(x), percent)).tolist()) for x in (a, b)]
+            assert found[0] & found[1], (both, one, two)
+
+
+def test_short_texts_at_the_threshold(spark):
+    """Four of five shingles in both, and five of six."""
+    words = [f"w{k}" for k in range(30)]
+    docs = [words[:8], words[:9], words[10:19], words[10:20], words[20:27], words[20:28]]
+    table = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id bigint, text string")
+    rows = [(k, " ".join(d)) for k, d in enumerate(docs)]
+    for percent in (80, 85):
+        assert sorted(tuple(r) for r in N.near_duplicates(table, percent).collect()) == expected(rows, percent)
+    assert sorted(r.component_id for r in N.near_duplicates(table, 80).collect()) == [0, 0, 2, 2, 4, 5]
+    with pytest.raises(ValueError, match="percent"):
+        N.near_duplicates(table, 50)
+
+
 def test_odd_texts(spark, odd):
     got = N.near_duplicates(odd).collect()
     assert len(got) == odd.count()
