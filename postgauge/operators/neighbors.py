@@ -37,10 +37,27 @@ def _unit(df: DataFrame) -> DataFrame:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances by a matrix product, measured from the middle of `b`, where they cancel least."""
+    middle = b.mean(0)
+    a, b = a - middle, b - middle
     squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
     return np.sqrt(np.maximum(squares, 0.0))
 
 
+def _error(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the squares of a row's `_distances` may be off by: rounding grows with the norms."""
+    middle = b.mean(0)
+    a, b = a - middle, b - middle
+    eps, width = np.finfo(float).eps, a.shape[1]
+    largest = (a * a).sum(1) + (b * b).sum(1).max() + eps * width * np.abs(middle).max() ** 2
+    return 8.0 * (width + 4) * eps * largest[:, None] + np.finfo(float).tiny
+
+
+def _off(distance: np.ndarray, error: np.ndarray) -> np.ndarray:
+    """The error of distances whose squares have `error`."""
+    return error / np.maximum(distance, np.sqrt(error))
+
+
 def _assign(pivots: np.ndarray):
     def run(batches):
         for pdf in batches:
@@ -65,12 +82,15 @@ def _route(pivots: np.ndarray, radius: np.ndarray, inner: np.ndarray, nearest: n
     def visits(vectors: np.ndarray, home: np.ndarray, reached: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         d = _distances(vectors, pivots)
         own = d[np.arange(len(d)), home][:, None]
-        reach = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
+        error = _error(vectors, pivots)
+        upper = nearest + _off(nearest, error.max())
+        reach = ((d + _off(d, error))[:, :, None] + upper[None, :, :]).reshape(len(d), -1)
         # The row itself is among the counted ones, hence index k, not k - 1.
         limit = np.partition(reach, k, axis=1)[:, k] if reach.shape[1] > k else np.full(len(d), np.inf)
         limit = np.minimum(limit, reached)
-        floor = np.maximum(np.maximum(d - radius, inner - d), (d * d - own * own) / (2.0 * between[home]))
-        open_cells = floor <= (limit * (1 + 1e-6) + 1e-6)[:, None]
+        outside = np.maximum(d - radius - _off(radius, error), inner - d - _off(inner, error)) - _off(d, error)
+        floor = np.maximum(outside, (d * d - own * own - 2.0 * error) / (2.0 * between[home]))
+        open_cells = floor <= (limit * (1 + 1e-6))[:, None]
         open_cells[np.arange(len(d)), home] = False
         return open_cells, limit
 
@@ -105,7 +125,9 @@ def _best(k: int, digits: int | None):
         d = _distances(q, m)
         d[q_ids[:, None] == m_ids[None, :]] = np.inf
         edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if d.shape[1] > k else np.full((len(d), 1), np.inf)
-        rows, cols = np.nonzero(d <= np.minimum(edge, reach[:, None]) * (1 + 1e-6) + 1e-6)
+        error = _error(q, m)
+        widest = np.minimum(edge, reach[:, None])
+        rows, cols = np.nonzero(d <= widest * (1 + 1e-6) + 2.0 * _off(widest, error))
         exact = np.sqrt(((q[rows] - m[cols]) ** 2).sum(1))
         if digits is not None:
             exact = exact.round(digits)

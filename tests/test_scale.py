@@ -120,6 +120,17 @@ def test_neighbors_equal_brute_force(spark, metric, copies):
     assert all(abs(got[key][1] - d) < 1e-7 for key, (_, d) in expected.items())
 
 
+def test_neighbors_far_from_the_origin(spark):
+    """Small differences between large numbers decide, and pivots route by them."""
+    rng = np.random.default_rng(3)
+    points = 1e4 + 1e-5 * np.round(rng.normal(size=(60, 8)) * 100)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>")
+    found = neighbors.knn_graph(df, "id", "v", k=5, block_rows=16)
+    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    expected = {(i, r + 1): j for i in range(60) for r, j in enumerate([j for j in np.lexsort((range(60), d[i])) if j != i][:5])}
+    assert {(r["id"], r["rank"]): r["neighbor"] for r in found.collect()} == expected
+
+
 def test_fewer_rows_than_neighbors(spark):
     df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(4)], "id long, v array<double>")
     assert neighbors.knn_graph(df, "id", "v", k=15).count() == 12
