@@ -18,6 +18,8 @@ def make_classifier(algorithm: str = "random_forest", seed: int = fixed.SEED, ro
     """An unfitted classifier; `rows` turns the L2 strength per data set into one per row."""
     params = params or {}
     if algorithm == "random_forest":
+        if params.get("oob_score"):
+            raise ValueError("the forest has no out-of-bag score; use holdout_accuracy")
         if (params.get("max_depth") or 0) > DEEPEST:
             raise ValueError(f"max_depth is at most {DEEPEST}, or None for the deepest")
         return RandomForestClassifier(

@@ -203,6 +203,30 @@ def _one_hot() -> str:
 SPLIT_HASH = f"md5('{fixed.SEED}:' || g)"
 DOC_AS_TEXT = "coalesce(Title,'') || ' ' || coalesce(Body,'')"
 
+def _side(name: str) -> str:
+    """Whether the author of row `Id` is on that side of the split."""
+    return f"Id IN (SELECT Id FROM keyed WHERE ({SPLIT_HASH} < 'b3333333') = ({name!r} = 'train'))"
+
+
+def _full_width(fitted: str = "true", shown: str = "true") -> str:
+    """The feature matrix of the rows `shown`, scaled by the statistics of the rows `fitted`."""
+    return sql("posts keyed lexicon word_vectors", "," + _readability("posts", "Id", DOC_AS_TEXT) + rf""",
+words AS (SELECT Id, unnest(regexp_extract_all(coalesce(Body,'') || ' ' || coalesce(Title,''), '{TOKEN}')) AS token FROM posts),
+uses AS (SELECT Id, token, count(*) AS n FROM words GROUP BY Id, token),
+cells AS (SELECT Id, n, unnest(range(64)) AS dim, unnest(vector) AS v FROM uses JOIN word_vectors ON token = word),
+means AS (SELECT Id, dim, sum(v * n) / sum(n) AS value FROM cells GROUP BY Id, dim),
+f AS (
+  SELECT Id, unnest([length(coalesce(Title,''))::DOUBLE, length(Body)::DOUBLE, contains(coalesce(Title,''), '?')::INT::DOUBLE,
+      contains(Body, '?')::INT::DOUBLE, flesch_score, {ACTION_DENSITY_RAW}, {CAPS_RATIO_RAW}]) AS value,
+    64 + unnest(range(7)) AS dim
+  FROM posts JOIN scored ON Id = rid),
+m AS (SELECT dim, avg(value) AS mean, stddev_pop(value) AS dev FROM f WHERE {fitted} GROUP BY dim)
+SELECT Id, dim, round(coalesce(value, 0), 6) AS value
+FROM (SELECT Id, unnest(range(64)) AS dim FROM posts) LEFT JOIN means USING (Id, dim) WHERE {shown}
+UNION ALL
+SELECT Id, dim, round((value - mean) / CASE WHEN dev = 0 THEN 1 ELSE dev END, 6) FROM f JOIN m USING (dim) WHERE {shown}""")
+
+
 ORACLES: dict[str, str] = {
     "read_posts_limited": sql("posts", f"SELECT Id, PostTypeId::BIGINT AS PostTypeId, Score::BIGINT AS Score FROM posts ORDER BY Id LIMIT {fixed.ROW_CAP}"),
     "normalize_group_key": sql("posts", """
@@ -411,24 +435,15 @@ WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_cosine_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id)
 SELECT vec_id, neighbor, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) AS rank, round(distance, 6) AS distance
 FROM d QUALIFY rank <= 15""",
+    "save_model": sql("posts", "SELECT Id, 1::BIGINT AS same FROM posts"),
+    "post_map_rows": sql("posts", """
+SELECT Id, coalesce(Title, 'No Title') AS Title, CAST(Score AS VARCHAR) AS Score,
+  CASE WHEN AnswerCount > 0 THEN 'Answered' ELSE 'Unanswered' END AS cluster, '{}' AS label_store FROM posts WHERE PostTypeId = 1"""),
     "save_model_metadata": sql("posts", """
 SELECT 'random_forest' AS model_type, 'quality_based' AS label_type, CAST(NULL AS DOUBLE) AS median_threshold, 1::BIGINT AS dated
 UNION ALL SELECT 'random_forest', 'score_based', CAST(quantile_cont(Score, 0.5) AS DOUBLE), 1 FROM posts"""),
-    "feature_matrix_full_width": sql("posts lexicon word_vectors", "," + _readability("posts", "Id", DOC_AS_TEXT) + rf""",
-words AS (SELECT Id, unnest(regexp_extract_all(coalesce(Body,'') || ' ' || coalesce(Title,''), '{TOKEN}')) AS token FROM posts),
-uses AS (SELECT Id, token, count(*) AS n FROM words GROUP BY Id, token),
-cells AS (SELECT Id, n, unnest(range(64)) AS dim, unnest(vector) AS v FROM uses JOIN word_vectors ON token = word),
-means AS (SELECT Id, dim, sum(v * n) / sum(n) AS value FROM cells GROUP BY Id, dim),
-f AS (
-  SELECT Id, unnest([length(coalesce(Title,''))::DOUBLE, length(Body)::DOUBLE, contains(coalesce(Title,''), '?')::INT::DOUBLE,
-      contains(Body, '?')::INT::DOUBLE, flesch_score, {ACTION_DENSITY_RAW}, {CAPS_RATIO_RAW}]) AS value,
-    64 + unnest(range(7)) AS dim
-  FROM posts JOIN scored ON Id = rid),
-m AS (SELECT dim, avg(value) AS mean, stddev_pop(value) AS dev FROM f GROUP BY dim)
-SELECT Id, dim, round(coalesce(value, 0), 6) AS value
-FROM (SELECT Id, unnest(range(64)) AS dim FROM posts) LEFT JOIN means USING (Id, dim)
-UNION ALL
-SELECT Id, dim, round((value - mean) / CASE WHEN dev = 0 THEN 1 ELSE dev END, 6) FROM f JOIN m USING (dim)"""),
+    "feature_matrix_full_width": _full_width(),
+    "fit_train_apply_test_full_width": _full_width(_side("train"), _side("test")),
     "feature_names": f"""
 WITH d AS (SELECT least(max(len(embedding)), {fixed.SVD_COMPONENTS}) AS n FROM embeddings)
 SELECT i AS slot, 'text_processing__truncatedsvd' || i AS name FROM (SELECT unnest(range(n)) AS i FROM d)

@@ -18,6 +18,8 @@ from postgauge.session import materialise
 from postgauge.stages.post_features import PostFeatures
 
 FOREST = {"n_estimators": 100, "class_weight": "balanced", "max_depth": None, "min_samples_split": 2}
+# Rows a forest is grown from, about: deep trees grow with their rows, and live on the driver.
+MAX_FIT_ROWS = 1_000_000
 
 
 @dataclass
@@ -25,6 +27,7 @@ class Training:
     model: PipelineModel
     predictions: DataFrame
     metrics: DataFrame
+    fit_rows: int
     median_threshold: float | None = None
     seconds: dict[str, float] = field(default_factory=dict)
 
@@ -43,9 +46,14 @@ def train_evaluate(
     params: dict | None = None,
     seed: int = fixed.SEED,
     quality_labels: bool = True,
+    max_fit_rows: int | None = MAX_FIT_ROWS,
 ) -> Training:
     """Train on one side, judge on the other.
 
+    A forest is grown from about `max_fit_rows` training rows, chosen by a seeded hash of their
+    ids, where there are more; None takes them all. Features are fitted, and the model is
+    judged, on all rows. `fit_rows` tells how many were used.
+
     What comes from the texts is stored first: fitting, training and a lost executor
     all go back to those small rows, and every text is read once.
     """
@@ -68,12 +76,17 @@ def train_evaluate(
     train, test = (materialise(features.prepare(rows).select(row_id, label, *features.inputs())) for rows in (train, test))
     train_x, test_x, feature_model = fit_train_apply_test(features, train, test)
     lap("features")
+    fit_rows = train.count()
+    if algorithm == "random_forest" and max_fit_rows is not None and fit_rows > max_fit_rows:
+        bound = int(max_fit_rows / fit_rows * (1 << 31))
+        train_x = train_x.where(F.pmod(F.xxhash64(row_id, F.lit(seed)), F.lit(1 << 31)) < bound)
+        fit_rows = train_x.select(row_id).count()
     classifier = fit_classifier(train_x, algorithm, seed, params, features=features.getOrDefault("outputCol"))
     lap("training")
     predictions = materialise(predict(classifier, test_x).select(row_id, "label", "prediction"))
     metrics = binary_metrics(predictions)
     lap("evaluation")
-    return Training(PipelineModel([feature_model, classifier]), predictions, metrics, threshold, seconds)
+    return Training(PipelineModel([feature_model, classifier]), predictions, metrics, fit_rows, threshold, seconds)
 
 
 def holdout_accuracy(

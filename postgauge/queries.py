@@ -466,6 +466,16 @@ def fit_train_apply_test(spark, folder):
     return long_form(applied.withColumn("v", vector_to_array("features")), "Id", "v")
 
 
+@query
+def fit_train_apply_test_full_width(spark, folder):
+    """Test rows, all word-vector dimensions kept, scaled by what the training rows show."""
+    train, test = _train_test(spark, folder)
+    stage = _features(spark, folder)
+    stage.set(stage.components, 0)
+    _, applied, _ = training.fit_train_apply_test(stage, train, test)
+    return long_form(applied.withColumn("v", vector_to_array("features")), "Id", "v")
+
+
 # --- splitting and sampling -----------------------------------------------
 
 def _sides(train, test):
@@ -537,13 +547,13 @@ def train_evaluate(spark, folder):
 
 @query
 def save_model(spark, folder):
-    """Predictions of the fitted model and of its saved copy."""
+    """Whether the fitted model and its saved copy predict the same."""
     model, path = _trained(spark, folder, "logistic_regression").model, fresh_path(spark, "model")
     model_files.save_model(model, path)
     posts = D.posts(spark, folder)
     fitted = models.predict(model, posts).select("Id", "prediction")
     loaded = models.predict(model_files.load_model(path), posts).select("Id", F.col("prediction").alias("reloaded"))
-    return fitted.join(loaded, "Id")
+    return fitted.join(loaded, "Id").select("Id", (F.col("prediction") == F.col("reloaded")).cast("int").alias("same"))
 
 
 @query
@@ -583,6 +593,13 @@ def post_map(spark, folder):
     return shown.select("Id", "Title", "Score", "cluster", "label_store", "x", "y")
 
 
+@query
+def post_map_rows(spark, folder):
+    """The rows of the map, all of which have coordinates."""
+    shown = maps.post_map(D.posts(spark, folder), _features(spark, folder))
+    return shown.where("x is not null and y is not null").select("Id", "Title", "Score", "cluster", "label_store")
+
+
 # --- manual labels --------------------------------------------------------
 
 def _raw_stores(spark, folder):

@@ -31,6 +31,22 @@ def test_forest_parameters(spark):
     assert models.make_classifier(params={"max_depth": None}).getMaxDepth() == 30
 
 
+def test_out_of_bag_score_is_refused():
+    with pytest.raises(ValueError, match="holdout_accuracy"):
+        models.make_classifier(params={"oob_score": True})
+
+
+def test_forest_from_a_bounded_number_of_rows(spark, data):
+    """The bound holds for the fit alone, by a choice that repeats."""
+    train, test = training.split_by_group(D.posts(spark, data))
+    numbers = PostFeatures(numericCols=["AnswerCount"])
+    small = {**training.FOREST, "n_estimators": 2, "max_depth": 2}
+    done = [training.train_evaluate(train, test, numbers, params=small, max_fit_rows=n) for n in (None, 20, 20)]
+    assert done[0].fit_rows == training.labeled_training_set(train).count()
+    assert 0 < done[1].fit_rows == done[2].fit_rows < 40 and done[1].fit_rows < done[0].fit_rows
+    assert done[1].predictions.count() == done[0].predictions.count()
+
+
 def test_logistic_type(spark):
     assert isinstance(models.make_classifier("logistic_regression"), LogisticRegression)
 

@@ -7,7 +7,7 @@ from postgauge.oracle import ORACLES
 from postgauge.queries import QUERIES
 
 # Forest training alone takes as long as all others; test_models grows a small one.
-SLOW = {"train_random_forest", "train_evaluate", "save_model", "predict_quality"}
+SLOW = {"train_random_forest", "train_evaluate", "predict_quality"}
 
 
 @pytest.fixture(scope="module")
