@@ -1,5 +1,12 @@
 """Repeated passages, found as runs of several consecutive sentences and removed.
 
+A sentence or line of more than `LONG` words counts as several: it is cut after the word with
+the smallest checksum of every `WINDOW` neighbouring words. Such cuts depend on the words around
+them alone, so they fall alike wherever a passage stands, also where it begins or ends inside
+other text. Of a passage of varied words that occurs twice, less than `LONG` words at either
+end thus stay out of its whole sentences: those of 50 words and more hold 20 words in two
+sentences or more. Stretches of one or two different words are not cut.
+
 From every sentence on, and back from every sentence, the shortest run that has at least
 `sentences` sentences and `words` words is hashed. A run that occurs twice anywhere marks its
 sentences in every place but the first (the smallest document id, then the earliest place).
@@ -11,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +28,53 @@ from pyspark.sql import functions as F
 
 from postgauge.llm.tables import map_beside, materialise, small
 
-SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
+#: Full stops of Latin, Chinese, Devanagari, Arabic, Urdu, Armenian and Ethiopic script, and line ends.
+STOPS = r".!?\n\u2026\u3002\uff01\uff1f\uff61\uff0e\u0964\u0965\u061f\u06d4\u0589\u1362"
+#: Letters of scripts without blanks between words (Thai, Lao, Burmese, Khmer, Chinese, Japanese): each is a word.
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+LONG, WINDOW = 14, 8
 BROADCAST_SPANS = 500_000
 
+_PIECE = re.compile(f"[^{STOPS}]*[{STOPS}]+|[^{STOPS}]+")
+_UNSPACED = re.compile(f"[{UNSPACED}]")
+_WORD = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
+_STEP = re.compile(rf"\s*(?:[{UNSPACED}]|[^\s{UNSPACED}]+)(?:\s+\Z)?")  # blanks stand before, as in sentences
+
+
+def words_of(piece: str) -> list[str]:
+    return _WORD.findall(piece) if _UNSPACED.search(piece) else piece.split()
+
+
+class Sentences:
+    """Cuts a text into sentences and lines, and the long ones of those into units of words."""
+
+    def findall(self, text: str) -> list[str]:
+        pieces = _PIECE.findall(text)
+        steps = {k: _STEP.findall(p) for k, p in enumerate(pieces) if len(p) > LONG and len(words_of(p)) > LONG}
+        if not steps:
+            return pieces
+        sums = [crc32(w.strip().lower().encode("utf-8", "surrogatepass")) for words in steps.values() for w in words]
+        seen = np.lib.stride_tricks.sliding_window_view(np.array(sums, np.uint32), WINDOW)
+        of = np.repeat(np.arange(len(steps)), [len(words) for words in steps.values()])
+        least, most = seen.min(axis=1, keepdims=True), seen.max(axis=1, keepdims=True)
+        varied = ((seen != least) & (seen != most)).any(axis=1) & (of[: len(seen)] == of[WINDOW - 1 :])
+        last = WINDOW - seen[:, ::-1].argmin(axis=1) + np.arange(len(seen))  # the later one of equal words
+        is_cut = np.zeros(len(sums) + 1, bool)
+        is_cut[last[varied]] = True
+        out, before = [], 0
+        for k, piece in enumerate(pieces):
+            words = steps.get(k)
+            if words is None:
+                out.append(piece)
+                continue
+            cuts = [0, *(np.flatnonzero(is_cut[before + 1 : before + len(words)]) + 1).tolist(), len(words)]
+            out += ["".join(words[a:b]) for a, b in zip(cuts, cuts[1:])]
+            before += len(words)
+        return out
+
+
+SENTENCE = Sentences()
+
 
 def sentences_of(text: str) -> list[str]:
     """Consecutive pieces that together are the text; ends belong to the piece before."""
@@ -35,7 +87,7 @@ def runs(text: str, sentences: int, words: int) -> list[tuple[int, int, int]]:
     Pieces without words (blank lines, bare punctuation) belong to no run by themselves: a run
     begins and ends with words, and white space and case don't count.
     """
-    split = [s.lower().split() for s in sentences_of(text)]
+    split = [words_of(s.lower()) for s in sentences_of(text)]
     at = [k for k, w in enumerate(split) if any(c.isalnum() for x in w for c in x)] if split else []
     if len(at) < sentences:
         return []

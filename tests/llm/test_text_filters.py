@@ -154,6 +154,31 @@ def test_planted_passage_goes_everywhere_but_once(spark):
             assert len(got[k].text) >= len(text) - len(passage) - 1
 
 
+def test_glued_passages_lose_all_but_their_ends(spark):
+    """50 repeated words go but for less than 14 at either end, whatever sentences they stand in."""
+    rng = random.Random(7)
+
+    def prose(n, stops):
+        return " ".join(f"w{rng.randrange(10**7)}" + ("." if rng.random() < stops else "") for _ in range(n))
+
+    cases = [(prose(50, stops), stops) for stops in (0, 0, 0.02, 0.05, 0.1, 0.2, 0.4) for _ in range(20)]
+    docs = [(n * len(cases) + k, f"{prose(9 + n, s)} {p} {prose(30, s)}") for n in (0, 1) for k, (p, s) in enumerate(cases)]
+    four = "one two three. four five six seven. eight nine ten eleven twelve. alpha beta gamma delta epsilon zeta."
+    shared = f"{prose(20, 0)} {four} {prose(20, 0)}"
+    docs += [(900 + k, f"{prose(20, 0)} {shared} {prose(20, 0)}") for k in (0, 1)]
+    han = "".join(chr(0x4E00 + rng.randrange(9000)) + ("\u3002" if k % 10 == 9 else "") for k in range(60))
+    docs += [(950 + k, chr(0x4E00 + k) * 3 + han + chr(0x4F00 + k) * 3) for k in (0, 1)]
+    got = {r.doc_id: r for r in span_dedup.remove_repeated(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    for k, (passage, _) in enumerate(cases):
+        text, kept = docs[len(cases) + k][1].split(), got[len(cases) + k].text.split()
+        assert got[k].text == docs[k][1]
+        assert len(set(kept) & set(passage.split())) < 2 * span_dedup.LONG
+        assert [w for w in text if w not in passage.split()] == [w for w in kept if w not in passage.split()]
+    assert got[901].n_removed >= 4 and "three" not in got[901].text and "epsilon" not in got[901].text
+    assert got[950].n_removed == 0 and 6 <= len(got[951].text) <= 6 + 2 * 10
+    assert "".join(span_dedup.sentences_of(docs[0][1] + han)) == docs[0][1] + han
+
+
 def test_repeated_in_odd_texts(spark, odd):
     got = span_dedup.remove_repeated(odd.withColumn("n_removed", F.lit("x")), 1, 3)
     assert got.columns == [*odd.columns, "n_removed"]
