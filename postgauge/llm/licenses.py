@@ -1,7 +1,9 @@
 """Licences of documents by sparse TF-IDF cosine, and inheritance along directories.
 
-Every line of a text (a header may stand anywhere) and the whole text (a licence file) are
-compared with templates. The vocabulary is that of the templates without function words;
+Every line of a text, every few neighbouring lines (a header may stand anywhere, wrapped at
+will) and the whole text (a licence file) are compared with templates: lines with short notices
+and standard headers, the whole text with notices and with the full texts of licences, which
+decide if they fit. Any named licence wins over `All rights reserved`. The vocabulary is that of the templates without function words;
 weights are inverse document frequencies counted over all documents. Words outside of the
 vocabulary count with the weight of an unseen word, so a licence mentioned in passing inside a
 long line stays far from its template. Documents without a licence of their own inherit from
@@ -13,6 +15,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,6 +44,30 @@ TEMPLATES = (
     ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
     ("Proprietary", "All rights reserved."),
 )
+_GNU = (
+    "{0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by "
+    "the Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+)
+_CC = "This work is licensed under a Creative Commons {0} 4.0 International License."
+#: The standard headers of public licences, as a source file has them over several lines.
+HEADERS = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+     "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("GPL-1.0", _GNU.format("This program", "General Public License", "1")),
+    ("GPL-2.0", _GNU.format("This program", "General Public License", "2")),
+    ("GPL-3.0", _GNU.format("This program", "General Public License", "3")),
+    ("LGPL-2.0", _GNU.format("This library", "Library General Public License", "2")),
+    ("LGPL-2.1", _GNU.format("This library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("This library", "Lesser General Public License", "3")),
+    ("AGPL-3.0", _GNU.format("This program", "Affero General Public License", "3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+     "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("CC-BY-4.0", _CC.format("Attribution")),
+    ("CC-BY-SA-4.0", _CC.format("Attribution-ShareAlike")),
+    ("CC-BY-NC-4.0", _CC.format("Attribution-NonCommercial")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+)
+WINDOW_LINES, WINDOW_TERMS, FILE_FLOOR = 12, 60, 0.8
 STOP_WORDS = frozenset("a an and any are as by for form forms from in is it not of on or the this to use with you may".split())
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
@@ -47,6 +76,30 @@ def terms(text: str) -> Counter:
     return Counter(w for w in _WORD.findall(text.lower()) if w not in STOP_WORDS)
 
 
+@cache
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """Names and whole texts of licences; the Affero licence is GPL 3 under its own name."""
+    read = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+    read["AGPL-3.0"] = re.sub(r"(?i)(GNU)\s+(General\s+Public\s+License)", r"\1 Affero \2", read["GPL-3.0"])
+    return tuple(read.items())
+
+
+def windows(lines: list[Counter], known) -> Iterator[Counter]:
+    """Neighbouring lines put together, from one with a known word to another."""
+    at = [k for k, line in enumerate(lines) if line.keys() & known]
+    for n, begin in enumerate(at):
+        joined, done = Counter(lines[begin]), begin + 1
+        for end in at[n + 1 : n + WINDOW_LINES]:
+            if end - begin >= WINDOW_LINES:
+                break
+            for line in lines[done : end + 1]:
+                joined.update(line)
+            done = end + 1
+            if joined.total() > WINDOW_TERMS:
+                break
+            yield joined
+
+
 def vocabulary(templates) -> list[str]:
     return sorted({w for _, text in templates for w in terms(text)})
 
@@ -80,11 +133,13 @@ class Matcher:
             weights = {w: c * self.idf[w] for w, c in terms(text).items()}
             self.vectors.append((name, weights, math.sqrt(sum(x * x for x in weights.values()))))
 
-    def best(self, found: Counter) -> tuple[float, str | None]:
+    def best(self, found: Counter, floor: float = 0.0) -> tuple[float, str | None]:
         if not found.keys() & self.idf.keys():
             return 0.0, None
         weights = {w: c * self.idf.get(w, self.unseen) for w, c in found.items()}
         norm = math.sqrt(sum(x * x for x in weights.values()))
+        if floor and math.sqrt(sum(x * x for w, x in weights.items() if w in self.idf)) < floor * norm * (1 - 1e-9):
+            return 0.0, None  # no cosine is above the share of the known words
         scores = []
         for k, (name, vector, size) in enumerate(self.vectors):
             dot = sum(x * weights[w] for w, x in vector.items() if w in weights)
@@ -95,20 +150,32 @@ class Matcher:
 
 def own_licenses(docs: DataFrame, templates=TEMPLATES, floor: float = 0.7, text: str = "text", carry=None) -> DataFrame:
     """`row`, license, score and `whole`: whether the document is a licence file."""
-    n, frequencies = document_frequencies(docs, vocabulary(templates), text)
+    full = full_texts()
+    n, frequencies = document_frequencies(docs, vocabulary((*templates, *HEADERS, *full)), text)
 
     def start():
-        matcher = Matcher(templates, n, frequencies)
+        matcher, headers, files = (Matcher(x, n, frequencies) for x in (templates, HEADERS, full))
+        known = matcher.idf.keys() | headers.idf.keys()
 
         def judge(value: str | None) -> tuple[str | None, float, bool]:
             lines = [terms(line) for line in (value or "").split("\n")]
-            if not any(line.keys() & matcher.idf.keys() for line in lines):
+            if not any(line.keys() & known for line in lines):
                 return None, 0.0, False
-            score, name = max((matcher.best(line) for line in lines), key=lambda x: x[0])
-            total = sum(lines, Counter()) if len(lines) > 1 else lines[0]
+            total = Counter()
+            for line in lines:
+                total.update(line)
+            score, name = files.best(total, FILE_FLOOR)
+            if score >= FILE_FLOOR:
+                return name, score, True
+            found = [matcher.best(line) for line in lines]
+            found += [headers.best(line, floor) for line in lines]
+            found += [m.best(w, floor) for w in windows(lines, known) for m in (matcher, headers)]
+            # The best named licence; without one, `Proprietary`.
+            score, name = max(found, key=lambda x: (x[0] >= floor and x[1] != "Proprietary", x[0]))
             as_file, file_name = matcher.best(total)
             if as_file >= floor:
-                return (name if score > as_file else file_name), max(score, as_file), True
+                better = score >= floor and (score > as_file or file_name == "Proprietary")
+                return (name if better else file_name), max(score, as_file), True
             return (name, score, False) if score >= floor else (None, score, False)
 
         def work(columns: list[pa.Array]) -> list[pa.Array]:

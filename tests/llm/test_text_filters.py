@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
@@ -252,6 +253,28 @@ def test_licenses_and_inheritance(spark):
     assert licenses.scan_licenses(table.limit(0), F.col("p")).collect() == []
 
 
+def test_real_license_texts_and_wrapped_headers(spark):
+    full = {name: text.replace("Regents of the University of California", "Someone Else") for name, text in licenses.full_texts()}
+    files = {k: (name, text) for k, (name, text) in enumerate(full.items())}
+    files |= {100 + k: (name, "Copyright (c) 2001 A. Person\nAll rights reserved.\n" + text) for k, (name, text) in files.items()}
+    files |= {200 + k: (name, re.sub(r"\s+", " ", text)) for k, (name, text) in files.items() if k < 100}
+    prose = "words about other things that go on for a while and never end\n" * 30
+    heads = {}
+    for k, (name, text) in enumerate(licenses.HEADERS):
+        for n, width in enumerate((40, 60, 76)):
+            wrapped = "\n".join("# " + line for line in textwrap.wrap(text, width))
+            heads[1000 + 10 * k + n] = name, f"{prose}# Copyright 2001 A. Person. All rights reserved.\n#\n{wrapped}\n{prose}"
+    heads[2000] = "MIT", f"{prose}// Permission is hereby granted, free of\n// charge, to any person obtaining a copy of this\n// software\n{prose}"
+    heads[2001] = "MIT", f"{prose}All rights reserved.\nReleased under the MIT License.\n{prose}"
+    docs = [(k, text, f"d{k}/LICENSE") for k, (_, text) in files.items()] + [(k, t, f"h/{k}") for k, (_, t) in heads.items()]
+    docs += [(5000 + k, prose, f"d{k}/src/x") for k in files]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, p string")
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.scan_licenses(table, F.col("p")).collect()}
+    assert {k: got[k] for k in files} == {k: (name, "file") for k, (name, _) in files.items()}
+    assert {k: got[5000 + k] for k in files} == {k: (name, "inherited") for k, (name, _) in files.items()}
+    assert {k: got[k] for k in heads} == {k: (name, "header") for k, (name, _) in heads.items()}
+
+
 def test_licenses_query_finds_every_notice(spark, rows):
     got = {r.doc_id: r for r in QUERIES["op10_licenses"](spark, MID).collect()}
     notices = {text: name for name, text in licenses.TEMPLATES}
