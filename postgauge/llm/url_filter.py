@@ -5,7 +5,9 @@ suffix, the suffix's towards all labelled pages. Each level is a beta-binomial m
 of a parent have rates that follow a beta distribution around the parent's rate, whose
 strength is estimated from the spread of the children (empirical Bayes, method of moments). A
 host is blocked if the upper bound of its posterior rate of good pages is below `floor`:
-there is evidence against it, not just a lack of evidence for it. All of it is joins and sums.
+there is evidence against it, not just a lack of evidence for it. For a host without outcomes
+that is the rate that its registered domain's outcomes predict for a further host, or else the
+rate that its suffix predicts for a further domain. All of it is joins and sums.
 """
 
 from __future__ import annotations
@@ -80,11 +82,12 @@ def registered_domain(name: str, suffix: str) -> Column:
 
 
 def _rates(children: DataFrame, parent: str) -> DataFrame:
-    """Strength of the beta prior over the children of each parent: (parent, strength).
+    """Strength of the beta prior over the children of each parent: (parent, strength, unseen).
 
     With child rates p, sizes n and the pooled rate m, the spread beyond what sampling explains
     is sum(n (p - m)^2) - m (1 - m) (k - 1), over N - sum(n^2) / N; the strength is
-    m (1 - m) / spread - 1, held between 1 and 1000 pages.
+    m (1 - m) / spread - 1, held between 1 and 1000 pages. One child shows no spread: `unseen`,
+    the strength for children without outcomes, is the least one then.
     """
     sums = children.groupBy(parent).agg(
         F.sum("good").alias("g"), F.sum("n").alias("t"), F.count(F.lit(1)).alias("k"),
@@ -95,7 +98,7 @@ def _rates(children: DataFrame, parent: str) -> DataFrame:
     between = F.col("gg") - F.col("t") * m * m - m * (1 - m) * (F.col("k") - 1)
     spread = F.when(width > 0, between / width)
     strength = F.when(spread > 0, F.least(F.greatest(m * (1 - m) / spread - 1, F.lit(1.0)), F.lit(1000.0))).otherwise(1000.0)
-    return sums.select(parent, strength.alias("strength"))
+    return sums.select(parent, strength.alias("strength"), F.when(F.col("k") > 1, strength).otherwise(1.0).alias("unseen"))
 
 
 def _shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
@@ -105,11 +108,24 @@ def _shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
     return joined.withColumn("a", a).withColumn("b", F.col("n") + F.col("strength") - a)
 
 
+def _predicted(parents: DataFrame, children: DataFrame, parent: str) -> DataFrame:
+    """(parent, a, b): the rate of a child without outcomes, from the posteriors of `parents`.
+
+    Its variance is the parent's own and, around that, the children's; a and b have it and the mean.
+    """
+    joined = parents.select(parent, "a", "b").join(_rates(children, parent).select(parent, "unseen"), parent)
+    size, strength = F.col("a") + F.col("b"), F.col("unseen")
+    part = strength / (size + strength + 1)  # a + b becomes size * strength / (size + strength + 1)
+    return joined.select(parent, (F.col("a") * part).alias("a"), (F.col("b") * part).alias("b"))
+
+
 def host_reputation(pages: DataFrame, outcomes: DataFrame, page_id: str, good: str, floor: float, z: float = 1.96) -> DataFrame:
-    """Per labelled host: n, good, a, b, upper (posterior bound by normal approximation), bad.
+    """Per host: n, good, a, b, upper (posterior bound by normal approximation), bad.
 
     `pages` has `page_id` and `host`; `outcomes` has `page_id` and `good`, 1 or 0. Rows without
-    host or outcome don't count; a page that is labelled twice counts twice.
+    host or outcome don't count; a page that is labelled twice counts twice. Hosts without
+    outcomes have an n of 0, and null for a, b and upper where neither their domain nor their
+    suffix has any, or where they are addresses of digits, which have no domain.
     """
     known = outcomes.select(F.col(page_id).alias("_id"), F.col(good).cast("double").alias("_good")).where("_good is not null")
     named = pages.where("host <> ''").select(F.col(page_id).alias("_id"), "host")
@@ -122,12 +138,22 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, page_id: str, good: s
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("root", F.lit(""))
     whole = suffixes.groupBy("root").agg(((F.sum("good") + 1) / (F.sum("n") + 2)).alias("prior"))
     rate = (F.col("a") / (F.col("a") + F.col("b"))).alias("prior")
-    by_suffix = _shrunk(suffixes, whole, "root").select("suffix", rate)
-    by_domain = _shrunk(domains, by_suffix, "suffix").select("domain", rate)
+    of_suffix = _shrunk(suffixes, whole, "root")
+    of_domain = _shrunk(domains, of_suffix.select("suffix", rate), "suffix")
+    judged = _shrunk(hosts, of_domain.select("domain", rate), "domain").select("host", "n", "good", "a", "b")
+    rest = named.select("host").distinct().join(hosts.select("host"), "host", "left_anti")
+    rest = rest.withColumn("suffix", public_suffix("host")).withColumn("domain", registered_domain("host", "suffix"))
+    near = small(materialise(_predicted(of_domain, hosts, "domain").withColumnsRenamed({"a": "a1", "b": "b1"})), 100_000)
+    far = small(materialise(_predicted(of_suffix, domains, "suffix").withColumnsRenamed({"a": "a2", "b": "b2"})), 100_000)
+    named_so = ~F.col("host").rlike(r"^[0-9.]+(:[0-9]*)?$")
+    a, b = (F.when(named_so, F.coalesce(f"{x}1", f"{x}2")).alias(x) for x in "ab")
+    zero = F.lit(0)
+    unseen = rest.join(near, "domain", "left").join(far, "suffix", "left").select(
+        "host", zero.cast("bigint").alias("n"), zero.cast("double").alias("good"), a, b
+    )
     total, mean = F.col("a") + F.col("b"), F.col("a") / (F.col("a") + F.col("b"))
     upper = mean + z * F.sqrt(mean * (1 - mean) / (total + 1))
-    judged = _shrunk(hosts, by_domain, "domain").withColumn("upper", upper)
-    return judged.select("host", "n", "good", "a", "b", "upper", (F.col("upper") < floor).alias("bad"))
+    return judged.unionByName(unseen).withColumn("upper", upper).withColumn("bad", F.coalesce(F.col("upper") < floor, F.lit(False)))
 
 
 def judge_urls(
@@ -137,8 +163,8 @@ def judge_urls(
     """Per page: page_id, host, path, rule, verdict (`block` or `allow`).
 
     A url that is null or has no `://` has an empty host and path, which no rule fits, and is
-    allowed, like every host without labelled pages that fall short. Rows that repeat are
-    judged each; other columns of `pages` are not looked at. Empty tables give no rows.
+    allowed, like every host whose labelled pages, or without any those of its domain or else
+    its suffix, don't fall short. Rows that repeat are judged each; other columns of `pages` are not looked at. Empty tables give no rows.
     """
     placed = pages.select(F.col(page_id).alias("page_id"), host(url).alias("host"), path(url).alias("path"))
     outcomes = outcomes.select(F.col(page_id).alias("page_id"), F.col(good).alias("good"))

@@ -318,3 +318,34 @@ def test_hosts_paths_and_rules(spark):
     assert len(got) == len(rows)
     assert url_filter.judge_urls(pages.limit(0), outcomes).collect() == []
     assert {r.verdict for r in url_filter.judge_urls(pages, outcomes.limit(0)).collect()} == {"allow", "block"}
+
+
+def test_hosts_without_labels_follow_their_domain_or_suffix(spark):
+    pages, labels = [], []
+
+    def host(name, goods):
+        for good in goods or [None]:
+            pages.append((len(pages), f"x://{name}/"))
+            labels.append((pages[-1][0], good))
+
+    for k in range(20):
+        host(f"s{k}.bad.com", [0] * 50)
+        host(f"s{k}.good.com", [1] * 50)
+        host(f"s{k}.mixed.com", [k % 2] * 50)
+        host(f"www.d{k}.evil", [0] * 50)
+        host(f"www.d{k}.fine", [1] * 50)
+    new = {"s20.bad.com": "block", "bad.com": "block", "a.b.bad.com": "block", "s20.good.com": "allow", "s20.mixed.com": "allow"}
+    new |= {"new.com": "allow", "new.evil": "block", "a.new.evil": "block", "new.fine": "allow", "x.unknown": "allow", "1.2.3.4": "allow"}
+    for name in new:
+        host(name, [])
+    table = spark.createDataFrame(pages, "page_id bigint, url string")
+    outcomes = spark.createDataFrame(labels, "page_id bigint, quality int")
+    got = {r.host: r.verdict for r in url_filter.judge_urls(table, outcomes).collect()}
+    assert {name: got[name] for name in new} == new
+    placed = table.select("page_id", url_filter.host("url").alias("host"))
+    found = {r.host: r for r in url_filter.host_reputation(placed, outcomes, "page_id", "quality", 0.8).collect()}
+    assert len(found) == 100 + len(new)
+    # A further host: the domain's own variance, and around it that of its hosts.
+    seen, fresh = found["s1.mixed.com"], found["s20.mixed.com"]
+    assert fresh.n == 0 and 0.4 < fresh.a / (fresh.a + fresh.b) < 0.6 and fresh.a + fresh.b <= 1 < seen.a + seen.b
+    assert found["x.unknown"].upper is None and not found["x.unknown"].bad
