@@ -7,9 +7,9 @@ target it weighs more, a threat counts only towards a target. They are composed
 machine: its states are tuples of theirs, its arc weights the products. A clause scores what
 its matches weigh on the machine's path; words that stand in no matched clause never score.
 
-Insults and threats are learned: distinct words and word beginnings of labelled documents are
-counted by label over Spark, and those that lean to toxic documents beyond chance are kept
-with their log odds. The document score is a logistic function of sums over its clauses, fitted
+Insults and threats are learned: distinct words and word beginnings of all labelled documents
+are counted by label over Spark, and those that lean to toxic documents beyond chance are kept
+with their log odds. A few known threats and insults have prior weights, which labels correct. The document score is a logistic function of sums over its clauses, fitted
 on labelled documents that the lexicon has not seen. Language, source and id are no inputs.
 """
 
@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postgauge.llm.tables import map_beside, materialise
+from postgauge.llm.tables import map_beside, materialise, small, small_batches
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
 
@@ -34,6 +35,8 @@ TARGETS = frozenset("you your u he she they them his her their du dich dir ihr e
 NEGATIONS = frozenset("not no never isn't aren't don't won't nicht kein keine nie ne pas jamais non no nunca jamás".split())
 REPORTS = frozenset("said says say wrote called calls quoted claimed sagte sagt schrieb nannte dit disait écrit dijo dice escribió llamó".split())
 THREATS = frozenset("kill hurt beat destroy punch burn hunt töten schlagen tuer frapper matar golpear".split())
+INSULTS = frozenset("idiot idiots moron morons stupid dumb worthless pathetic scum loser trottel dumm wertlos abschaum crétin débile imbécile idiota estúpido imbécil inútil".split())
+PRIOR_WORDS, PRIOR = THREATS | INSULTS, 2.0  # log odds of a threat or an insult that no label shows
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[^.!?;:,\n]+")
@@ -117,7 +120,9 @@ class Words(dict):
         self.lexicon = lexicon
 
     def __missing__(self, word: str):
-        weight = max((self.lexicon.get(f, 0.0) for f in features_of(word)), default=0.0)
+        weight = max(0.0, *(self.lexicon.get(f, 0.0) for f in features_of(word)))
+        if word in PRIOR_WORDS:  # labels that know the word have corrected its weight
+            weight = max(weight, self.lexicon.get(word, PRIOR))
         if weight > 0:
             found = (THREAT if word in THREATS else INSULT, weight)
         else:
@@ -174,31 +179,56 @@ class Model:
 
 
 def induce_lexicon(rows: DataFrame, least: int = 4, z: float = 4.0, size: int = 20_000) -> dict[str, float]:
-    """Words and beginnings that lean to label 1 in rows of (text, label).
+    """Words and beginnings that lean to label 1 in rows of (text, label), all of them counted.
 
     Counts are of documents. Kept is what occurs in `least` toxic documents and has smoothed log
     odds more than `z` standard errors above zero, at most the `size` most certain ones (a
-    parameter of the model). A beginning is kept only if it is at least as certain as the words.
+    parameter of the model). Besides, threats and insults that occur at all are kept with the
+    mean of their prior (a normal one of spread 1) and their log odds, weighed by certainty.
     """
 
-    def start():
-        def work(columns: list[pa.Array]) -> list[pa.Array]:
-            sets = ({f for w in set(WORD.findall((x.as_py() or "").lower())) for f in features_of(w)} for x in columns[0])
-            return [pa.array([sorted(s) for s in sets], pa.list_(pa.string())), columns[1]]
-
-        return work
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, toxic, forms = Counter(), Counter(), {}
+
+        def taken() -> pa.RecordBatch:
+            columns = [list(every), [toxic[f] for f in every], list(every.values())]
+            types = pa.string(), pa.int64(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["f", "a", "t"])
+
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                found: set[str] = set()
+                for word in set(WORD.findall((text.as_py() or "").lower())):
+                    if word not in forms:
+                        forms[word] = features_of(word)
+                    found.update(forms[word])
+                every.update(found)
+                if label:
+                    toxic.update(found)
+                if len(every) > 200_000 or len(forms) > 200_000:
+                    yield taken()
+                    every, toxic, forms = Counter(), Counter(), {}
+        if every:
+            yield taken()
 
     totals = rows.agg(F.sum("label"), F.count(F.lit(1))).first()
     ones, n = float(totals[0] or 0), float(totals[1])
     if not ones or ones == n:
         return {}
-    read = map_beside(rows, [F.col("text"), F.col("label").cast("double")], start, "found array<string>, label double", carry=[])
-    counted = read.select(F.explode("found").alias("f"), "label").groupBy("f").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("t"))
+    read = small_batches(rows).select("text", "label").mapInArrow(count, "f string, a bigint, t bigint")
+    counted = read.groupBy("f").agg(F.sum("a").alias("a"), F.sum("t").alias("t"))
     b = F.col("t") - F.col("a")
     odds = F.log((F.col("a") + 0.5) / (ones - F.col("a") + 0.5)) - F.log((b + 0.5) / (n - ones - b + 0.5))
     error = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (b + 0.5))
-    leaning = counted.where(F.col("a") >= least).select("f", odds.alias("w"), (odds / error).alias("z"))
-    return {r["f"]: r["w"] for r in leaning.where(F.col("z") > z).orderBy(F.desc("z"), "f").limit(size).collect()}
+    weighed = materialise(
+        counted.where((F.col("a") >= least) | F.col("f").isin(*sorted(PRIOR_WORDS)))
+        .select("f", "a", odds.alias("w"), error.alias("e"), (odds / error).alias("z"))
+    )
+    leaning = weighed.where((F.col("a") >= least) & (F.col("z") > z)).orderBy(F.desc("z"), "f").limit(size).collect()
+    lexicon = {r["f"]: r["w"] for r in leaning}
+    for r in weighed.where(F.col("f").isin(*sorted(PRIOR_WORDS))).collect():  # at most as many as there are prior words
+        lexicon.setdefault(r["f"], (PRIOR + r["w"] / r["e"] ** 2) / (1 + 1 / r["e"] ** 2))
+    return lexicon
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[float, ...]:
@@ -229,23 +259,26 @@ def features(rows: DataFrame, lexicon: dict[str, float], carry: list[str] | None
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, max_rows: int = 20_000, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model from labelled documents for whose id `may_learn` holds.
 
-    About `max_rows` of them are used, chosen by a hash of the id: the bound of the training
-    sample, whatever the corpus. Seven in ten make the lexicon, the others the weights. Rows
-    without id or label, and labels that disagree about an id, don't count.
+    The weights are fitted on three in ten documents of each label, but about 0.15 `max_rows` at
+    most, chosen by a hash of the id; the lexicon is counted over all others. The intercept is
+    corrected for the shares drawn. Rows without id or label, and labels that disagree about an
+    id, don't count.
     """
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1) & may_learn)
     known = known.groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).alias("label"), F.max(label).alias("_hi")).where("label = _hi")
-    n = known.count()
-    share = min(1.0, max_rows / max(1, n))
-    draw = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000))
-    known = materialise(known.where(draw < int(share * 1_000_000)).select("_id", "label"))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known), "_id")  # at most about max_rows
-    rows = materialise(rows.withColumn("early", F.pmod(F.xxhash64("_id", F.lit(8)), F.lit(10)) < 7))
-    lexicon = induce_lexicon(rows.where("early"))
-    late = features(rows.where("not early"), lexicon, ["label"]).select("row.label", "x").collect()
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    share = {y: min(0.3, 0.15 * max_rows / n) for y, n in sizes.items()}
+    draw = F.pmod(F.xxhash64("_id", F.lit(8)), F.lit(1_000_000))
+    least = F.when(F.col("label") == 1, int(share.get(1, 0) * 1_000_000)).otherwise(int(share.get(0, 0) * 1_000_000))
+    known = materialise(known.select("_id", "label", (draw >= least).alias("early")))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+    lexicon = induce_lexicon(rows.join(small(known), "_id").where("early"))
+    drawn = rows.join(F.broadcast(known.where("not early")), "_id")  # at most about 0.3 max_rows
+    late = features(drawn, lexicon, ["label"]).select("row.label", "x").collect()
     if not late or len({r["label"] for r in late}) < 2:
-        return Model(lexicon, (0.0,) * FEATURES + (-4.0,))
-    return Model(lexicon, fit_logistic(np.array([r["x"] for r in late]), np.array([r["label"] for r in late], float)))
+        return Model(lexicon, (1.0,) + (0.0,) * (FEATURES - 1) + (-4.0,))
+    *weights, intercept = fit_logistic(np.array([r["x"] for r in late]), np.array([r["label"] for r in late], float))
+    return Model(lexicon, (*weights, intercept - math.log(share[1] / share[0])))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -218,6 +218,32 @@ def test_grammar_weighs_context():
     assert strongest("you said. an idiot came") == pytest.approx(plain)  # clauses stand alone
 
 
+def test_threats_without_labels_and_rare_toxic_labels(spark):
+    machine = toxicity.Machine(toxicity.grammar())
+
+    def strongest(text, lexicon):
+        return toxicity.clause_features(text, toxicity.Words(lexicon), machine)[0]
+
+    assert strongest("we will kill you", {}) > 0 and strongest("you moron", {}) > 0
+    assert strongest("we will kill you", {"kill": -1.0}) == 0  # labels have the last word
+    rng = random.Random(3)
+    rows = []
+    for k in range(6000):  # one in a hundred is toxic; a draw of 400 holds about four of those
+        toxic = k % 100 == 0
+        text = " ".join(f"w{'abcdefghij'[rng.randrange(10)]}{'klmnopqrst'[rng.randrange(10)]}" for _ in range(20))
+        rows.append((k, text + (" zzgrob" if toxic else "") + (" we burn wood" if k % 3 == 1 else ""), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"), F.lit(True), max_rows=400)
+    assert model.lexicon["zzgrob"] > 4 and model.lexicon["burn"] < toxicity.PRIOR / 2
+    words = toxicity.Words(model.lexicon)
+
+    def score(text):
+        return model.score(toxicity.clause_features(text, words, machine))
+
+    assert score("zzgrob wak") > 0.5 > 0.1 > score("wak wbl") > 0  # rates are those of all labels
+    assert score("we will kill you") > score("we will see you")
+
+
 def test_toxicity_of_odd_texts(spark, odd):
     model = toxicity.Model({"again": 3.0}, (1.0, 0, 0, 0, 0, 0, -2.0))
     got = toxicity.score(odd.withColumn("score", F.lit(1)), model).select("row.text", "row.score", F.col("score").alias("s")).collect()
