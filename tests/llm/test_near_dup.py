@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -121,3 +122,10 @@ def test_components_of_paths_and_stars(spark):
 def test_estimate_of_small_sets_is_exact():
     a, b = np.arange(0, 40, dtype=np.uint64), np.arange(10, 50, dtype=np.uint64)
     assert N.estimate(a, b) == (30 / 50, 50)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_estimate_loses_no_more_than_keys_do(percent):
+    s, n = percent / 100, N.KEPT
+    low = (k for k in range(n + 1) if k / n < N.least_estimate(s, n))
+    assert sum(math.comb(n, k) * s**k * (1 - s) ** (n - k) for k in low) < 4e-10
