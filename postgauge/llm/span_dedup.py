@@ -3,7 +3,7 @@
 A sentence or line of more than `LONG` words counts as several: it is cut after the word with
 the smallest checksum of every `WINDOW` neighbouring words. Such cuts depend on the words around
 them alone, so they fall alike wherever a passage stands, also where it begins or ends inside
-other text. Of a passage of varied words that occurs twice, less than `LONG` words at either
+other text. Of a passage of varied words that occurs twice, at most `LONG` words at either
 end thus stay out of its whole sentences: those of 50 words and more hold 20 words in two
 sentences or more. Stretches of one or two different words are not cut.
 
