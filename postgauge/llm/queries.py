@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postgauge.llm import decontaminate, licenses, near_dup, nearest, packing, secret_scan, span_dedup
-from postgauge.llm import token_files, toxicity, url_filter
+from postgauge.llm import decontaminate, importance, licenses, near_dup, nearest, packing, secret_scan, source_audit
+from postgauge.llm import span_dedup, token_counts, token_files, toxicity, url_filter
 from postgauge.llm.tables import fresh_path, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,25 @@ def op10_licenses(spark, folder):
     return licenses.scan_licenses(read(spark, folder, "documents"), path)
 
 
+@query
+def op11_source_divergence(spark, folder):
+    return source_audit.audit_sources(read(spark, folder, "documents"))
+
+
+@query
+def op12_target_resampling(spark, folder):
+    docs, benchmark = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    drawn = importance.resample(docs, benchmark, carry=["doc_id"])
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_token_counts(spark, folder):
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.count_tokens(read(spark, folder, "documents"), tokenizer, carry=["doc_id"])
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 _RULES_SQL = ", ".join(f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" for r in url_filter.RULES)
 _TWO_SQL = ", ".join(f"'{s}'" for s in url_filter.TWO_PART_SUFFIXES)
 
@@ -155,3 +174,68 @@ select h.page_id, h.host, h.path, f.rule,
     coalesce(f.verdict, case when h.host in (select host from bad) then 'block' else 'allow' end) as verdict
 from h left join fits f using (page_id)
 """
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES["op11_source_divergence"] = f"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as row,
+        translate(coalesce(text, ''), {_LOWER}) as text from documents),
+w as (select lang, source, row, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d),
+kept as (select lang, term, count(*) as n from w group by 1, 2 having count(distinct row) >= 10),
+had as (select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by 1, 2, 3),
+langs as (select lang, count(*) as v, sum(n) as total from kept group by 1),
+groups as (select g.lang, g.source, coalesce(sum(h.n), 0) as total
+    from (select distinct lang, source from d) g left join had h using (lang, source) group by 1, 2),
+dense as (select g.lang, g.source, k.term, coalesce(h.n, 0) as n,
+        1 + (1000000000::hugeint * (coalesce(h.n, 0) + 2)) // (g.total + 2 * l.v)::hugeint as p,
+        1 + (1000000000::hugeint * (k.n + 2)) // (l.total + 2 * l.v)::hugeint as q
+    from groups g join langs l using (lang) join kept k using (lang)
+    left join had h on h.lang = g.lang and h.source = g.source and h.term = k.term),
+sums as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from dense a join dense b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+every as (select lang, source, 'pair' as part, item, coalesce(value, 0) as value
+    from (select a.lang, a.source, b.source as item from groups a join groups b on a.lang = b.lang and a.source <> b.source)
+    left join sums using (lang, source, item)
+    union all
+    select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from dense where n > 0 and p > q),
+placed as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from every)
+select lang, source, part, item, value::bigint as value, rank::int as rank from placed where part = 'pair' or rank <= 10
+"""
+
+# A checksum's table by its rule, and the sum of a text's bytes with it.
+_CRC_SQL = """
+bits as (select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as c
+    from range(256) as t(i)),
+codes as (select list(c order by i) as code from bits),
+sums as (select feature, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(feature))),
+        lambda k: ('0x' || substr(hex(encode(feature)), (2 * k + 1)::int, 2))::bigint)),
+    lambda a, x: xor(a >> 8, code[(xor(a, x) & 255) + 1]))) % 10000 as bucket
+    from (select distinct feature from (select feature from df union all select feature from tf)), codes)"""
+
+
+def _features_sql(name: str, table: str) -> str:
+    return f"""
+{name}w as (select *, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+    from (select *, row_number() over () as row from {table})),
+{name}f as (select row, unnest(list_concat(words, list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1]))) as feature
+    from {name}w)"""
+
+
+ORACLES["op12_target_resampling"] = f"""
+with {_features_sql("d", "documents")}, {_features_sql("t", "benchmark")}, {_CRC_SQL},
+s as (select bucket, count(*) as n from df join sums using (feature) group by 1),
+t as (select bucket, count(*) as n from tf join sums using (feature) group by 1),
+gain as (select b as bucket, floor(1000 * ln((coalesce(t.n, 0)::double + 1) * ((select sum(n) from s)::double + 10000)
+        / ((coalesce(s.n, 0)::double + 1) * ((select coalesce(sum(n), 0) from t)::double + 10000))))::bigint as gain
+    from range(10000) as r(b) left join s on s.bucket = b left join t on t.bucket = b),
+means as (select row, count(*) as n_features, floor(sum(gain)::double / count(*))::bigint as weight
+    from df join sums using (feature) join gain using (bucket) group by 1),
+scored as (select doc_id, len(words) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double)
+            / 4294967296::double)))::bigint as score
+    from dw left join means using (row)),
+drawn as (select *, case when n_words >= 20 then row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last) end as place
+    from scored)
+select doc_id, n_features, weight, score,
+    case when place <= 25 * (select count(*) from scored where n_words >= 20) // 100 then place end as rank from drawn
+"""
