@@ -12,7 +12,7 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}
 
 
 def connect(folder: str):
