@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 import gc
-import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import compress, repeat
-from operator import is_
 
 import numpy as np
 
-# A word, perhaps with punctuation after it that neither shortens words nor marks special tokens.
-_SIMPLE = re.compile(r"([^\W\d_]+)([!-&(-/:;=?@\[-`{}~]+)?\Z")
-
-
+# Punctuation that may follow a word and neither shortens words nor marks special tokens.
+_TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _PROBES = ["abcdefghijklm", "nopqrstuvwxyz", "ABCDEFGHIJKLM", "NOPQRSTUVWXYZ", "the", "The", "Zebra"]
+_COST = 190  # bytes of a remembered piece besides its characters and ids, as measured
 
 
 class Encoder:
@@ -23,19 +19,24 @@ class Encoder:
 
     White space ends every token of the tokenizers this is meant for (`splits` tells
     whether that holds for the file), so the ids of a text are those of its pieces
-    between blanks and line ends, one after the other. New pieces that are plain words
-    are encoded many in one call: their last tokens carry the vocabulary's end-of-word
-    mark, which shows where one word ends; words of ASCII letters go to the tokenizer's model
-    directly if it takes them as they are. Memory is bounded: at most `keep` pieces of at
-    most `longest` characters are remembered.
+    between blanks and line ends, one after the other. New pieces that are plain words, perhaps
+    with punctuation after them, go to the tokenizer's model directly: words of ASCII letters
+    if it takes them as they are in lower case. Other words are encoded many in one call; their last
+    tokens carry the vocabulary's end-of-word mark, which shows where one word ends.
+
+    Memory is bounded by bytes: when the pieces remembered reach `keep` bytes they become the
+    older generation, and those that are met again move on; what the older one still holds
+    is forgotten the next time. Pieces of over `longest` characters aren't remembered.
     """
 
-    def __init__(self, path: str, keep: int = 1 << 20, longest: int = 64):
+    def __init__(self, path: str, keep: int = 48 << 20, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.longest = Tokenizer.from_file(path), keep, longest
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.size, bool)
         if mark:
@@ -45,7 +46,7 @@ class Encoder:
         self.splits = self._whole("a b\nc d").tobytes() == b"".join(self._whole(x).tobytes() for x in "abcd")
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _is_plain(self, word: str) -> bool:
         """Whether the model alone, given the word in lower case, makes the word's ids."""
@@ -60,22 +61,24 @@ class Encoder:
         data, at = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [data[a:b] for a, b in zip(at, at[1:])]
 
-    def _learn(self, pieces: set[str]) -> None:
-        known = self.known
+    def _learn(self, pieces: list[str]) -> None:
+        known, older = self.known, self.older
+        if older:
+            for piece in pieces:
+                if piece in older:
+                    known[piece] = older[piece]
+            pieces = [piece for piece in pieces if piece not in known]
         joined, new, other = [], set(), []
         for piece in pieces:
-            simple = _SIMPLE.match(piece) if len(piece) <= self.longest else None
-            if simple is None:
+            word = piece.rstrip(_TAIL)
+            if not word.isalpha() or len(piece) > self.longest:
                 other.append(piece)
                 continue
-            word, tail = simple.groups()
             if word not in known:
                 new.add(word)
-            if tail:
-                joined.append((piece, word, tail))
-                if tail not in known:
-                    known[tail] = self._whole(tail).tobytes()
-        if self.plain:
+            if len(word) < len(piece):
+                joined.append((piece, word, piece[len(word) :]))
+        if self.plain and new:
             model = self.tokenizer.model.tokenize
             for word in filter(str.isascii, new):
                 known[word] = array("I", [t.id for t in model(word.lower())]).tobytes()
@@ -85,6 +88,8 @@ class Encoder:
             for k in range(0, len(words), 500):
                 known.update(zip(words[k : k + 500], self._words(words[k : k + 500])))
         for piece, word, tail in joined:
+            if tail not in known:
+                known[tail] = self._whole(tail).tobytes()
             known[piece] = known[word] + known[tail]
         for piece in other:
             known[piece] = self._whole(piece).tobytes()
@@ -104,26 +109,24 @@ class Encoder:
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         if not self.splits:
             return [self._whole(text) for text in texts]
-        if len(self.known) > self.keep:  # before a group: its pieces stay until it is done
-            self.known = {"": b""}
+        if self.held > self.keep:  # before a group: its pieces stay until it is done
+            self.known, self.older, self.held = {"": b""}, self.known, 0
         collects = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and passes over all remembered pieces take long
         try:
             parts = [text.replace("\n", " ").split(" ") for text in texts]
-            found = [list(map(self.known.get, p)) for p in parts]
             missing: set[str] = set()
-            for p, f in zip(parts, found):
-                missing.update(compress(p, map(is_, f, repeat(None))))
+            missing.update(*parts)
+            missing.difference_update(self.known)
             if missing:
-                self._learn(missing)
-            made = []
-            for p, f in zip(parts, found):
-                if None in f:
-                    f = map(self.known.__getitem__, p)
-                made.append(np.frombuffer(b"".join(f), "<u4"))
+                before = len(self.known)
+                self._learn(list(missing))
+                self.held += _COST * (len(self.known) - before)
+            made = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]
             for piece in missing:
                 if len(piece) > self.longest:
                     del self.known[piece]
+                    self.held -= _COST
             return made
         finally:
             if collects:
