@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from postgauge.llm.tables import fresh_path, open_folder, shuffle_width
+from postgauge.llm.tables import fresh_path, open_folder, shuffle_width, small_batches
 from postgauge.llm.tokens import Encoder
 
 BLOCK = 1 << 20  # data bytes after which a block is written
@@ -110,6 +110,12 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for t, c in columns], schema=schema)
 
 
+def _numbers(ids: pa.Array) -> np.ndarray:
+    """The numbers of all rows of a binary column, one row's after the other."""
+    ends = np.frombuffer(ids.buffers()[1], "<i4")[ids.offset : ids.offset + len(ids) + 1]
+    return np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view("<u4")
+
+
 def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(T._parse_datatype_string(schema))
 
@@ -136,7 +142,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: s
                     rows, size = [], 0
             yield from _rows(rows, arrow)
 
-    given = docs.select(F.col(doc_id).cast("bigint"), F.monotonically_increasing_id(), text)
+    given = small_batches(docs).select(F.col(doc_id).cast("bigint"), F.monotonically_increasing_id(), text)
     return given.mapInArrow(encode, TOKENIZED)
 
 
@@ -146,8 +152,7 @@ def token_counts(stored: DataFrame, size: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=size)
+            total += np.bincount(_numbers(batch.column(0)), minlength=size)
         tokens = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(total[tokens])], ["token", "n"])
 
@@ -159,8 +164,8 @@ def write_token_files(
 ) -> None:
     """Write `docs` into `path`, documents in ascending order over all shards.
 
-    Texts are encoded once and their ids stored; what moves to its place in the order
-    are packed ranks, about half the bytes of the text. A task writes its shard under
+    Texts are encoded once and their ids stored; the ids move to their place in the order, where
+    the task that writes a shard ranks and packs them. A task writes its shard under
     a name of its own and reports it; only shards whose task succeeded are in the manifest,
     so a repeated task leaves at most an unused file. The rank table is as long as the
     vocabulary, whatever the corpus.
@@ -176,16 +181,6 @@ def write_token_files(
     ranks = np.zeros(size, "<u4")
     ranks[table["token"].to_numpy(int)] = table["rank"].to_numpy("u4")
 
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(4)]
-            packed = [pack(ranks[x]) for x in arrays]
-            made = [pa.array([len(x) for x in arrays], pa.int64())]
-            made += [pa.array(list(x), pa.binary()) for x in (zip(*packed, strict=True) if packed else ([], []))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], packed_arrow.names)
-
-    packed_schema = TOKENIZED.replace("ids binary", "n bigint, control binary, data binary")
-    packed_arrow = _arrow(packed_schema)
     report = "shard bigint, file string, n_docs bigint, n_tokens bigint"
     report_arrow = _arrow(report)
 
@@ -195,22 +190,24 @@ def write_token_files(
         name, out = f"{uuid.uuid4().hex}.ids", None
         n_docs = n_tokens = 0
         for batch in batches:
-            for key, more, n, control, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, more, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if out is None:
                     system, folder = open_folder(f"{path}/shards")
                     system.create_dir(folder, recursive=True)
                     out = system.open_output_stream(f"{folder}/{name}")
                     shard = ShardWriter(out)
-                shard.add(key, n, CONTINUED if more else 0, control, data)
-                n_docs, n_tokens = n_docs + (not more), n_tokens + n
+                numbers = ranks[np.frombuffer(ids.as_buffer(), "<u4")]
+                shard.add(key, len(numbers), CONTINUED if more else 0, *pack(numbers))
+                n_docs, n_tokens = n_docs + (not more), n_tokens + len(numbers)
         if out is not None:
             shard.flush()
             out.close()
             yield from _rows([(TaskContext.get().partitionId(), name, n_docs, n_tokens)], report_arrow)
 
     # Rows that share a doc_id spread over tasks, but the parts of a row stay together.
-    placed = stored.mapInArrow(rank, packed_schema).repartitionByRange(shards or shuffle_width(spark), "doc_id", "row")
-    ordered = placed.sortWithinPartitions("doc_id", "row", "part").select("doc_id", "more", "n", "control", "data")
+    # Ids are ranked and packed where they are written: the ranges are sampled from stored rows alone.
+    placed = stored.repartitionByRange(shards or shuffle_width(spark), "doc_id", "row")
+    ordered = placed.sortWithinPartitions("doc_id", "row", "part").select("doc_id", "more", "ids")
     ordered.mapInArrow(write, report).write.parquet(f"{path}/manifest")
 
 
