@@ -8,7 +8,8 @@ well-filled bins of one parent into the other, drops the bins that now hold a pi
 best-fits the displaced pieces into what is left, the largest first. Between epochs the elite
 solution of each island migrates to the next island of its block. After the last epoch the
 best solution of a block stands; pieces in its poorly filled bins are dealt into new blocks
-together with those of other blocks, so the last open bin of a block is not lost.
+together with those of other blocks, level after level, until all are in one block or a level places
+hardly any more. So the last open bin of a block is not lost.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ class Search:
     population: int = 4
     generations: int = 4
     good_fill: float = 0.995  # bins at least so full stand after a level
-    levels: int = 3
+    least_gain: float = 0.1  # share of its open pieces that a level must place for another one to follow
     seed: int = 11
 
 
@@ -215,10 +216,8 @@ def pack(table: DataFrame, capacity: int, search: Search = Search()) -> DataFram
     whole = F.col("length") == capacity
     open_ = stored.where(~whole).select("uid", F.col("length").alias("size"))
     placed = stored.where(whole).select("uid", F.col("uid").alias("first"), F.lit(0).cast("bigint").alias("offset"))
-    for level in range(search.levels):
-        n = open_.count()
-        if not n:
-            break
+    level, n = 0, open_.count()
+    while n:
         blocks = math.ceil(n / search.block)
         block: Column = F.pmod(F.xxhash64("uid", F.lit(search.seed + level)), F.lit(blocks))
         dealt = open_.groupBy(block.alias("block")).agg(F.sort_array(F.collect_list(F.struct("uid", "size"))).alias("p"))
@@ -232,12 +231,12 @@ def pack(table: DataFrame, capacity: int, search: Search = Search()) -> DataFram
             .withColumn("fill", F.sum("size").over(bin_))
             .withColumn("offset", F.sum("size").over(bin_.orderBy("uid")) - F.col("size"))
         )
-        final = level == search.levels - 1 or blocks == 1
-        rows = materialise(rows.withColumn("stands", F.lit(final) | (F.col("fill") >= search.good_fill * capacity)))
-        placed = placed.unionByName(rows.where("stands").select("uid", "first", "offset"))
-        if final:
-            break
+        rows = materialise(rows.withColumn("stands", F.lit(blocks == 1) | (F.col("fill") >= search.good_fill * capacity)))
         open_ = rows.where(~F.col("stands")).select("uid", "size")
+        left = open_.count()
+        final = left > (1 - search.least_gain) * n
+        placed = placed.unionByName(rows.where(F.col("stands") | F.lit(final)).select("uid", "first", "offset"))
+        level, n = level + 1, 0 if final else left
     return stored.join(placed.withColumnRenamed("first", "sequence_id"), "uid").drop("uid")
 
 

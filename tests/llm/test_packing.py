@@ -84,3 +84,14 @@ def test_evolution_beats_its_start():
         assert len(best) <= start
         better += len(best) < start
     assert better
+
+
+def test_blocks_share_their_open_bins_until_one_is_left(spark):
+    """Small blocks need many levels; in the end at most one sequence is far from full."""
+    from pyspark.sql import functions as F
+
+    table = spark.range(6000).select(F.col("id").alias("doc_id"), (F.pmod(F.xxhash64("id"), F.lit(40)) + 1).alias("length"))
+    packed = P.pack(table, 100, P.Search(block=64, good_fill=0.99)).groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    total, sequences = table.agg(F.sum("length")).first()[0], packed.count()
+    assert packed.agg(F.max("n"), F.sum("n")).first() == (100, total)
+    assert sequences <= -(-total // 100) + 2
