@@ -435,6 +435,17 @@ WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_cosine_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id)
 SELECT vec_id, neighbor, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) AS rank, round(distance, 6) AS distance
 FROM d QUALIFY rank <= 15""",
+    "project_2d": """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+g AS (SELECT vec_id, neighbor FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) <= 15),
+u AS (SELECT vec_id, neighbor FROM g UNION SELECT neighbor, vec_id FROM g)
+SELECT vec_id, count(*) AS degree, 1::BIGINT AS centred, 1::BIGINT AS orthogonal, 1::BIGINT AS settled FROM u GROUP BY vec_id""",
+    "project_linear_axes": "SELECT vec_id, 1::BIGINT AS centred, 1::BIGINT AS orthogonal FROM embeddings",
+    "post_map": sql("posts", """
+SELECT Id, coalesce(Title, 'No Title') AS Title, CAST(Score AS VARCHAR) AS Score,
+  CASE WHEN AnswerCount > 0 THEN 'Answered' ELSE 'Unanswered' END AS cluster, '{}' AS label_store, 1::BIGINT AS placed
+FROM posts WHERE PostTypeId = 1"""),
     "save_model": sql("posts", "SELECT Id, 1::BIGINT AS same FROM posts"),
     "post_map_rows": sql("posts", """
 SELECT Id, coalesce(Title, 'No Title') AS Title, CAST(Score AS VARCHAR) AS Score,

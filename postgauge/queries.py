@@ -13,7 +13,7 @@ from postgauge.functions import fixed
 from postgauge.functions import posts as P
 from postgauge.functions import text as X
 from postgauge.operators import annotate, distribution, evaluation, labeling, matching, models
-from postgauge.operators import neighbors, projection, quality, splitting, structured, textstats, vectors
+from postgauge.operators import neighbors, projection, quality, spectral, splitting, structured, textstats, vectors
 from postgauge.plans import post_map as maps
 from postgauge.plans import training
 from postgauge.sources import derived as D
@@ -581,16 +581,75 @@ def knn_graph_cosine(spark, folder):
     return neighbors.knn_graph(_embeddings(spark, folder), "vec_id", "vector", metric="cosine")
 
 
+def _vectors(spark, folder):
+    return _embeddings(spark, folder).select("vec_id", array_to_vector("vector").alias("features"))
+
+
+def _measured(points: DataFrame, weight, near: DataFrame | None, values: list[float]) -> DataFrame:
+    """Rows of `id, weight, coordinates` with 0/1 answers, each worked out anew from the coordinates.
+
+    `settled`: the layout's equation holds for every axis, A v = value * v, up to a length of
+    0.02; `centred` and `orthogonal` are the weighted means and products of the axes.
+    """
+    axes = [F.get("coordinates", F.lit(i)) for i in range(2)]
+    total = F.sum(weight)
+    sums = [F.sum(weight * a) / total for a in axes]
+    cross = F.sum(weight * axes[0] * axes[1]) / F.sqrt(F.sum(weight * axes[0] ** 2) * F.sum(weight * axes[1] ** 2))
+    m = points.agg(*[s.alias(f"m{i}") for i, s in enumerate(sums)], cross.alias("cross")).first()
+    centred, orthogonal = all(abs(m[f"m{i}"]) < 1e-6 for i in range(2)), abs(m["cross"]) < 1e-6
+    settled = True
+    if near is not None:  # for vectors v = coordinates * sqrt(degree) of length 1
+        of = points.select(F.col("id").alias("src"), "coordinates", "weight")
+        to = points.select(F.col("id").alias("dst"), F.col("coordinates").alias("own"), F.col("weight").alias("w"))
+        sent = near.join(of, "src").groupBy("dst").agg(*[F.sum(a).alias(f"s{i}") for i, a in enumerate(axes)])
+        gaps = [(F.col(f"s{i}") / F.sqrt("w") - F.lit(values[i]) * F.sqrt("w") * F.get("own", F.lit(i))) ** 2 for i in range(2)]
+        lengths = [F.sum(F.col("w") * F.get("own", F.lit(i)) ** 2) for i in range(2)]
+        found = sent.join(to, "dst").agg(*[F.sqrt(F.sum(g) / n).alias(f"r{i}") for i, (g, n) in enumerate(zip(gaps, lengths))]).first()
+        settled = all(r < 0.02 for r in found)
+    flags = {"centred": centred, "orthogonal": orthogonal, "settled": settled}
+    return points.select(F.col("id").alias("vec_id"), "weight", *[F.lit(int(v)).alias(n) for n, v in flags.items()])
+
+
 @query
 def project_2d(spark, folder):
-    vectors_only = _embeddings(spark, folder).select("vec_id", array_to_vector("vector").alias("features"))
-    return projection.project_2d(vectors_only, "features", "vec_id")
+    """Rows of the map with their degrees in the neighbour graph, and what holds of its axes."""
+    graph = materialise(neighbors.knn_graph(_embeddings(spark, folder), "vec_id", "vector"))
+    done = spectral.spectral_layout(graph, "vec_id")
+    points = done.points.select(F.col("vec_id").alias("id"), F.col("degree").alias("weight"), "coordinates")
+    near = spectral.undirected(graph, "vec_id", "neighbor")
+    return _measured(points, F.col("weight"), near, done.values).withColumnRenamed("weight", "degree")
+
+
+@query
+def project_2d_points(spark, folder):
+    return projection.project_2d(_vectors(spark, folder), "features", "vec_id")
+
+
+@query
+def project_2d_linear(spark, folder):
+    return projection.project_2d(_vectors(spark, folder), "features", "vec_id", "linear")
+
+
+@query
+def project_linear_axes(spark, folder):
+    """The rows of a linear map in three dimensions, and what holds of its first axes."""
+    at = projection.project(_vectors(spark, folder), "features", "vec_id", 3, "linear")
+    points = at.select(F.col("vec_id").alias("id"), F.lit(1).alias("weight"), "coordinates")
+    return _measured(points, F.col("weight"), None, []).select("vec_id", "centred", "orthogonal")
 
 
 @query
 def post_map(spark, folder):
+    """The map's rows, with whether they have their two coordinates."""
     shown = maps.post_map(D.posts(spark, folder), _features(spark, folder))
-    return shown.select("Id", "Title", "Score", "cluster", "label_store", "x", "y")
+    placed = (F.col("x").isNotNull() & ~F.isnan("x") & F.col("y").isNotNull() & ~F.isnan("y")).alias("placed")
+    return shown.select("Id", "Title", "Score", "cluster", "label_store", placed)
+
+
+@query
+def post_map_points(spark, folder):
+    shown = maps.post_map(D.posts(spark, folder), _features(spark, folder), n_components=3)
+    return shown.select("Id", "x", "y", "z")
 
 
 @query
