@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
 from postgauge.operators.evaluation import class_weights
+from postgauge.operators.forest import TREES_PER_BAG, BaggedForest, fit_bagged_forest
 
 # The deepest tree Spark grows; stands in for "no limit".
 DEEPEST = 30
@@ -18,8 +19,6 @@ def make_classifier(algorithm: str = "random_forest", seed: int = fixed.SEED, ro
     """An unfitted classifier; `rows` turns the L2 strength per data set into one per row."""
     params = params or {}
     if algorithm == "random_forest":
-        if params.get("oob_score"):
-            raise ValueError("the forest has no out-of-bag score; use holdout_accuracy")
         if (params.get("max_depth") or 0) > DEEPEST:
             raise ValueError(f"max_depth is at most {DEEPEST}, or None for the deepest")
         return RandomForestClassifier(
@@ -50,14 +49,29 @@ def fit_classifier(
     rows = data.count() if algorithm == "logistic_regression" else 1
     classifier = make_classifier(algorithm, seed, rows, params).setLabelCol(label).setFeaturesCol(features)
     if params.get("class_weight") == "balanced":
-        weight = F.lit(1.0)
-        for r in class_weights(data, label).collect():
-            weight = F.when(F.col(label) == r[label], r["weight"]).otherwise(weight)
-        data = data.withColumn("weight", weight)
+        data = data.withColumn("weight", balanced(data, label))
         classifier = classifier.setWeightCol("weight")
     return classifier.fit(data)
 
 
+def balanced(df: DataFrame, label: str = "label") -> Column:
+    """A row's weight by the size of its class."""
+    weight = F.lit(1.0)
+    for r in class_weights(df, label).collect():  # one row for each class
+        weight = F.when(F.col(label) == r[label], r["weight"]).otherwise(weight)
+    return weight
+
+
+def fit_forest_with_score(
+    df: DataFrame, row_id: str, seed: int = fixed.SEED, params: dict | None = None, label: str = "label", features: str = "features"
+) -> BaggedForest:
+    """A forest of known bags and its out-of-bag score: `oob_score` of the parameters."""
+    params = params or {}
+    grower = make_classifier("random_forest", seed, params=params).setLabelCol(label).setFeaturesCol(features)
+    weight = balanced(df, label) if params.get("class_weight") == "balanced" else None
+    return fit_bagged_forest(df, grower, row_id, weight, params.get("trees_per_bag", TREES_PER_BAG), seed)
+
+
 def predict(model: Model, df: DataFrame) -> DataFrame:
     """Rows with a whole-number `prediction`."""
     scored = model.transform(df).drop("rawPrediction", "probability")

@@ -227,6 +227,12 @@ UNION ALL
 SELECT Id, dim, round((value - mean) / CASE WHEN dev = 0 THEN 1 ELSE dev END, 6) FROM f JOIN m USING (dim) WHERE {shown}""")
 
 
+def _predicted() -> str:
+    """Test rows that have a label, each with an answer of 0 or 1."""
+    return sql("posts labeled keyed", f"""
+SELECT Id, label::BIGINT AS label, 1::BIGINT AS answered FROM labeled WHERE label <> -1 AND {_side("test")}""")
+
+
 ORACLES: dict[str, str] = {
     "read_posts_limited": sql("posts", f"SELECT Id, PostTypeId::BIGINT AS PostTypeId, Score::BIGINT AS Score FROM posts ORDER BY Id LIMIT {fixed.ROW_CAP}"),
     "normalize_group_key": sql("posts", """
@@ -435,6 +441,17 @@ WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_cosine_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id)
 SELECT vec_id, neighbor, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor) AS rank, round(distance, 6) AS distance
 FROM d QUALIFY rank <= 15""",
+    "train_random_forest": _predicted(),
+    "train_logistic": _predicted(),
+    "predict_quality": sql("posts", "SELECT Id, 1::BIGINT AS answered FROM posts"),
+    "train_evaluate": f"""
+WITH t AS ({_predicted()}),
+s AS (SELECT unnest(['load', 'features', 'training', 'evaluation', 'saving']) AS name)
+SELECT 'stage' AS part, name, 1::BIGINT AS n FROM s
+UNION ALL SELECT 'support', CASE label WHEN 1 THEN 'High Quality' ELSE 'Low Quality' END, count(*) FROM t GROUP BY label
+UNION ALL SELECT 'support', unnest(['accuracy', 'macro avg', 'weighted avg']), count(*) FROM t
+UNION ALL SELECT 'matrix', CAST(label AS VARCHAR), count(*) FROM t GROUP BY label
+UNION ALL SELECT 'check', unnest(['follows', 'out of bag']), 1""",
     "project_2d": """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 d AS (SELECT a.vec_id, b.vec_id AS neighbor, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id),

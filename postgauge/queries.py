@@ -15,7 +15,7 @@ from postgauge.functions import text as X
 from postgauge.operators import annotate, distribution, evaluation, labeling, matching, models
 from postgauge.operators import neighbors, projection, quality, spectral, splitting, structured, textstats, vectors
 from postgauge.plans import post_map as maps
-from postgauge.plans import training
+from postgauge.plans import training, training_run
 from postgauge.sources import derived as D
 from postgauge.session import fresh_path, materialise, spread
 from postgauge.sources import model_files, post_files
@@ -523,26 +523,51 @@ def _trained(spark, folder, algorithm="random_forest", quality_labels=True):
     return training.train_evaluate(train, test, _features(spark, folder), algorithm, quality_labels=quality_labels)
 
 
+def _answers(predictions: DataFrame) -> DataFrame:
+    """Predictions without the answers themselves, but whether each is 0 or 1."""
+    return predictions.select("Id", "label", F.col("prediction").isin(0, 1).alias("answered"))
+
+
 @query
 def train_random_forest(spark, folder):
-    return _trained(spark, folder).predictions
+    return _answers(_trained(spark, folder).predictions)
 
 
 @query
 def train_logistic(spark, folder):
-    return _trained(spark, folder, "logistic_regression").predictions
+    return _answers(_trained(spark, folder, "logistic_regression").predictions)
 
 
 @query
 def predict_quality(spark, folder):
     """Quality predicted for every post, labelled or not."""
     model = _trained(spark, folder, "logistic_regression").model
-    return models.predict(model, D.posts(spark, folder)).select("Id", "prediction")
+    return models.predict(model, D.posts(spark, folder)).select("Id", F.col("prediction").isin(0, 1).alias("answered"))
 
 
 @query
 def train_evaluate(spark, folder):
-    return _trained(spark, folder).metrics
+    """What a whole run leaves: its stages, the support and the matrix of its test side, and whether the
+    stored report, metrics and out-of-bag score follow from the stored predictions."""
+    train, test = _train_test(spark, folder)
+    params = {**training.FOREST, "oob_score": True, "trees_per_bag": 10}
+    run = training_run.run_training(spark, fresh_path(spark, "run"), train, test, _features(spark, folder), params=params)
+    hit, predicted, actual = F.sum(F.col("label") * F.col("prediction")), F.sum("prediction"), F.sum("label")
+    anew = run.predictions.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")), hit, predicted, actual).first()
+    accuracy, hit, predicted, actual = anew
+    precision, recall = (hit / n if n else 0.0 for n in (predicted, actual))
+    f1 = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
+    metrics = run.metrics.first()
+    report = {r["name"]: r for r in run.report.collect()}
+    high = report["High Quality"]
+    pairs = [(metrics["accuracy"], accuracy), (metrics["precision"], precision), (metrics["recall"], recall), (metrics["f1_score"], f1)]
+    pairs += [(high["precision"], precision), (high["recall"], recall), (high["f1_score"], f1), (report["accuracy"]["f1_score"], accuracy)]
+    checks = {"follows": all(abs(a - b) < 1e-9 for a, b in pairs), "out of bag": run.oob_score is not None and 0 <= run.oob_score <= 1}
+    stages = run.ledger.select(F.lit("stage").alias("part"), F.col("stage").alias("name"), (F.col("seconds") > 0).cast("bigint").alias("n"))
+    support = run.report.select(F.lit("support"), "name", F.col("support").cast("bigint"))
+    matrix = run.matrix.groupBy("label").agg(F.sum("n").cast("bigint").alias("n"))
+    rows = stages.union(support).union(matrix.select(F.lit("matrix"), F.col("label").cast("string"), "n"))
+    return rows.union(spark.createDataFrame([("check", k, int(v)) for k, v in checks.items()], "part string, name string, n bigint"))
 
 
 @query

@@ -31,11 +31,6 @@ def test_forest_parameters(spark):
     assert models.make_classifier(params={"max_depth": None}).getMaxDepth() == 30
 
 
-def test_out_of_bag_score_is_refused():
-    with pytest.raises(ValueError, match="holdout_accuracy"):
-        models.make_classifier(params={"oob_score": True})
-
-
 def test_forest_from_a_bounded_number_of_rows(spark, data):
     """The bound holds for the fit alone, by a choice that repeats."""
     train, test = training.split_by_group(D.posts(spark, data))

@@ -6,9 +6,6 @@ from compare import connect, differences
 from postgauge.oracle import ORACLES
 from postgauge.queries import QUERIES
 
-# Forest training alone takes as long as all others; test_models grows a small one.
-SLOW = {"train_random_forest", "train_evaluate", "predict_quality"}
-
 
 @pytest.fixture(scope="module")
 def con(data):
@@ -24,6 +21,6 @@ def test_matches_sql(spark, data, con, name):
     assert differences(QUERIES[name](spark, data), con, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, data, name):
     assert QUERIES[name](spark, data).count() > 0
