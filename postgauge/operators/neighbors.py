@@ -1,10 +1,13 @@
 """Exact k nearest neighbours without comparing every pair.
 
-Rows are assigned to the nearest of a few pivots. What is known about a cell (its
-radius, its rows closest to the pivot) bounds, by the triangle inequality, how far a
-row's k-th neighbour can be, and a cell that cannot hold anything nearer is never
-visited. Cells, and the rows visiting them, are cut into blocks of bounded size, and
-only the k best per row and block leave a task. Copies of a vector are searched once.
+Rows are assigned to the nearest of a few pivots, and cells that are still large to the
+nearest of pivots of their own, and so on: a tree whose leaves keep their size as the table
+grows. What is known about a cell (its radius, its rows closest to the pivot) bounds, by the
+triangle inequality, how far a row's k-th neighbour can be, and a cell that cannot hold
+anything nearer is never visited. A row goes down the tree level by level; below the first
+level a cell's pivots meet its visitors as a table. Leaves, and the rows visiting them, are cut
+into blocks of bounded size, and only the k best per row and block leave a task. Copies of a
+vector are searched once.
 """
 
 from __future__ import annotations
@@ -21,8 +24,12 @@ from postgauge.functions import fixed
 from postgauge.operators.lookup import fits
 from postgauge.session import materialise
 
-MAX_PIVOTS = 1024
+MAX_PIVOTS = 1024  # of the first level, and of every cell below it
 BLOCK_ROWS = 1024
+SPLIT = 4  # blocks that a cell may hold before it is split
+MAX_LEVELS = 12
+ROUTED = 16 * BLOCK_ROWS  # rows of a cell that one task assigns or routes
+BROADCAST_CELLS = 100_000
 # Numbers one chunk of bounds may hold.
 CHUNK_NUMBERS = 1 << 22
 BROADCAST_COPIES = 10_000
@@ -58,56 +65,105 @@ def _off(distance: np.ndarray, error: np.ndarray) -> np.ndarray:
     return error / np.maximum(distance, np.sqrt(error))
 
 
+def _nearest_pivot(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    d = _distances(vectors, pivots)
+    cell = d.argmin(1)
+    return cell, d[np.arange(len(d)), cell]
+
+
 def _assign(pivots: np.ndarray):
     def run(batches):
         for pdf in batches:
             if len(pdf):
-                d = _distances(np.stack(pdf["vector"].to_numpy()), pivots)
-                cell = d.argmin(1)
-                yield pdf.assign(cell=cell.astype("int32"), to_pivot=d[np.arange(len(d)), cell])
+                cell, distance = _nearest_pivot(np.stack(pdf["vector"].to_numpy()), pivots)
+                yield pdf.assign(cell=cell.astype(str), to_pivot=distance)
 
     return run
 
 
-def _route(pivots: np.ndarray, radius: np.ndarray, inner: np.ndarray, nearest: np.ndarray, k: int):
-    """Emit every row once per further cell that may hold one of its k nearest.
+def _assign_below(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+    """Rows of a cell moved to the nearest of its own pivots."""
+    if rows.empty:
+        return rows[["rep", "vector", "cell", "to_pivot"]]
+    pivots = pivots.sort_values("child")
+    child, distance = _nearest_pivot(np.stack(rows["vector"].to_numpy()), np.stack(pivots["pivot"].to_numpy()))
+    names = (pivots["cell"].iloc[0] + "." + pivots["child"].astype(str)).to_numpy()
+    return rows[["rep", "vector"]].assign(cell=names[child], to_pivot=distance)
+
+
+class _Cells:
+    """Sibling cells, and which of them a row has to visit.
 
     `reach`, the distance of the k-th neighbour at home, and the bound from the pivots
-    are both upper limits; the smaller one travels on.
+    are both upper limits; the smaller one travels on. With `probes`, of the cells that may hold
+    a neighbour only so many are visited, those with the nearest pivots.
     """
-    between = _distances(pivots, pivots)
-    np.fill_diagonal(between, np.inf)
-    step = max(1, CHUNK_NUMBERS // nearest.size)
-
-    def visits(vectors: np.ndarray, home: np.ndarray, reached: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d = _distances(vectors, pivots)
-        own = d[np.arange(len(d)), home][:, None]
-        error = _error(vectors, pivots)
-        upper = nearest + _off(nearest, error.max())
+
+    def __init__(self, pivots, radius, inner, nearest, k: int, probes: int | None):
+        self.pivots, self.radius, self.inner, self.nearest, self.k, self.probes = pivots, radius, inner, nearest, k, probes
+        self.between = _distances(pivots, pivots)
+        np.fill_diagonal(self.between, np.inf)
+        self.step = max(1, CHUNK_NUMBERS // nearest.size)
+
+    def open(self, vectors: np.ndarray, reached: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(vectors, self.pivots)
+        closest = d.argmin(1)
+        own = d[np.arange(len(d)), closest][:, None]
+        error = _error(vectors, self.pivots)
+        upper = self.nearest + _off(self.nearest, error.max())
         reach = ((d + _off(d, error))[:, :, None] + upper[None, :, :]).reshape(len(d), -1)
-        # The row itself is among the counted ones, hence index k, not k - 1.
-        limit = np.partition(reach, k, axis=1)[:, k] if reach.shape[1] > k else np.full(len(d), np.inf)
+        # The row itself may be among the counted ones, hence index k, not k - 1.
+        limit = np.partition(reach, self.k, axis=1)[:, self.k] if reach.shape[1] > self.k else np.full(len(d), np.inf)
         limit = np.minimum(limit, reached)
-        outside = np.maximum(d - radius - _off(radius, error), inner - d - _off(inner, error)) - _off(d, error)
-        floor = np.maximum(outside, (d * d - own * own - 2.0 * error) / (2.0 * between[home]))
+        outside = np.maximum(d - self.radius - _off(self.radius, error), self.inner - d - _off(self.inner, error)) - _off(d, error)
+        floor = np.maximum(outside, (d * d - own * own - 2.0 * error) / (2.0 * self.between[closest]))
         open_cells = floor <= (limit * (1 + 1e-6))[:, None]
-        open_cells[np.arange(len(d)), home] = False
+        if self.probes is not None and self.probes < d.shape[1]:
+            open_cells &= np.argsort(np.argsort(d, axis=1), axis=1) < self.probes
         return open_cells, limit
 
+    def visits(self, rows: pd.DataFrame, names: np.ndarray) -> pd.DataFrame:
+        """Every row once for each further cell that may hold one of its k nearest.
+
+        A row's own leaf was searched before; a cell above it is visited whatever its bounds.
+        """
+        parts = []
+        for at in range(0, len(rows), self.step):
+            part = rows.iloc[at : at + self.step]
+            open_cells, limit = self.open(np.stack(part["vector"].to_numpy()), part["reach"].to_numpy())
+            leaves = part["leaf"].to_numpy()
+            home = names[None, :] == leaves[:, None]
+            # Cells above the row's own leaf: all siblings lie at the same depth.
+            depth = names[0].count(".") + 1
+            roots = np.array([".".join(leaf.split(".")[:depth]) for leaf in leaves], dtype=object)
+            above = names[None, :] == roots[:, None]
+            r, c = np.nonzero((open_cells | above) & ~home)
+            parts.append(part[["rep", "vector", "leaf"]].iloc[r].assign(reach=limit[r], cell=names[c]))
+        return pd.concat(parts) if parts else rows[["rep", "vector", "leaf", "reach"]].assign(cell="")
+
+
+VISITS = "rep bigint, vector array<double>, leaf string, reach double, cell string"
+
+
+def _route(cells: _Cells, names: np.ndarray):
     def run(batches):
         for pdf in batches:
-            for at in range(0, len(pdf), step):
-                part = pdf.iloc[at : at + step]
-                cells, limit = visits(np.stack(part["vector"].to_numpy()), part["cell"].to_numpy(), part["reach"].to_numpy())
-                rows, cells = np.nonzero(cells)
-                yield pd.DataFrame(
-                    {
-                        "rep": part["rep"].to_numpy()[rows],
-                        "vector": part["vector"].to_numpy()[rows],
-                        "cell": cells.astype("int32"),
-                        "reach": limit[rows],
-                    }
-                )
+            if len(pdf):
+                yield cells.visits(pdf, names)[["rep", "vector", "leaf", "reach", "cell"]]
+
+    return run
+
+
+def _route_below(k: int, probes: int | None):
+    def run(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return rows[["rep", "vector", "leaf", "reach", "cell"]]
+        nearest = np.full((len(nodes), k + 1), np.inf)
+        for i, found in enumerate(nodes["nearest"]):
+            nearest[i, : len(found)] = found
+        pivots = np.stack(nodes["pivot"].to_numpy())
+        cells = _Cells(pivots, nodes["hi"].to_numpy(), nodes["lo"].to_numpy(), nearest, k, probes)
+        return cells.visits(rows, nodes["node"].to_numpy(object))[["rep", "vector", "leaf", "reach", "cell"]]
 
     return run
 
@@ -152,48 +208,100 @@ def _closest(df: DataFrame, key: str, other: str, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | None) -> DataFrame:
-    """k nearest other vectors of every distinct vector."""
-    n = groups.count()
-    wanted = max(1, min(MAX_PIVOTS, math.ceil(n / block_rows)))
-    pivot_rows = groups.orderBy(F.xxhash64("rep"), "rep").select("vector").limit(wanted).collect()
-    pivots = np.array([r["vector"] for r in pivot_rows], dtype=np.float64)
-
-    schema = "rep bigint, vector array<double>, cell int, to_pivot double"
-    placed = materialise(groups.select("rep", "vector").mapInPandas(_assign(pivots), schema))
-    sizes, radius, inner = np.zeros(len(pivots)), np.full(len(pivots), -np.inf), np.full(len(pivots), np.inf)
-    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("hi"), F.min("to_pivot").alias("lo")).collect():
-        sizes[r["cell"]], radius[r["cell"]], inner[r["cell"]] = r["n"], r["hi"], r["lo"]
-    nearest = np.full((len(pivots), k + 1), np.inf)
+def _nodes(placed: DataFrame, k: int) -> DataFrame:
+    """Per cell what its visitors have to know: n, hi and lo, and the k + 1 smallest distances to its pivot."""
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("hi"), F.min("to_pivot").alias("lo"))
     first = W.partitionBy("cell").orderBy("to_pivot")
     ranked = placed.select("cell", "to_pivot").withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
-    for r in ranked.collect():  # at most k + 1 per pivot
-        nearest[r["cell"], r["r"] - 1] = r["to_pivot"]
+    return sizes.join(ranked.groupBy("cell").agg(F.sort_array(F.collect_list("to_pivot")).alias("nearest")), "cell")
+
+
+def _light(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if fits(table, BROADCAST_CELLS) else table
+
+
+def _salted(rows: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of cells with a salt, and `cells` (with `n`, the rows of each) once for each salt."""
+    salts = F.ceil(F.col("n") / ROUTED).cast("int")
+    counts = _light(cells.select("cell", salts.alias("salts")).distinct())
+    dealt = rows.join(counts, "cell").withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int")).drop("salts")
+    return dealt, cells.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
 
-    def search(queries: DataFrame, load: dict[int, int]) -> DataFrame:
-        return _search(queries, placed, sizes, load, k, block_rows, digits)
+
+def _split(placed: DataFrame, large: DataFrame, level: int, block_rows: int, fan: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of `large` cells below pivots of their own; and these: cell, child, pivot."""
+    wanted = F.least(F.lit(fan), F.ceil(F.col("n") / block_rows)).alias("wanted")
+    draw = W.partitionBy("cell").orderBy(F.xxhash64("rep", F.lit(level)), "rep")
+    # Ids alone are ranked; their vectors are fetched.
+    drawn = placed.select("cell", "rep").withColumn("child", F.row_number().over(draw)).where(F.col("child") <= fan)
+    drawn = materialise(drawn.join(_light(large.select("cell", wanted)), "cell").where("child <= wanted").select("rep", "child"))
+    pivots = materialise(placed.join(_light(drawn), "rep").select("cell", "child", F.col("vector").alias("pivot")))
+    rows, dealt = _salted(placed, pivots.join(_light(large.select("cell", "n")), "cell"))
+    schema = "rep bigint, vector array<double>, cell string, to_pivot double"
+    below = rows.groupBy("cell", "salt").cogroup(dealt.groupBy("cell", "salt")).applyInPandas(_assign_below, schema)
+    rest = placed.join(_light(large.select("cell")), "cell", "left_anti").select("rep", "vector", "cell", "to_pivot")
+    return materialise(rest.unionByName(below)), pivots
+
+
+def _tree(groups: DataFrame, k: int, block_rows: int, fan: int):
+    """Rows in leaves, the first level's pivots, and for each level below it the table of its nodes."""
+    n = groups.count()
+    wanted = max(1, min(fan, math.ceil(n / block_rows)))
+    drawn = groups.orderBy(F.xxhash64("rep"), "rep").select("vector").limit(wanted).collect()
+    pivots = np.array([r["vector"] for r in drawn], dtype=np.float64)
+    schema = "rep bigint, vector array<double>, cell string, to_pivot double"
+    placed = materialise(groups.select("rep", "vector").mapInPandas(_assign(pivots), schema))
+    top = _nodes(placed, k).collect()  # as many as pivots
+    large = placed.sparkSession.createDataFrame([(r["cell"], r["n"]) for r in top if r["n"] > SPLIT * block_rows], "cell string, n bigint")
+    levels: list[DataFrame] = []
+    while len(levels) < MAX_LEVELS and not large.isEmpty():
+        placed, chosen = _split(placed, large, len(levels) + 1, block_rows, fan)
+        names = chosen.select(F.col("cell").alias("parent"), F.concat_ws(".", "cell", F.col("child")).alias("cell"), "pivot")
+        nodes = materialise(_nodes(placed, k).join(names, "cell"))
+        levels.append(nodes)
+        large = nodes.where(F.col("n") > SPLIT * block_rows).select("cell", "n")
+    return placed, pivots, top, levels
+
+
+def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | None, fan: int, probes: int | None) -> DataFrame:
+    """k nearest other vectors of every distinct vector."""
+    placed, pivots, top, levels = _tree(groups, k, block_rows, fan)
+    sizes = materialise(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+
+    def search(queries: DataFrame) -> DataFrame:
+        load = queries.groupBy("cell").agg(F.count(F.lit(1)).alias("load"))
+        return _search(queries, placed, sizes.join(load, "cell"), k, block_rows, digits)
 
     # At home first: the k-th neighbour found there keeps most rows from travelling.
     home = placed.select("rep", "vector", "cell", F.lit(float("inf")).alias("reach"))
-    near = materialise(_closest(search(home, {c: int(n) for c, n in enumerate(sizes) if n}), "rep", "other", k).drop("rank"))
-    if len(pivots) == 1:
+    near = materialise(_closest(search(home), "rep", "other", k).drop("rank"))
+    if len(pivots) == 1 and not levels:
         return _closest(near, "rep", "other", k)
     kth = near.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
     reach = F.when(F.col("n") == k, F.col("far")).otherwise(float("inf")).alias("reach")
-    leaving = placed.join(kth, "rep", "left").select("rep", "vector", "cell", reach)
-    route = _route(pivots, radius, inner, nearest, k)
-    visits = leaving.mapInPandas(route, "rep bigint, vector array<double>, cell int, reach double")
-    load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-    return _closest(near.unionByName(search(visits, load)), "rep", "other", k)
-
-
-def _search(
-    queries: DataFrame, placed: DataFrame, sizes: np.ndarray, load: dict[int, int], k: int, block_rows: int, digits: int | None
-) -> DataFrame:
-    """Every row against the members of the cell it visits, in blocks on both sides."""
-    plan = [(c, math.ceil(sizes[c] / block_rows), math.ceil(n / block_rows)) for c, n in load.items()]
-    shape = "cell int, member_blocks int, query_blocks int"
-    blocks = F.broadcast(placed.sparkSession.createDataFrame(plan, shape))  # one row per pivot at most
+    leaving = placed.join(kth, "rep", "left").select("rep", "vector", F.col("cell").alias("leaf"), reach)
+    radius, inner, nearest = np.full(len(pivots), -np.inf), np.full(len(pivots), np.inf), np.full((len(pivots), k + 1), np.inf)
+    for r in top:
+        at = int(r["cell"])
+        radius[at], inner[at] = r["hi"], r["lo"]
+        nearest[at, : len(r["nearest"])] = r["nearest"]
+    names = np.array([str(c) for c in range(len(pivots))], dtype=object)
+    visits = materialise(leaving.mapInPandas(_route(_Cells(pivots, radius, inner, nearest, k, probes), names), VISITS))
+    for nodes in levels:
+        load = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        below = nodes.withColumnRenamed("cell", "node").withColumnRenamed("parent", "cell").drop("n").join(_light(load), "cell")
+        rows, dealt = _salted(visits, below)
+        down = rows.groupBy("cell", "salt").cogroup(dealt.groupBy("cell", "salt")).applyInPandas(_route_below(k, probes), VISITS)
+        ended = visits.join(_light(below.select("cell").distinct()), "cell", "left_anti").select(*visits.columns)
+        visits = materialise(ended.unionByName(down))
+    found = search(visits.select("rep", "vector", "cell", "reach"))
+    return _closest(near.unionByName(found), "rep", "other", k)
+
+
+def _search(queries: DataFrame, placed: DataFrame, loads: DataFrame, k: int, block_rows: int, digits: int | None) -> DataFrame:
+    """Every row against the members of the leaf it visits, in blocks on both sides."""
+    counts = [F.ceil(F.col(c) / block_rows).cast("int").alias(b) for c, b in (("n", "member_blocks"), ("load", "query_blocks"))]
+    blocks = _light(materialise(loads.select("cell", *counts)))  # one row for each leaf
 
     def block(of: str) -> F.Column:
         return F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
@@ -223,8 +331,14 @@ def knn_graph(
     k: int = fixed.NEIGHBORS,
     metric: str = "euclidean",
     block_rows: int = BLOCK_ROWS,
+    fan: int = MAX_PIVOTS,
+    probes: int | None = None,
 ) -> DataFrame:
-    """`row_id, neighbor, rank, distance`: the k nearest other rows; equal distances go by id."""
+    """`row_id, neighbor, rank, distance`: the k nearest other rows; equal distances go by id.
+
+    With `probes` the graph is approximate: beside its own leaf a row visits at most so
+    many cells of every cell it comes to, those with the nearest pivots. Without, it is exact.
+    """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"Unknown metric: {metric}")
     data = df.where(F.col(vector).isNotNull()).select(
@@ -239,7 +353,7 @@ def knn_graph(
     groups = materialise(
         firsts.groupBy("vector").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("members"))
     )
-    edges = _distinct_edges(groups, k, block_rows, 12 if metric == "cosine" else None)
+    edges = _distinct_edges(groups, k, block_rows, 12 if metric == "cosine" else None, fan, probes)
     shared = groups.where(F.size("members") > 1)
     if shared.isEmpty():
         out = edges.select(F.col("rep").alias("id"), F.col("other").alias("neighbor"), "rank", "distance")

@@ -152,10 +152,56 @@ def test_cells_are_skipped(spark):
         near[c, : len(first)] = first
     import pandas as pd
 
-    batch = pd.DataFrame({"rep": range(len(points)), "vector": list(points), "cell": home, "reach": np.inf})
-    visits = pd.concat(neighbors._route(pivots, radius, inner, near, 5)([batch]))
+    batch = pd.DataFrame({"rep": range(len(points)), "vector": list(points), "leaf": home.astype(str), "reach": np.inf})
+    cells, names = neighbors._Cells(pivots, radius, inner, near, 5, None), np.array([str(c) for c in range(m)], dtype=object)
+    visits = pd.concat(neighbors._route(cells, names)([batch]))
     assert len(visits) <= len(points) * m / 4
-    assert len(pd.concat(neighbors._route(pivots, radius, inner, near, 5)([batch.assign(reach=0.0)]))) == 0
+    assert len(pd.concat(neighbors._route(cells, names)([batch.assign(reach=0.0)]))) == 0
+
+
+def clusters(rng, n):
+    """Groups of very different size, one with half of the rows."""
+    centres = rng.normal(size=(9, 4)) * 20
+    which = np.where(rng.random(n) < 0.5, 0, rng.integers(0, 9, n))
+    return centres[which] + rng.normal(size=(n, 4))
+
+
+@pytest.mark.parametrize("fan,routed", [(3, 16), (6, 10_000)])
+def test_a_deep_tree_finds_the_same_neighbors(spark, monkeypatch, fan, routed):
+    monkeypatch.setattr(neighbors, "ROUTED", routed)
+    points = clusters(np.random.default_rng(8), 300)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>").repartition(4)
+    found = neighbors.knn_graph(df, "id", "v", k=6, block_rows=8, fan=fan)
+    got = {(r["id"], r["rank"]): r["neighbor"] for r in found.collect()}
+    assert got == {(i, r): j for i, j, r, _ in brute(points, 6, "euclidean")}
+
+
+def test_leaves_keep_their_size_as_rows_grow(spark):
+    rng = np.random.default_rng(2)
+    seen = []
+    for n in (300, 1500):
+        rows = [(i, p.tolist()) for i, p in enumerate(clusters(rng, n))]
+        groups = spark.createDataFrame(rows, "rep long, vector array<double>")
+        placed, pivots, top, levels = neighbors._tree(groups, 5, 16, 4)
+        leaves = [r["count"] for r in placed.groupBy("cell").count().collect()]
+        assert sum(leaves) == n and max(leaves) <= neighbors.SPLIT * 16
+        assert len(pivots) == len(top) == 4
+        # No table that reaches the driver or a task whole is longer than the fan.
+        assert all(level.groupBy("parent").count().agg(F.max("count")).first()[0] <= 4 for level in levels)
+        seen.append(len(levels))
+    assert seen[1] > seen[0] > 0
+
+
+def test_probes_trade_neighbors_for_visits(spark):
+    """The approximate graph: recall grows with the probes, and reaches 0.9 with few."""
+    points = np.random.default_rng(4).normal(size=(1500, 8))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>")
+    truth = {(i, j) for i, j, _, _ in brute(points, 10, "euclidean")}
+    recall = []
+    for probes in (0, 12):
+        found = neighbors.knn_graph(df, "id", "v", k=10, block_rows=64, probes=probes).collect()
+        recall.append(len(truth & {(r["id"], r["neighbor"]) for r in found}) / len(truth))
+    assert recall[0] < 0.7 and recall[1] >= 0.9, recall
 
 
 def test_top_categories_break_ties_by_later_name(spark):
