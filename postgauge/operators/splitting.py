@@ -25,10 +25,16 @@ def _as_number(digest: Column) -> Column:
 
 
 def fill_missing_groups(df: DataFrame, group: str = "OwnerUserId", row_id: str = "Id") -> DataFrame:
-    """A row without a group becomes a group of its own."""
+    """A row without a group becomes a group of its own.
+
+    Its name comes from its id or, without one, from all of its columns; rows without group and
+    id that are alike in all columns are one group, and no row is without.
+    """
     if group not in df.columns:
         raise KeyError(f"no column '{group}' to split by")
-    own = F.concat(F.lit("unknown_"), F.col(row_id).cast("string"))
+    shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x1e")) for c in sorted(df.columns)]
+    name = F.coalesce(F.col(row_id).cast("string"), F.md5(F.concat_ws("\x1f", *shown)))
+    own = F.concat(F.lit("unknown_"), name)
     return df.withColumn(group, F.coalesce(F.col(group).cast("string"), own))
 
 

@@ -374,6 +374,12 @@ SELECT o_orderkey, year(o_orderdate) AS o_orderdate_year, month(o_orderdate) AS
     "fill_missing_groups": sql("posts keyed", "SELECT Id, g AS OwnerUserId FROM keyed"),
     "split_by_group": sql("posts keyed", f"""
 SELECT Id, g AS OwnerUserId, CASE WHEN {SPLIT_HASH} < 'b3333333' THEN 'train' ELSE 'test' END AS side FROM keyed"""),
+    "split_by_group_without_ids": sql("posts", f"""
+, lost AS (SELECT CASE WHEN Id % 3 <> 0 THEN Id END AS Id, OwnerUserId, Body FROM posts),
+named AS (
+  SELECT Id, coalesce(OwnerUserId, 'unknown_' || coalesce(CAST(Id AS VARCHAR), md5(coalesce(Body, chr(30)) || chr(31)
+      || coalesce(CAST(Id AS VARCHAR), chr(30)) || chr(31) || coalesce(OwnerUserId, chr(30))))) AS g FROM lost)
+SELECT Id, g AS OwnerUserId, CASE WHEN {SPLIT_HASH} < 'b3333333' THEN 'train' ELSE 'test' END AS side FROM named""").replace("\n, lost", ",\nlost"),
     "split_by_group_exact": sql("posts keyed", f"""
 , ranked AS (
   SELECT g, row_number() OVER (ORDER BY {SPLIT_HASH}) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT g FROM keyed))
@@ -383,7 +389,7 @@ FROM keyed JOIN ranked USING (g)""").replace("\n, ranked", ",\nranked"),
 SELECT g AS OwnerUserId FROM keyed WHERE {SPLIT_HASH} < 'b3333333'
 INTERSECT SELECT g FROM keyed WHERE {SPLIT_HASH} >= 'b3333333'"""),
     "sample_questions": sql("posts", f"""
-SELECT Id, Score::BIGINT AS Score FROM posts WHERE PostTypeId = 1 ORDER BY md5('{fixed.SEED}:' || CAST(Id AS VARCHAR)), Id LIMIT 25"""),
+SELECT Id, Score::BIGINT AS Score FROM posts WHERE PostTypeId = 1 ORDER BY md5('{fixed.SEED}:' || CAST(Id AS VARCHAR)), Id LIMIT {fixed.SAMPLE_SIZE}"""),
     "class_weights": sql("posts labeled", """
 SELECT label::BIGINT AS label, round((SELECT count(*) FROM labeled WHERE label <> -1)::DOUBLE
   / ((SELECT count(DISTINCT label) FROM labeled WHERE label <> -1) * count(*)), 6) AS weight FROM labeled WHERE label <> -1 GROUP BY label"""),

@@ -494,6 +494,13 @@ def split_by_group(spark, folder):
     return _sides(*splitting.split_by_group(D.posts(spark, folder)))
 
 
+@query
+def split_by_group_without_ids(spark, folder):
+    """Posts of which a third have lost their ids: rows on both sides, none of them lost."""
+    lost = F.when(F.col("Id") % 3 != 0, F.col("Id")).alias("Id")
+    return _sides(*splitting.split_by_group(D.posts(spark, folder).select(lost, "OwnerUserId", "Body")))
+
+
 @query
 def split_by_group_exact(spark, folder):
     return _sides(*splitting.split_by_group(D.posts(spark, folder), exact=True))
@@ -506,7 +513,10 @@ def group_overlap(spark, folder):
 
 @query
 def sample_questions(spark, folder):
-    return splitting.sample_rows(matching.questions(D.posts(spark, folder)), 25).select("Id", "Score")
+    """A thousand questions, or all where there are fewer."""
+    asked = matching.questions(D.posts(spark, folder))
+    n = min(fixed.SAMPLE_SIZE, asked.limit(fixed.SAMPLE_SIZE).count())
+    return splitting.sample_rows(asked, n).select("Id", "Score")
 
 
 # --- label balance --------------------------------------------------------

@@ -193,3 +193,16 @@ def test_stores_without_edits_stay_as_they_are(spark):
 def test_forest_depth_beyond_the_limit_is_refused():
     with pytest.raises(ValueError, match="max_depth"):
         models.make_classifier(params={"max_depth": 50})
+
+
+def test_rows_without_author_and_id_stay_on_one_side(spark):
+    """As many rows come out as go in, also those that repeat; alike rows go together."""
+    from postgauge.operators import splitting
+
+    rows = [(None, None, f"b{k}") for k in range(40)] + [(None, None, None)] * 3 + [(k, None, "x") for k in range(20)] + [(None, "7", "y")]
+    df = spark.createDataFrame(rows, "Id bigint, OwnerUserId string, Body string")
+    for exact in (False, True):
+        train, test = splitting.split_by_group(df, exact=exact)
+        assert train.count() + test.count() == len(rows) and train.count() and test.count()
+        assert splitting.group_overlap(train, test).isEmpty()
+        assert {t.where("Id is null and Body is null").count() for t in (train, test)} == {0, 3}
