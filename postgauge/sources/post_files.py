@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from postgauge.functions import fixed
 from postgauge.functions.posts import group_key
 from postgauge.operators.splitting import first_rows
+from postgauge.sources.csv_records import csv_records
 
 # Attributes of a post row, with the type each has once read.
 POST_TYPES = {
@@ -116,18 +117,19 @@ CSV_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "f
 
 
 def read_posts_csv(
-    spark: SparkSession, path: str, columns: list[str] | None = None, questions_only: bool = False
+    spark: SparkSession, path: str, columns: list[str] | None = None, questions_only: bool = False, split: bool = True
 ) -> DataFrame:
     """Posts from CSV with quoted line breaks. Empty text reads as null.
 
-    A quoted line break makes a CSV file unsplittable: keep stage tables in Parquet,
-    and CSV for exchange, written as many files.
+    One large file is read by many tasks: see `csv_records`. Files with quote marks in unquoted
+    fields need `split=False`, which reads a file in one task.
     """
-    raw = (
-        spark.read.options(**CSV_OPTIONS, **CSV_SPACES)
-        .schema(_string_schema(columns or list(POST_TYPES)))
-        .csv(path)
-    )
+    schema = _string_schema(columns or list(POST_TYPES))
+    if split:
+        fields = F.from_csv("record", ", ".join(f"`{f.name}` string" for f in schema), CSV_OPTIONS | CSV_SPACES)
+        raw = csv_records(spark, path).select(fields.alias("post")).select("post.*")
+    else:
+        raw = spark.read.options(**CSV_OPTIONS, **CSV_SPACES).schema(schema).csv(path)
     out = typed_posts(raw)
     return out.where(F.col("PostTypeId") == 1) if questions_only else out
 
