@@ -120,4 +120,4 @@ def csv_records(spark: SparkSession, path: str | list[str], header: bool = True)
     opened = over.withColumn("n", F.sum((F.col("kind") == TAIL).cast("int")).over(order))
     parts = opened.groupBy("block", "n").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "text"))).alias("parts"))
     joined = parts.select(F.array_join("parts.text", "\n").alias("text"))
-    return whole.select("text").unionByName(joined).where(F.btrim("text", F.lit(" \t\r")) != "").select(F.col("text").alias("record"))
+    return whole.select("text").unionByName(joined).where(F.btrim("text", F.lit(" \t\r")) != "").select(F.rtrim("text", F.lit("\r")).alias("record"))
