@@ -110,19 +110,24 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for t, c in columns], schema=schema)
 
 
-def _numbers(ids: pa.Array) -> np.ndarray:
+def _numbers(ids: pa.Array, kind: str) -> np.ndarray:
     """The numbers of all rows of a binary column, one row's after the other."""
     ends = np.frombuffer(ids.buffers()[1], "<i4")[ids.offset : ids.offset + len(ids) + 1]
-    return np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view("<u4")
+    return np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
 
 
 def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(T._parse_datatype_string(schema))
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id, row (unique), part and ids (little-endian unsigned 32 bit); a document's parts have
-    at most `PART` ids, the last one ends with the end id."""
+def id_type(size: int) -> str:
+    """The stored type of ids below `size`."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str, kind: str = "<u4") -> DataFrame:
+    """doc_id, row (unique), part and ids (little-endian unsigned integers of type `kind`); a document's
+    parts have at most `PART` ids, the last one ends with the end id."""
     arrow = _arrow(TOKENIZED)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +137,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: s
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             texts = (value.as_py() for value in batch.column(2))
             for (key, row), ids in zip(keys, encoder.many(texts), strict=True):
-                ids = np.concatenate([ids, end])
+                ids = np.concatenate([ids, end]).astype(kind)
                 for part, begin in enumerate(range(0, len(ids), PART)):
                     cut = ids[begin : begin + PART]
                     rows.append((key, row, part, begin + PART < len(ids), cut.tobytes()))
@@ -146,13 +151,13 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: s
     return given.mapInArrow(encode, TOKENIZED)
 
 
-def token_counts(stored: DataFrame, size: int) -> DataFrame:
+def token_counts(stored: DataFrame, size: int, kind: str = "<u4") -> DataFrame:
     """How often each id occurs in the corpus: (token, n). Each task sends its own sums only."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            total += np.bincount(_numbers(batch.column(0)), minlength=size)
+            total += np.bincount(_numbers(batch.column(0), kind), minlength=size)
         tokens = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(total[tokens])], ["token", "n"])
 
@@ -164,7 +169,7 @@ def write_token_files(
 ) -> None:
     """Write `docs` into `path`, documents in ascending order over all shards.
 
-    Texts are encoded once and their ids stored; the ids move to their place in the order, where
+    Texts are encoded once and their ids stored, in two bytes where the vocabulary allows; the ids move to their place in the order, where
     the task that writes a shard ranks and packs them. A task writes its shard under
     a name of its own and reports it; only shards whose task succeeded are in the manifest,
     so a repeated task leaves at most an unused file. The rank table is as long as the
@@ -172,11 +177,12 @@ def write_token_files(
     """
     spark = docs.sparkSession
     ids = fresh_path(spark, "ids")
-    tokenized(docs, tokenizer, end_id, doc_id, text).write.option("compression", "zstd").parquet(ids)
-    stored = spark.read.parquet(ids)
     size = max(Encoder(tokenizer).size, end_id + 1)
+    kind = id_type(size)
+    tokenized(docs, tokenizer, end_id, doc_id, text, kind).write.option("compression", "zstd").parquet(ids)
+    stored = spark.read.parquet(ids)
     by_count = W.orderBy(F.desc("n"), "token")  # as many rows as the vocabulary has
-    token_counts(stored, size).withColumn("rank", F.row_number().over(by_count) - 1).write.parquet(f"{path}/vocabulary")
+    token_counts(stored, size, kind).withColumn("rank", F.row_number().over(by_count) - 1).write.parquet(f"{path}/vocabulary")
     table = spark.read.parquet(f"{path}/vocabulary").toPandas()
     ranks = np.zeros(size, "<u4")
     ranks[table["token"].to_numpy(int)] = table["rank"].to_numpy("u4")
@@ -196,7 +202,7 @@ def write_token_files(
                     system.create_dir(folder, recursive=True)
                     out = system.open_output_stream(f"{folder}/{name}")
                     shard = ShardWriter(out)
-                numbers = ranks[np.frombuffer(ids.as_buffer(), "<u4")]
+                numbers = ranks[np.frombuffer(ids.as_buffer(), kind)]
                 shard.add(key, len(numbers), CONTINUED if more else 0, *pack(numbers))
                 n_docs, n_tokens = n_docs + (not more), n_tokens + len(numbers)
         if out is not None:
