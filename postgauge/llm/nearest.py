@@ -120,24 +120,32 @@ def box_gap(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
     return float(out @ out)
 
 
+def scaled(vectors) -> np.ndarray:
+    """Vectors times powers of two, which change no cosine and round nothing, with largest components
+    near 1: their squares neither overflow nor vanish."""
+    vectors = np.ascontiguousarray(vectors, float)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
 def search_cell(cell: pd.DataFrame, queries: pd.DataFrame, search: Search) -> pd.DataFrame:
     """Best rows of a cell for each query; `bound` is a squared distance already reached."""
     if not len(cell) or not len(queries):
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-    vectors, ids = np.stack(cell["embedding"].to_numpy()).astype(float), cell["vec_id"].to_numpy()
+    vectors, ids = scaled(np.stack(cell["embedding"].to_numpy())), cell["vec_id"].to_numpy()
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     tree = Tree(np.stack(cell["place"].to_numpy()).astype(float), search.leaf_rows)
     stop = chi_square_quantile(search.sure, search.dimensions)
     out: list[tuple[int, int, float]] = []
     for query in queries.itertuples(index=False):
-        vector, place = np.asarray(query.embedding, float), np.asarray(query.place, float)
-        norm = math.sqrt(vector @ vector)
+        vector, place = scaled(query.embedding), np.asarray(query.place, float)
+        norm = np.sqrt((vector * vector).sum())
         best: list[tuple[float, int]] = []  # (-score, id), sorted, at most k
         bound = query.bound
         for gap, rows in tree.nearest_leaves(place):
             if gap > stop * bound:
                 break
-            scores = vectors[rows] @ vector / (norms[rows] * norm)
+            # Sums row by row, so that equal vectors have equal scores wherever they lie in a leaf.
+            scores = (vectors[rows] * vector).sum(axis=1) / (norms[rows] * norm)
             near = np.flatnonzero(2 - 2 * scores <= bound + 1e-12) if math.isfinite(bound) else np.arange(len(rows))
             found = zip((-scores[near]).tolist(), ids[rows[near]].tolist(), strict=True)
             best = sorted([*best, *(x for x in found if x[1] != query.vec_id)])[: search.k]
@@ -162,9 +170,10 @@ def prepare(vectors: DataFrame, search: Search, vec_id: str, embedding: str) ->
                 if key is None or not value or None in value:
                     continue
                 vector = np.array(value, float)
-                norm = math.sqrt(vector @ vector)
-                if not math.isfinite(norm) or norm == 0:
+                if not np.isfinite(vector).all() or not vector.any():
                     continue
+                vector = scaled(vector)
+                norm = math.sqrt(vector @ vector)
                 width = len(vector)
                 if width not in matrices:
                     matrices[width] = projection(width, search)

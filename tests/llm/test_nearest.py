@@ -59,6 +59,39 @@ def test_many_cells_ties_and_bad_vectors(spark):
     assert A.nearest(table.limit(0), F.col("vec_id") % 50 == 0, search).collect() == []
 
 
+def test_equal_vectors_tie_exactly():
+    """Ids decide among copies, wherever they lie in their leaf."""
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    for trial in range(60):
+        points = rng.normal(size=(127, 64))
+        places = rng.choice(127, 6, replace=False)
+        points[places] = points[places[0]]
+        query = points[places[0]] + rng.normal(size=64) * 0.01
+        search = A.Search(leaf_rows=int(rng.integers(8, 200)))
+        matrix = A.projection(64, search)
+
+        def frame(ids, rows):
+            units = rows / np.linalg.norm(rows, axis=1)[:, None]
+            return pd.DataFrame({"vec_id": ids, "embedding": list(rows), "place": list(units @ matrix)})
+
+        got = A.search_cell(frame(np.arange(127), points), frame([1000], query[None]).assign(bound=math.inf), search)
+        assert got["vec_id"].tolist() == sorted(places.tolist())[:5] and got["score"].nunique() == 1
+
+
+def test_vectors_of_any_finite_size_take_part(spark):
+    rng = np.random.default_rng(7)
+    held = [(k, (rng.normal(size=8) * 10.0 ** (k % 9 * 70 - 280)).tolist()) for k in range(200)]
+    table = spark.createDataFrame(held, "vec_id bigint, embedding array<double>")
+    got = A.nearest(table, F.col("vec_id") % 50 == 0, A.Search(cell_rows=50)).collect()
+    units = [(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in held]
+    want = expected(units, {0, 50, 100, 150})
+    assert recall(got, want) >= 0.9
+    best = {(q, i): s for q, near in want.items() for i, s in near}
+    assert all(math.isclose(r.score, best[r.query_id, r.vec_id], abs_tol=1e-12) for r in got if (r.query_id, r.vec_id) in best)
+
+
 def test_chi_square_quantiles():
     for p, m, x in ((0.95, 8, 15.507313), (0.5, 2, 1.386294), (0.99, 10, 23.209251)):
         assert math.isclose(A.chi_square_quantile(p, m), x, rel_tol=1e-6)
