@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -31,10 +32,13 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark and `n_chars` counted anew where there were any."""
-    marked = secret_scan.redact(docs.withColumn("_before", F.col("text")))
-    n_chars = F.when(F.col("text") != F.col("_before"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return marked.withColumn("n_chars", n_chars).drop("_before")
+    """All documents, secrets replaced by a mark and `n_chars`, if there is such a column, counted anew where there were any."""
+    if "n_chars" not in docs.columns:
+        return secret_scan.redact(docs)
+    before = f"before_{uuid.uuid4().hex}"  # clashes with no column
+    marked = secret_scan.redact(docs.withColumn(before, F.col("text")))
+    n_chars = F.when(F.col("text") != F.col(before), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return marked.withColumn("n_chars", n_chars).drop(before)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
