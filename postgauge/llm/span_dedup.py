@@ -23,17 +23,17 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postgauge.llm.tables import map_beside, materialise, small
+from postgauge.llm.tables import map_beside, materialise, small_batches
 
 #: Full stops of Latin, Chinese, Devanagari, Arabic, Urdu, Armenian and Ethiopic script, and line ends.
 STOPS = r".!?\n\u2026\u3002\uff01\uff1f\uff61\uff0e\u0964\u0965\u061f\u06d4\u0589\u1362"
 #: Letters of scripts without blanks between words (Thai, Lao, Burmese, Khmer, Chinese, Japanese): each is a word.
 UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 LONG, WINDOW = 14, 8
-BROADCAST_SPANS = 500_000
+CHUNK = 200_000  # runs that a task compares before they are shuffled
 
 _PIECE = re.compile(f"[^{STOPS}]*[{STOPS}]+|[^{STOPS}]+")
 _UNSPACED = re.compile(f"[{UNSPACED}]")
@@ -98,39 +98,63 @@ def runs(text: str, sentences: int, words: int) -> list[tuple[int, int, int]]:
     # Ends of the shortest runs that begin at k, and begins of the shortest runs that end at k.
     ends = np.maximum(np.searchsorted(before, before[:-1] + words), k + sentences)
     begins = np.minimum(np.searchsorted(before, before[1:] - words, side="right") - 1, k + 1 - sentences)
-    found = {(int(a), int(b)) for a, b in zip(k[ends <= n], ends[ends <= n])}
-    found |= {(int(a), int(b) + 1) for a, b in zip(begins[begins >= 0], k[begins >= 0])}
-    return [(xxhash.xxh3_64_intdigest(b"\n".join(joined[a:b])), at[a], at[b - 1] + 1) for a, b in found]
+    forth, back = ends <= n, begins >= 0
+    found = np.unique(np.concatenate([k[forth] * (n + 1) + ends[forth], begins[back] * (n + 1) + k[back] + 1]))
+    whole = memoryview(b"\n".join(joined))
+    starts = np.concatenate([[0], np.cumsum([len(j) + 1 for j in joined])]).tolist()
+    pairs = [divmod(x, n + 1) for x in found.tolist()]
+    return [(xxhash.xxh3_64_intdigest(whole[starts[a] : starts[b] - 1]), at[a], at[b - 1] + 1) for a, b in pairs]
+
+
+def known_again(hashes: np.ndarray, doc_ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Which of these runs have an earlier one of their hash among these."""
+    order = np.lexsort((begins, doc_ids, hashes))
+    h, d, b = hashes[order], doc_ids[order], begins[order]
+    opens = np.concatenate([[True], h[1:] != h[:-1]])
+    first = np.flatnonzero(opens)[np.cumsum(opens) - 1]
+    known = np.empty(len(order), bool)
+    known[order] = (d != d[first]) | (b != b[first])
+    return known
 
 
 def spans(docs: DataFrame, sentences: int, words: int, doc_id: str, text: str) -> DataFrame:
-    """(hash, doc_id, begin, end) of every run of every document."""
+    """(hash, doc_id, begin, end, known) of every run of every document.
+
+    `known` runs have an earlier one among the `CHUNK` or so runs that a task holds at a time.
+    Their hash has told all it can, and a checksum of their document takes its place; so a run that
+    fills a third of all text goes to one task once for every chunk only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "doc_id", "begin", "end"]
-        types = pa.int64(), pa.int64(), pa.int32(), pa.int32()
+        held: list[tuple] = []
         for batch in batches:
-            rows: list[tuple] = []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows += [(h - (1 << 63), key, a, b) for h, a, b in runs(value.as_py() or "", sentences, words)]
-                if len(rows) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                held += [(h - (1 << 63), key, a, b) for h, a, b in runs(value.as_py() or "", sentences, words)]
+                if len(held) >= CHUNK:
+                    yield marked(held)
+                    held = []
+        if held:
+            yield marked(held)
 
-    given = docs.select(F.col(doc_id).cast("bigint"), text).where(F.col(doc_id).isNotNull())
-    return given.mapInArrow(run, "hash bigint, doc_id bigint, begin int, end int")
+    def marked(held: list[tuple]) -> pa.RecordBatch:
+        hashes, doc_ids, begins, ends = (np.array(c, np.int64) for c in zip(*held))
+        known = known_again(hashes, doc_ids, begins)
+        columns = [hashes, doc_ids, begins.astype(np.int32), ends.astype(np.int32), known]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "doc_id", "begin", "end", "known"])
+
+    given = small_batches(docs).select(F.col(doc_id).cast("bigint"), text).where(F.col(doc_id).isNotNull())
+    found = given.mapInArrow(run, "hash bigint, doc_id bigint, begin int, end int, known boolean")
+    return found.withColumn("hash", F.when(F.col("known"), F.xxhash64("doc_id")).otherwise(F.col("hash")))
 
 
 def repeated_spans(docs: DataFrame, sentences: int, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and `spans`, the places (begin, end) of its runs that occurred before."""
-    every = materialise(spans(docs, sentences, words, doc_id, text))
-    first = F.min(F.struct("doc_id", "begin"))
-    again = every.groupBy("hash").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Stored, so that the join has shuffles of its own, whose hot runs can be split.
-    again = small(materialise(again.select("hash", "first")))
-    later = every.join(again, "hash").where(F.struct("doc_id", "begin") != F.col("first"))
+    """doc_id and `spans`, the places (begin, end) of its runs that occurred before.
+
+    Runs are shuffled once, at any size of the table, and meet in the order of their places.
+    """
+    places = Window.partitionBy("hash", "known").orderBy("doc_id", "begin")
+    ranked = spans(docs, sentences, words, doc_id, text).withColumn("place", F.rank().over(places))
+    later = ranked.where(F.col("known") | (F.col("place") > 1))
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
 
 
@@ -142,13 +166,22 @@ def remove_repeated(
     Texts without such runs are returned as they are, null and empty ones too. Rows with one
     doc_id are one document and no repetition of each other; rows without doc_id are neither
     compared nor changed. Of equal documents the one with the smallest id keeps its text.
-    A column named `n_removed` is replaced. Empty tables give empty results.
+    A column named `n_removed` is replaced; other columns may have any name. Empty tables give
+    empty results.
     """
-    spans_ = materialise(repeated_spans(docs, sentences, words, doc_id, text).select(F.col("doc_id").alias("_doc"), "spans"))
-    size = spans_.agg(F.sum(F.size("spans"))).first()[0] or 0
-    spans_ = F.broadcast(spans_) if size <= BROADCAST_SPANS else spans_
-    marked = docs.drop("n_removed").join(spans_, F.col(doc_id).cast("bigint") == F.col("_doc"), "left")
-    kept = [c for c in marked.columns if c not in ("_doc", "spans", text)]
+    found = materialise(repeated_spans(docs, sentences, words, doc_id, text)).select(
+        F.col("doc_id").alias("key"), F.lit(0).alias("salt"), "spans"
+    )
+    key = F.col(doc_id).cast("bigint")
+    columns = [c for c in docs.columns if c != "n_removed"]
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("given"),
+        key.alias("key"),
+        # Rows without an id meet nothing, but must not fill one task.
+        F.when(key.isNull(), F.pmod(F.xxhash64(text), F.lit(1 << 20)).cast("int")).otherwise(F.lit(0)).alias("salt"),
+    )
+    # Texts move once, to their spans, which may be as many as the texts.
+    marked = given.join(found, ["key", "salt"], "left")
 
     def start():
         def work(columns: list[pa.Array]) -> list[pa.Array]:
@@ -164,6 +197,8 @@ def remove_repeated(
 
         return work
 
-    done = map_beside(marked, [F.col(text), F.col("spans")], start, "made string, n_removed bigint", carry=kept)
-    columns = [F.col("made").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns if c != "n_removed"]
-    return done.select(*columns, "n_removed")
+    kept = F.struct(*[F.col(f"given.`{c}`") for c in columns if c != text]).alias("kept")
+    beside = marked.select(F.col(f"given.`{text}`").alias("text"), "spans", kept)
+    done = map_beside(beside, [F.col("text"), F.col("spans")], start, "made string, n_removed bigint", carry=["kept"])
+    out = [F.col("made").alias(c) if c == text else F.col(f"row.kept.`{c}`").alias(c) for c in columns]
+    return done.select(*out, "n_removed")

@@ -7,6 +7,7 @@ import re
 import textwrap
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -189,6 +190,34 @@ def test_repeated_in_odd_texts(spark, odd):
     assert span_dedup.remove_repeated(odd.limit(0)).collect() == []
 
 
+def test_repeated_beside_clashing_columns(spark):
+    names = ["spans", "_doc", "key", "salt", "given", "kept", "made", "a.b", "none", "_0", "hash", "known"]
+    text = "some words that stand here. and some others that follow them closely. " * 2
+    docs = spark.createDataFrame([(k, text, *range(len(names))) for k in (None, None, 1, 2)], ["doc_id", "text", *names])
+    got = span_dedup.remove_repeated(docs, 2, 8)
+    assert got.columns == [*docs.columns, "n_removed"]
+    found = got.collect()
+    assert all(tuple(r)[2:-1] == tuple(range(len(names))) for r in found)
+    assert {(r.doc_id, r.text == text) for r in found} == {(None, True), (1, False), (2, False)}
+
+
+def test_runs_known_in_a_chunk_change_no_result(spark, rows, monkeypatch):
+    rng = np.random.default_rng(3)
+    h, d, b = (rng.integers(0, n, 3000) for n in (40, 30, 5))
+    first = {}
+    for row in zip(h.tolist(), d.tolist(), b.tolist()):
+        first[row[0]] = min(first.get(row[0], row[1:]), row[1:])
+    want = [first[x] != (y, z) for x, y, z in zip(h.tolist(), d.tolist(), b.tolist())]
+    assert span_dedup.known_again(h, d, b).tolist() == want
+    docs = spark.createDataFrame([(k, "a b c d e f g. h i j k l m n o. " + "p q r. " * (k % 3)) for k in range(300)], "doc_id long, text string")
+    results = []
+    for chunk in (1, 7, 10**6):
+        monkeypatch.setattr(span_dedup, "CHUNK", chunk)
+        results.append(sorted(map(tuple, span_dedup.remove_repeated(docs.repartition(3), 2, 8).collect())))
+    assert results[0] == results[1] == results[2]
+    assert sum(r[2] > 0 for r in results[0]) == 299
+
+
 # --- toxicity ---------------------------------------------------------------
 
 
