@@ -1,8 +1,10 @@
-"""Column expressions over text. All but `clean_ascii` and rare HTML entities stay in the JVM."""
+"""Column expressions over text. All but rare HTML entities stay in the JVM."""
 
 from __future__ import annotations
 
+import functools
 import html
+import sys
 import unicodedata
 
 import pandas as pd
@@ -132,23 +134,42 @@ def flesch(sentences: Column, words: Column, syllables: Column) -> Column:
 
 # --- cleaning -------------------------------------------------------------
 
-@F.pandas_udf(StringType())
-def _fold_to_ascii(s: pd.Series) -> pd.Series:
-    return s.map(
-        lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii"),
-        na_action="ignore",
-    )
+def _ascii_parts() -> dict[str, str]:
+    """Every other character whose compatibility decomposition holds ASCII, with that part of it."""
+    parts = {}
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        if unicodedata.decomposition(c):
+            parts[c] = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode("ascii")
+    return {c: part for c, part in parts.items() if part}
 
 
-def clean_ascii(c: str | Column) -> Column:
-    """Trim, lower, decompose, drop what is not ASCII.
+@functools.cache
+def _ascii_tables() -> tuple[str, str, str, str]:
+    """Characters that become one, those they become, a pattern of the others, and their table."""
+    parts = _ascii_parts()
+    one = [c for c, part in parts.items() if len(part) == 1]
+    more = [c for c in parts if len(parts[c]) > 1]
+    pattern = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in more) + "]"
+    return "".join(one), "".join(parts[c] for c in one), pattern, "\n".join(f"{c}\t{parts[c]}" for c in more)
+
 
-    Spark has no Unicode decomposition, so rows with non-ASCII text go through an
-    Arrow function; pure ASCII rows pass it as null and stay in the JVM.
+def fold_to_ascii(c: Column) -> Column:
+    """The ASCII part of a text's compatibility decomposition.
+
+    Only ASCII stays, so each character folds by itself: most by translation, the few that
+    become several (ligatures, fractions, ellipses) by a replacement for each one a text holds.
     """
+    one, into, pattern, table = _ascii_tables()
+    several = F.str_to_map(F.lit(table), F.lit("\n"), F.lit("\t"))
+    held = F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)))
+    wide = F.aggregate(held, c, lambda s, x: F.replace(s, x, F.element_at(several, x)))
+    return F.regexp_replace(F.translate(F.when(c.rlike(pattern), wide).otherwise(c), one, into), r"[^\x00-\x7f]+", "")
+
+
+def clean_ascii(c: str | Column) -> Column:
+    """Trim, lower, decompose, drop what is not ASCII; without a Python worker."""
     low = F.lower(strip(text(c)))
-    foreign = F.octet_length(low) != F.length(low)
-    return F.when(foreign, _fold_to_ascii(F.when(foreign, low))).otherwise(low)
+    return F.when(F.octet_length(low) != F.length(low), fold_to_ascii(low)).otherwise(low)
 
 
 # Content that is not text, then markup; one pattern per element. Groups repeat

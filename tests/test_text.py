@@ -24,6 +24,16 @@ def test_clean_ascii_like_python(spark, text):
     assert one(spark, text, T.clean_ascii("t")) == "".join(c for c in low if ord(c) < 128)
 
 
+def test_every_character_folds_like_python(spark):
+    points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(points[k : k + 500]) for k in range(0, len(points), 500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    folded = df.select("k", T.fold_to_ascii(F.col("t")).alias("t"))
+    for k, got in folded.collect():
+        assert got == unicodedata.normalize("NFKD", texts[k]).encode("ascii", "ignore").decode("ascii")
+    assert "Python" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
 def test_whitespace_is_python_whitespace(spark):
     spaces = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
     assert set(spaces) == set(fixed.WHITESPACE_CHARS)
@@ -98,8 +108,8 @@ def test_action_phrases_are_whole_words(spark):
 
 
 TITLED = [
-    (1, "How to sort a list in Python?", "I want to sort a list of integers in ascending order. What is the most efficient way?"),
-    (2, "HELP ME PLZ", "code not working"),
+    (1, "Which index serves two date columns?", "Our table grows by night and its reports stall. Which of these two indexes should I drop? How to tell?"),
+    (2, "BIG OLD JOB", "has just died"),
     (3, None, "Some body"),
     (4, "Test?", None),
     (5, "", ""),
@@ -126,8 +136,9 @@ def test_quality_feature_values(features):
     assert [rows[i]["title_ends_with_qmark"] for i in (1, 2, 4)] == [1, 0, 1]
     assert rows[2]["title_caps_ratio"] == pytest.approx(9 / 11)
     assert rows[5]["flesch_score"] == 0.0
-    assert rows[1]["action_verbs_density"] == pytest.approx(1 / 17)
-    # "HELP ME PLZ code not working": one sentence, six words, one syllable each.
+    # "should" and "How to" among twenty words.
+    assert rows[1]["action_verbs_density"] == pytest.approx(2 / 20)
+    # "BIG OLD JOB has just died": one sentence, six words, one syllable each.
     assert rows[2]["flesch_score"] == pytest.approx(206.835 - 1.015 * 6 - 84.6)
 
 
