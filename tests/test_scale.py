@@ -13,7 +13,7 @@ def rows(df):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_lookup_equals_broadcast(spark, how):
+def test_lookup_by_weight_equals_broadcast(spark, how):
     tokens = spark.range(3000).select(
         F.col("id") % 50, F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 5 > 0, F.concat(F.lit("w"), F.col("id") % 40)).alias("word")
     ).toDF("doc", "word")
@@ -26,6 +26,23 @@ def test_salted_lookup_equals_broadcast(spark, how):
     assert total(100) == total(3)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_heavy_words_stay_where_they_are(spark, how):
+    """A third of all tokens is a word the table has, a third one it lacks, and some are null."""
+    word = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "unknown").when(F.col("id") % 5 > 0, F.concat(F.lit("w"), F.col("id") % 40))
+    tokens = spark.range(6000).select((F.col("id") % 50).alias("doc"), word.alias("word"))
+    table = spark.createDataFrame([("hot", 1)] + [(f"w{i}", i) for i in range(30)], "word string, syl int")
+    assert rows(lookup.heavy_words(tokens, 10)) == [("hot",), ("unknown",)]
+
+    def total(*sizes):
+        found = lookup.lookup_words(tokens, table, how, *sizes)
+        return rows(found.groupBy("doc", "word", "syl").agg(F.sum("uses").alias("n")))
+
+    assert total(100) == total(3, 10) == total(3, 1) == total(3, 10_000)
+    assert lookup.lookup_words(tokens.limit(0), table, how, 3).collect() == []
+    assert lookup.lookup_words(tokens, table, how, 3, 10).where("uses > 1").where(F.col("word").isin("hot", "unknown")).isEmpty()
+
+
 def test_vectors_and_report_without_broadcast(spark, data, monkeypatch):
     docs, lexicon, table = D.documents(spark, data), D.lexicon(spark, data), D.word_vectors(spark, data)
     text = F.col("text")
