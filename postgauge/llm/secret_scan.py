@@ -11,6 +11,7 @@ count up, UUIDs, checksums that are named as such, and placeholders.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,8 @@ ALLOWED = (
     r"(?i)(sha(1|256|384|512)|md5)[-=_].*",  # a checksum that says so
     r"[a-z]+([_/-][a-z0-9]{1,12})+",  # identifiers, slugs and paths
 )
+#: Candidates that are base spans as a whole, which leave entropy nothing to add.
+WHOLE = "^(AKIA[A-Z0-9]{12,}|[0-9a-f]{32,})$"
 _ALLOWED = "^(" + "|".join(f"({p})" for p in ALLOWED) + ")$"
 
 
@@ -51,7 +54,34 @@ CLASSES = (
     CharClass("alnum", "^[A-Za-z0-9]+$", 20, 3.7),
     CharClass("base64", "^[A-Za-z0-9+/_=-]+$", 20, 3.9),
 )
-_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+
+
+BLOCK = 1024  # numbers, or code points, that are handled together so that long texts cost no squares
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, also where it is used once for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(numbers: Column) -> Column:
+    """The sum of all numbers before each: within blocks, then over the blocks."""
+
+    def running(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(
+            values, start, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.array_append(s["before"], s["sum"]).alias("before"))
+        )
+
+    def over(blocks: Column) -> Column:
+        offsets = running(F.transform(blocks, lambda b: b["sum"]))["before"]
+        return F.flatten(F.zip_with(blocks, offsets, lambda b, o: F.transform(b["before"], lambda x: x + o)))
+
+    def cut(values: Column) -> Column:
+        last = F.greatest(F.shiftright(F.size(values) - 1, 10), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: running(F.slice(values, k * BLOCK + 1, BLOCK)))
+
+    return _let(_let(numbers, cut), over)
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -59,21 +89,42 @@ def _pieces(text: Column, pattern: str) -> Column:
 
     Splitting gives what lies between the matches; both lists together give every place.
     """
+
+    def places(x: Column) -> Column:
+        before = _before(F.zip_with(x["gaps"], x["found"], lambda g, m: g + F.length(m)))
+        begins = F.zip_with(before, x["gaps"], lambda b, g: b + g)
+        return F.zip_with(
+            begins, x["found"], lambda b, m: F.struct(b.alias("begin"), (b + F.length(m)).alias("end"), m.alias("match"))
+        )
+
+    def measured(found: Column) -> Column:
+        gaps = F.transform(F.split(text, pattern, -1), F.length)
+        return F.struct(found.alias("found"), F.slice(gaps, F.lit(1), F.size(found)).alias("gaps"))
+
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(found, F.length).alias("size"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
-    state = F.aggregate(
-        F.slice(lengths, F.lit(1), F.size(found)),
-        start,
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["size"]).alias("at"), F.array_append(s["begins"], s["at"] + x["gap"]).alias("begins")
-        ),
-    )
-    return F.transform(
-        F.arrays_zip(state["begins"].alias("begin"), found.alias("match")),
-        lambda x: F.struct(x["begin"].alias("begin"), (x["begin"] + F.length(x["match"])).alias("end"), x["match"].alias("match")),
-    )
+    return _let(_let(found, measured), places)
+
+
+def _stretches(ranges: list[tuple[Column, int]], holds: Callable[[Column], Column]) -> Column:
+    """Between the ends of all spans, the stretches (begin, end) whose weight `holds`.
+
+    A stretch weighs what the spans over it weigh: each list of spans comes with the weight of one.
+    """
+
+    def ends(spans: Column, end: str, weight: int) -> Column:
+        return F.transform(spans, lambda x: F.struct(x[end].alias("at"), F.lit(weight).alias("weight")))
+
+    events = F.concat(*[ends(spans, end, w) for spans, weight in ranges for end, w in (("begin", weight), ("end", -weight))])
+
+    def weighed(events: Column) -> Column:
+        weights = F.transform(events, lambda x: x["weight"])
+        sums = F.zip_with(_before(weights), weights, lambda b, w: b + w)
+        following = F.transform(F.slice(events, F.lit(2), F.greatest(F.size(events), F.lit(1))), lambda x: x["at"])
+        until = F.zip_with(events, following, lambda x, n: F.struct(x["at"].alias("begin"), n.alias("end")))
+        every = F.zip_with(until, sums, lambda u, w: F.struct(u["begin"].alias("begin"), u["end"].alias("end"), w.alias("weight")))
+        return F.filter(every, lambda x: (x["begin"] < x["end"]) & holds(x["weight"]))
+
+    return _let(F.array_sort(events), weighed)
 
 
 def _c_log_c(c: Column) -> Column:
@@ -86,36 +137,47 @@ def hot_range(candidate: Column, width: int, bits: float) -> Column:
     The window's entropy is log2(width) - sum(c log2 c) / width over the counts c in it.
     """
     characters = F.filter(F.split(candidate, ""), lambda c: c != "")
-    codes = F.transform(characters, lambda c: F.instr(F.lit(_SYMBOLS), c))  # from 1
     most = float(width) * (math.log2(width) - bits)
     none = F.lit(None).cast("int")
-    zeros = F.array_repeat(F.lit(0), len(_SYMBOLS))
-    start = F.struct(zeros.alias("counts"), F.lit(0.0).alias("sum"), none.alias("first"), none.alias("last"))
+
+    def coded(characters: Column) -> Column:
+        """Each character as its number among the different ones, from 1."""
+        return _let(
+            F.array_distinct(characters), lambda d: F.transform(characters, lambda c: F.array_position(d, c).cast("int"))
+        )
 
     def step(s: Column, x: Column) -> Column:
-        enters, leaves, i = x["enters"], x["leaves"], x["i"]
+        enters, leaves, n = x["enters"], x["leaves"], s["n"] + 1
         c_in = F.element_at(s["counts"], enters)
         grown = s["sum"] + _c_log_c(c_in + 1) - _c_log_c(c_in)
         changed = F.transform(s["counts"], lambda c, k: c + (k + 1 == enters).cast("int") - (k + 1 == leaves).cast("int"))
         c_out = F.element_at(s["counts"], F.greatest(leaves, F.lit(1))) + (enters == leaves).cast("int")
         total = F.when(leaves > 0, grown - _c_log_c(c_out) + _c_log_c(c_out - 1)).otherwise(grown)
-        hot = (i >= width - 1) & (total <= most + 1e-9)
-        first = F.when(s["first"].isNull() & hot, i - (width - 1)).otherwise(s["first"])
-        last = F.when(hot, i + 1).otherwise(s["last"])
-        return F.struct(changed.alias("counts"), total.alias("sum"), first.alias("first"), last.alias("last"))
-
-    moves = F.transform(
-        codes,
-        lambda c, i: F.struct(
-            c.alias("enters"), F.coalesce(F.when(i >= width, F.get(codes, i - width)), F.lit(0)).alias("leaves"), i.alias("i")
-        ),
-    )
-    state = F.aggregate(moves, start, step)
-    return F.when(state["first"].isNotNull(), F.struct(state["first"].alias("first"), state["last"].alias("last")))
+        hot = (n >= width) & (total <= most + 1e-9)
+        first = F.when(s["first"].isNull() & hot, n - width).otherwise(s["first"])
+        last = F.when(hot, n).otherwise(s["last"])
+        return F.struct(changed.alias("counts"), total.alias("sum"), n.alias("n"), first.alias("first"), last.alias("last"))
+
+    def slide(codes: Column) -> Column:
+        zeros = F.array_repeat(F.lit(0), F.array_max(codes))
+        start = F.struct(
+            zeros.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("n"), none.alias("first"), none.alias("last")
+        )
+        late = F.slice(F.concat(F.array_repeat(F.lit(0), width), codes), F.lit(1), F.size(codes))
+        moves = F.zip_with(codes, late, lambda c, d: F.struct(c.alias("enters"), d.alias("leaves")))
+        return F.aggregate(moves, start, step)
+
+    def found(s: Column) -> Column:
+        return F.when(s["first"].isNotNull(), F.struct(s["first"].alias("first"), s["last"].alias("last")))
+
+    return _let(_let(_let(characters, coded), slide), found)
 
 
 def _entropy_spans(text: Column, classes: tuple[CharClass, ...]) -> Column:
-    candidates = F.filter(_pieces(text, CANDIDATE), lambda x: ~F.rlike(x["match"], F.lit(_ALLOWED)))
+    def searched(x: Column) -> Column:
+        return ~(F.rlike(x["match"], F.lit(WHOLE)) | F.rlike(x["match"], F.lit(_ALLOWED)))
+
+    candidates = F.filter(_pieces(text, CANDIDATE), searched)
 
     def hot(x: Column) -> Column:
         found = F.lit(None).cast("struct<first:int,last:int>")
@@ -136,11 +198,12 @@ _SPANS = "array<struct<begin:int,rank:int,kind:string,end:int>>"
 
 def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", classes: tuple[CharClass, ...] = CLASSES) -> DataFrame:
     """`docs` with a struct `into`: `base` and `spans`, each a list of (begin, rank, kind, end) in
-    order of begin and kind; `spans` holds the base spans and those found by entropy that no
-    base span touches. Places are code points, ends are exclusive.
+    order of begin and kind; `spans` holds the base spans and, cut to what those leave, the spans
+    found by entropy. Places are code points, ends are exclusive.
 
     A null text counts as empty. Every row is judged by itself, without a shuffle, so repeated
-    rows get equal results; a column of `docs` named like `into` is replaced.
+    rows get equal results and an empty table an empty one; a column of `docs` named like `into` is
+    replaced, others may have any name. Work grows with a text's length, also where it has very many matches.
     """
     value = F.coalesce(F.col(text), F.lit(""))
 
@@ -158,12 +221,15 @@ def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", cla
         )
     )
     entropy = F.when(F.rlike(value, F.lit(CANDIDATE)), _entropy_spans(value, classes).cast(_SPANS)).otherwise(F.array().cast(_SPANS))
-    found = docs.withColumn("_base", base).withColumn("_entropy", entropy)
-    apart = F.filter(
-        "_entropy", lambda e: ~F.exists("_base", lambda b: (b["begin"] < e["end"]) & (e["begin"] < b["end"]))
-    )
-    spans = F.array_sort(F.concat("_base", apart))
-    return found.withColumn(into, F.struct(F.col("_base").alias("base"), spans.alias("spans"))).drop("_base", "_entropy")
+
+    def joined(x: Column) -> Column:
+        # A base span weighs 1, one found by entropy more than all base spans over a place.
+        apart = _stretches([(x["base"], 1), (x["entropy"], len(KINDS))], lambda w: w == len(KINDS))
+        cut = F.transform(apart, lambda y: _span("entropy", y["begin"], y["end"])).cast(_SPANS)
+        spans = F.when(F.size(x["base"]) == 0, x["entropy"]).when(F.size(x["entropy"]) == 0, x["base"])
+        return F.struct(x["base"].alias("base"), spans.otherwise(F.array_sort(F.concat(x["base"], cut))).alias("spans"))
+
+    return docs.withColumn(into, _let(F.struct(base.alias("base"), entropy.alias("entropy")), joined))
 
 
 def listed(spans: Column) -> Column:
@@ -174,17 +240,31 @@ def listed(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>") -> DataFrame:
     """The documents with every span of `scan_secrets` replaced by `mark`; other texts stay.
 
-    Overlapping spans become one mark. Columns keep their order; a null text stays null.
+    Spans that overlap or touch become one mark. Columns keep their order and may have any names;
+    a null text stays null.
     """
-    found = scan_secrets(docs, text, "_secrets")
-    spans = F.col("_secrets.spans")
-    start = F.struct(F.lit("").alias("made"), F.lit(0).alias("at"))
-
-    def step(s: Column, x: Column) -> Column:
-        gap = F.substr(F.col(text), s["at"] + 1, F.greatest(x["begin"] - s["at"], F.lit(0)))
-        added = F.when(x["begin"] >= s["at"], F.concat(s["made"], gap, F.lit(mark))).otherwise(s["made"])
-        return F.struct(added.alias("made"), F.greatest(s["at"], x["end"]).alias("at"))
-
-    done = F.aggregate(spans, start, step)
-    cleaned = F.concat(done["made"], F.substr(F.col(text), done["at"] + 1, F.length(text)))
-    return found.withColumn(text, F.when(F.size(spans) > 0, cleaned).otherwise(F.col(text))).drop("_secrets")
+    into = "secrets"
+    while into in docs.columns:
+        into += "_"
+    found = scan_secrets(docs, text, into)
+
+    def part(blocks: Column, begin: Column, end: Column) -> Column:
+        first = F.shiftright(begin, 10)
+        around = F.array_join(F.slice(blocks, first + 1, F.shiftright(end - 1, 10) - first + 1), "")
+        return F.substr(around, begin - first * BLOCK + 1, end - begin)
+
+    def cleaned(x: Column) -> Column:
+        gaps = F.transform(x["gaps"], lambda g: part(x["blocks"], g["begin"], g["end"]))
+        return F.array_join(gaps, mark)
+
+    spans = F.col(f"`{into}`.spans")
+    length = F.length(F.col(text))
+    # What stands before the first span and behind the last is a gap too, be it empty.
+    inner = _stretches([(spans, 1)], lambda w: w == 0)
+    lead = F.struct(F.lit(0).alias("begin"), F.array_min(F.transform(spans, lambda x: x["begin"])).alias("end"))
+    trail = F.struct(F.array_max(F.transform(spans, lambda x: x["end"])).alias("begin"), length.alias("end"))
+    between = F.transform(inner, lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end")))
+    gaps = F.concat(F.array(lead), between, F.array(trail))
+    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    made = _let(F.struct(gaps.alias("gaps"), blocks.alias("blocks")), cleaned)
+    return found.withColumn(text, F.when(F.size(spans) > 0, made).otherwise(F.col(text))).drop(into)
