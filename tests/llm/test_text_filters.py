@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import zlib
 import re
 import textwrap
 import time
@@ -311,6 +312,53 @@ def test_threats_without_labels_and_rare_toxic_labels(spark):
     assert score("we will kill you") > score("we will see you")
 
 
+def test_scores_come_through_the_grammar(spark, rows):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, ~toxicity.held_out(F.col("doc_id")))
+    assert min(model.weights[:-1]) >= 0 < max(model.weights[:-1])
+    truth = {r["doc_id"]: r["toxic"] for r in rows("labels", folder)}
+    judged = [r for r in rows("documents", folder) if r["doc_id"] in truth and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    words, by_grammar = model.words(), toxicity.Machine(toxicity.grammar())
+    flat = toxicity.Machine(toxicity.Transducer(0, lambda state, symbol: (0, 0.0)))
+    features = [toxicity.clause_features(r["text"], words, by_grammar) for r in judged]
+    for part in [lambda x: x[0], lambda x: x[1], model.score]:  # the strongest clause, all clauses, the whole score
+        bad, good = ([part(x) for r, x in zip(judged, features) if truth[r["doc_id"]] == y] for y in (1, 0))
+        assert sum((a > b) + (a == b) / 2 for a in bad for b in good) / len(bad) / len(good) >= 0.95
+    without = [toxicity.clause_features(r["text"], words, flat) for r in judged]
+    changed = sum(model.score(a) != model.score(b) for a, b in zip(features, without))
+    assert changed > 0.2 * sum(x[0] > 0 for x in features)
+
+    def score(text):
+        return model.score(toxicity.clause_features(text, words, by_grammar))
+
+    word = max((w for w in model.lexicon if not w.endswith("*")), key=model.lexicon.get)
+    plain = score(f"what a {word} on the road")
+    assert score(f"are you a {word} on the road") > plain
+    assert plain > score(f"never a {word} on the road") > score("what a day on the road")
+    assert plain > score(f"somebody wrote what a {word} on the road")
+
+
+def test_learned_threats(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(3000):
+        filler = [f"w{'abcdefghij'[rng.randrange(10)]}{'klmnopqrst'[rng.randrange(10)]}" for _ in range(20)]
+        toxic = k % 10 == 0
+        said = ["we will zzslay all of you" if k % 20 else "you are a zzgrob"] if toxic else ["we saw you"]
+        rows.append((k, " ".join(filler[:10]) + ". " + said[0] + ". " + " ".join(filler[10:]), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"), F.lit(True))
+    words, machine = model.words(), toxicity.Machine(toxicity.grammar())
+    assert words["zzslay"][0] == toxicity.THREAT and words["zzgrob"][0] == toxicity.INSULT
+
+    def strongest(text):
+        return toxicity.clause_features(text, words, machine)[0]
+
+    assert strongest("zzslay all of you") > 2 * strongest("zzslay all of it")  # a target may follow
+    assert strongest("zzslay all of it, you") == strongest("zzslay all of it") > 0  # in its own clause
+
+
 def test_toxicity_of_odd_texts(spark, odd):
     model = toxicity.Model({"again": 3.0}, (1.0, 0, 0, 0, 0, 0, -2.0))
     got = toxicity.score(odd.withColumn("score", F.lit(1)), model).select("row.text", "row.score", F.col("score").alias("s")).collect()
