@@ -133,16 +133,25 @@ _RULES_SQL = ", ".join(f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" fo
 _TWO_SQL = ", ".join(f"'{s}'" for s in url_filter.TWO_PART_SUFFIXES)
 
 
+_STRENGTH_SQL = "case when w > 0 and b / w > 0 then least(greatest(m * (1 - m) / (b / w) - 1, 1.0), 1000.0) else 1000.0 end"
+
+
 def _shrink_sql(name: str, parent: str, child: str, upper: str, prior: str) -> str:
     """Posteriors of the rows of `child` under the priors in `upper`, by `parent`."""
     return f"""
-    {name}_s as (select {parent}, g / t as m, t, t - nn / t as w, gg - g * g / t - g / t * (1 - g / t) * (k - 1) as b from (
+    {name}_s as (select {parent}, k, g / t as m, t, t - nn / t as w, gg - g * g / t - g / t * (1 - g / t) * (k - 1) as b from (
         select {parent}, sum(good) as g, sum(n)::double as t, count(*) as k, sum(good * good / n) as gg, sum(n::double * n) as nn
         from {child} group by 1)),
     {name} as (select c.*, c.good + s.v * u.{prior} as a, c.n + s.v - (c.good + s.v * u.{prior}) as b from {child} c
         join {upper} u using ({parent})
-        join (select {parent}, case when w > 0 and b / w > 0
-            then least(greatest(m * (1 - m) / (b / w) - 1, 1.0), 1000.0) else 1000.0 end as v from {name}_s) s using ({parent}))"""
+        join (select {parent}, {_STRENGTH_SQL} as v from {name}_s) s using ({parent}))"""
+
+
+def _further_sql(name: str, parent: str, posteriors: str, children: str) -> str:
+    """What the posteriors of parents predict for a child without outcomes; `children` are the shrunk ones."""
+    return f"""
+    {name} as (select {parent}, p.a * v / (p.a + p.b + v + 1) as a, p.b * v / (p.a + p.b + v + 1) as b from {posteriors} p
+        join (select {parent}, case when k > 1 then {_STRENGTH_SQL} else 1.0 end as v from {children}_s) using ({parent}))"""
 
 
 ORACLES["op1_url_reputation"] = f"""
@@ -156,10 +165,12 @@ fits as (select page_id, arg_max(text, length(text)) as rule, arg_max(verdict, l
 counted as (select host, count(*) as n, sum(quality)::double as good from h
     join labels l on l.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})[^/0-9]*/?$', 1) as bigint)
     where host <> '' and quality is not null group by 1),
-split as (select *, string_split(host, '.') as x from counted),
+every as (select host, n, good from (select distinct host from h where host <> '') left join counted using (host)),
+split as (select *, string_split(host, '.') as x from every),
 tailed as (select *, case when array_to_string(x[-2:], '.') in ({_TWO_SQL}) then array_to_string(x[-2:], '.') else x[-1] end as suffix
     from split),
-hosts as (select host, n, good, suffix, array_to_string(x[-(len(string_split(suffix, '.')) + 1):], '.') as domain from tailed),
+named as (select host, n, good, suffix, array_to_string(x[-(len(string_split(suffix, '.')) + 1):], '.') as domain from tailed),
+hosts as (select * from named where n is not null),
 domains as (select domain, suffix, sum(n) as n, sum(good) as good from hosts group by 1, 2),
 suffixes as (select suffix, '' as root, sum(n) as n, sum(good) as good from domains group by 1),
 whole as (select '' as root, (sum(good) + 1) / (sum(n) + 2) as prior from suffixes),
@@ -168,7 +179,12 @@ suffix_rate as (select suffix, a / (a + b) as prior from by_suffix),
 {_shrink_sql("by_domain", "suffix", "domains", "suffix_rate", "prior")},
 domain_rate as (select domain, a / (a + b) as prior from by_domain),
 {_shrink_sql("by_host", "domain", "hosts", "domain_rate", "prior")},
-bad as (select host from by_host
+{_further_sql("near", "domain", "by_domain", "by_host")},
+{_further_sql("far", "suffix", "by_suffix", "by_domain")},
+judged as (select host, a, b from by_host union all
+    select host, coalesce(near.a, far.a), coalesce(near.b, far.b) from named left join near using (domain) left join far using (suffix)
+    where n is null and not regexp_matches(host, '^[0-9.]+(:[0-9]*)?$')),
+bad as (select host from judged
     where a / (a + b) + 1.96 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) < 0.8)
 select h.page_id, h.host, h.path, f.rule,
     coalesce(f.verdict, case when h.host in (select host from bad) then 'block' else 'allow' end) as verdict

@@ -9,6 +9,7 @@ import textwrap
 import time
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from compare import connect, differences
@@ -435,6 +436,33 @@ def test_urls_match_sql(spark, folder):
     assert differences(QUERIES["op1_url_reputation"](spark, folder), con, ORACLES["op1_url_reputation"]) == []
 
 
+def test_sql_judges_hosts_without_labels(spark, tmp_path):
+    pages, labels = [], []
+
+    def host(name, goods):
+        for good in goods or [None]:
+            pages.append((len(pages), f"x://{name}/{len(pages)}"))
+            labels.append((pages[-1][0], good))
+
+    for k in range(12):
+        host(f"s{k}.bad.com", [0] * 30)
+        host(f"s{k}.mixed.com", [k % 2] * 30)
+        host(f"www.d{k}.evil", [0] * 30)
+        host(f"d{k}.co.uk", [1] * 30 if k else [0])
+    host("lone.xyz", [0] * 9)
+    new = ["s20.bad.com", "bad.com", "s20.mixed.com", "new.com", "a.new.evil", "new.co.uk", "a.lone.xyz", "other.xyz", "x.unknown", "1.2.3.4", "1.2.3.4:80"]
+    for name in new:
+        host(name, [])
+    con = duckdb.connect()
+    for name, table, schema in (("pages", pages, "page_id bigint, url string"), ("labels", labels, "doc_id bigint, quality int")):
+        spark.createDataFrame(table, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    got = QUERIES["op1_url_reputation"](spark, str(tmp_path))
+    assert differences(got, con, ORACLES["op1_url_reputation"]) == []
+    verdicts = {r.host: r.verdict for r in got.collect()}
+    assert verdicts["s20.bad.com"] == verdicts["a.new.evil"] == "block" and verdicts["x.unknown"] == verdicts["1.2.3.4"] == "allow"
+
+
 def test_hosts_paths_and_rules(spark):
     urls = {
         None: ("", "", None, "allow"),
