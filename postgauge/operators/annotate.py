@@ -31,6 +31,15 @@ def store_map(c: str = STORE) -> Column:
     return F.coalesce(F.from_json(init_store(c), MAP), F.create_map().cast(MAP))
 
 
+def raw_map(c: str = STORE) -> Column:
+    """The object as a map of JSON values with their types; broken JSON reads as empty.
+
+    Objects with a value that repeats a key inside itself are read as text values.
+    """
+    as_text = F.transform_values(store_map(c), lambda k, v: v.cast("variant"))
+    return F.coalesce(F.from_json(init_store(c), "map<string,variant>"), as_text)
+
+
 def tidy_key(c: Column) -> Column:
     """Trimmed, first letter upper, rest lower."""
     key = strip(c)
@@ -60,15 +69,19 @@ def latest_labels(edits: DataFrame, row_id: str = "Id", order: tuple[str, ...] =
 
 
 def apply_labels(df: DataFrame, edits: DataFrame, row_id: str = "Id", store: str = STORE) -> DataFrame:
-    """Rows with their store updated by the edits; rows without edits keep theirs."""
+    """Rows with their store updated by the edits; rows without edits keep theirs as they are.
+
+    Values that no edit replaces keep their JSON types.
+    """
+    value = F.col("value").cast("variant").alias("value")
     fresh = latest_labels(edits, row_id).groupBy(row_id).agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("fresh")
+        F.map_from_entries(F.collect_list(F.struct("key", value))).alias("fresh")
     )
     old = F.col("old")
     merged = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(F.col("fresh"), k)), F.col("fresh"))
     return (
         with_store(df, store)
-        .withColumn("old", store_map(store))
+        .withColumn("old", raw_map(store))
         .join(fresh, row_id, "left")
         .withColumn(store, F.when(F.col("fresh").isNull(), F.col(store)).otherwise(F.to_json(merged)))
         .drop("old", "fresh")

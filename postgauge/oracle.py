@@ -406,6 +406,7 @@ registry AS (
 SELECT event_id, coalesce(r.key, upper(left(trim(m.key), 1)) || lower(substr(trim(m.key), 2))) AS key
 FROM messy m LEFT JOIN registry r ON lower(trim(m.key)) = folded WHERE trim(m.key) <> ''""").replace("\n, messy", ",\nmessy"),
     "apply_labels": sql("edits applied", "SELECT Id, key, value FROM applied"),
+    "merged_label_table": sql("edits applied", "SELECT Id, key, value FROM applied"),
     "label_keys": sql("edits applied", """
 SELECT DISTINCT key FROM (SELECT key FROM applied UNION ALL SELECT 'Question_quality' UNION ALL SELECT 'Answer_quality')"""),
     "expand_labels": sql("edits applied", "SELECT Id, " + ", ".join(

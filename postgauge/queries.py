@@ -14,6 +14,7 @@ from postgauge.functions import posts as P
 from postgauge.functions import text as X
 from postgauge.operators import annotate, distribution, evaluation, labeling, matching, models
 from postgauge.operators import neighbors, projection, quality, spectral, splitting, structured, textstats, vectors
+from postgauge.operators.label_table import LabelTable
 from postgauge.plans import post_map as maps
 from postgauge.plans import training, training_run
 from postgauge.sources import derived as D
@@ -737,6 +738,16 @@ def apply_labels(spark, folder):
     return _applied(spark, folder).select("Id", F.explode(annotate.store_map()).alias("key", "value"))
 
 
+@query
+def merged_label_table(spark, folder):
+    """The same labels from a table of 16 buckets, merged three times, with edits that come late."""
+    table = LabelTable(spark, fresh_path(spark, "labels"), buckets=16)
+    table.add_stores(_labeled_users(spark, folder))
+    for turn in (2, 0, 1):
+        table.merge(D.label_events(spark, folder).where(F.col("event_id") % 3 == turn))
+    return table.stores().select("Id", F.explode(annotate.store_map()).alias("key", "value"))
+
+
 @query
 def label_keys(spark, folder):
     return annotate.label_keys(_applied(spark, folder))
