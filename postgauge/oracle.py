@@ -12,6 +12,17 @@ WS = fixed.WHITESPACE
 TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{WS}]"
 
 TABLES = {
+    "abbreviations": r"""
+found AS (SELECT unnest(regexp_extract_all(text, '\p{L}+(?:\.\p{L}+)*\.?')) AS token FROM documents),
+stops AS (SELECT lower(rtrim(token, '.')) AS word, count(*) AS n, count(*) FILTER (ends_with(token, '.')) AS n_stop FROM found GROUP BY 1),
+rate AS (SELECT sum(n_stop) / sum(n) AS p FROM stops),
+sized AS (
+  SELECT *, length(replace(word, '.', '')) AS letters, n - n_stop AS rest,
+    2 * (n_stop * ln(0.99) + (n - n_stop) * ln(0.01) - n_stop * ln(p) - (n - n_stop) * ln(1 - p)) AS ratio FROM stops, rate),
+abbreviations AS (
+  SELECT word, n, n_stop, score FROM (
+    SELECT *, ratio * (length(word) - letters + 1) * exp(-letters) * pow(letters::DOUBLE, -rest::DOUBLE) AS score FROM sized WHERE n_stop > 0)
+  WHERE score >= 0.3)""",
     "posts": """
 c AS (
   SELECT conv_id*1000+turn AS Id, CASE WHEN role='user' THEN 1 ELSE 2 END AS PostTypeId,
@@ -353,6 +364,20 @@ WITH s AS (
     lambda x: regexp_matches(x, '[^{WS}]')), 1) - 1 AS sentence_no
   FROM documents)
 SELECT doc_id, sentence_no, array_to_string(regexp_extract_all(sentence, '{TOKEN}'), ' ') AS tokens FROM s""",
+    "learned_abbreviations": sql("abbreviations", "SELECT word, n, n_stop, round(score, 4) AS score FROM abbreviations"),
+    "sentences_with_abbreviations": sql("abbreviations", rf"""
+, s AS (
+  SELECT doc_id, unnest(list_filter(string_split(regexp_replace(text, '([.!?])[{WS}]+', '\1' || chr(1), 'g'), chr(1)),
+    lambda x: regexp_matches(x, '[^{WS}]'))) AS piece, generate_subscripts(list_filter(string_split(regexp_replace(text, '([.!?])[{WS}]+',
+    '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '[^{WS}]')), 1) AS i
+  FROM documents),
+placed AS (
+  SELECT doc_id, i, piece, lower(regexp_extract(piece, '(\p{{L}}+(\.\p{{L}}+)*)\.$', 1)) IN (SELECT word FROM abbreviations) AS goes_on FROM s),
+numbered AS (
+  SELECT *, coalesce(sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence FROM placed),
+joined AS (SELECT doc_id, sentence, sum(length(piece) + 1) - 1 AS size FROM numbered GROUP BY 1, 2)
+SELECT doc_id, count(*) AS sentences, max(size)::BIGINT AS longest FROM joined GROUP BY 1""").replace("\n, s AS", ",\ns AS"),
     "word_usage": sql("doc_tokens", """
 SELECT d.doc_id, count(token) AS uses FROM documents d
 LEFT JOIN doc_tokens t ON t.doc_id = d.doc_id AND token IN ('but','and','the','que','der') GROUP BY d.doc_id"""),

@@ -13,7 +13,7 @@ from postgauge.functions import fixed
 from postgauge.functions import posts as P
 from postgauge.functions import text as X
 from postgauge.operators import annotate, distribution, evaluation, labeling, matching, models
-from postgauge.operators import neighbors, projection, quality, spectral, splitting, structured, textstats, vectors
+from postgauge.operators import neighbors, projection, quality, sentences, spectral, splitting, structured, textstats, vectors
 from postgauge.operators.label_table import LabelTable
 from postgauge.plans import post_map as maps
 from postgauge.plans import training, training_run
@@ -320,8 +320,24 @@ def clean_text_ascii(spark, folder):
 
 @query
 def tokenize_sentences(spark, folder):
-    sentences = textstats.sentence_tokens(D.documents(spark, folder), "text", "doc_id")
-    return sentences.select("doc_id", "sentence_no", F.array_join("tokens", " ").alias("tokens"))
+    split = textstats.sentence_tokens(D.documents(spark, folder), "text", "doc_id")
+    return split.select("doc_id", "sentence_no", F.array_join("tokens", " ").alias("tokens"))
+
+
+def _abbreviations(spark, folder):
+    return sentences.abbreviations(materialise(sentences.stop_counts(D.documents(spark, folder), "text")))
+
+
+@query
+def learned_abbreviations(spark, folder):
+    return _abbreviations(spark, folder).select("word", "n", "n_stop", F.round("score", 4).alias("score"))
+
+
+@query
+def sentences_with_abbreviations(spark, folder):
+    """Sentences per document and their longest, where learned abbreviations end none."""
+    split = sentences.split_sentences(D.documents(spark, folder), "text", "doc_id", materialise(_abbreviations(spark, folder)))
+    return split.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.max(F.length("sentence")).cast("bigint").alias("longest"))
 
 
 @query
