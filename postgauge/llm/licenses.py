@@ -3,7 +3,8 @@
 Every line of a text, every few neighbouring lines (a header may stand anywhere, wrapped at
 will) and the whole text (a licence file) are compared with templates: lines with short notices
 and standard headers, the whole text with notices and with the full texts of licences, which
-decide if they fit. Any named licence wins over `All rights reserved`. The vocabulary is that of the templates without function words;
+decide if they fit. Lines that are a licence's title or an SPDX tag are compared with those, all of whose words
+they must hold; a text that is a title, but for copyright lines, is a licence file. Any named licence wins over `All rights reserved`. The vocabulary is that of the templates without function words;
 weights are inverse document frequencies counted over all documents. Words outside of the
 vocabulary count with the weight of an unseen word, so a licence mentioned in passing inside a
 long line stays far from its template. Documents without a licence of their own inherit from
@@ -67,7 +68,25 @@ HEADERS = (
     ("CC-BY-NC-4.0", _CC.format("Attribution-NonCommercial")),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
 )
-WINDOW_LINES, WINDOW_TERMS, FILE_FLOOR = 12, 60, 0.8
+#: Titles of licence files.
+TITLES = (
+    ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"), ("Apache-2.0", "Apache License 2.0"), ("Apache-2.0", "Apache License, Version 2.0"),
+    ("GPL-2.0", "GNU General Public License v2.0"), ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL-3.0", "GNU General Public License v3.0"), ("GPL-3.0", "GNU General Public License, version 3"),
+    ("LGPL-2.1", "GNU Lesser General Public License v2.1"), ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License v3.0"), ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License v3.0"), ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("ISC", "ISC License"),
+    ("MPL-2.0", "Mozilla Public License 2.0"), ("MPL-2.0", "Mozilla Public License, version 2.0"),
+)
+#: Identifiers that SPDX tags give to licences; a GNU one may go on with `-only`, `-or-later` or `+`.
+SPDX = (
+    "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC MPL-2.0 CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 "
+    "GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0 AGPL-3.0"
+).split()
+TAGS = tuple((name, f"SPDX-License-Identifier: {name}{end}") for name in SPDX for end in ("", *(("-only", "-or-later") if "GPL" in name else ())))
+WINDOW_LINES, WINDOW_TERMS, FILE_FLOOR, EXACT_FLOOR = 12, 60, 0.8, 0.9
+_COPYRIGHT = re.compile(r"(?i)\W*(?:copyright\b|\(c\)|©|all rights reserved)")
 STOP_WORDS = frozenset("a an and any are as by for form forms from in is it not of on or the this to use with you may".split())
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
@@ -133,7 +152,8 @@ class Matcher:
             weights = {w: c * self.idf[w] for w, c in terms(text).items()}
             self.vectors.append((name, weights, math.sqrt(sum(x * x for x in weights.values()))))
 
-    def best(self, found: Counter, floor: float = 0.0) -> tuple[float, str | None]:
+    def best(self, found: Counter, floor: float = 0.0, whole: bool = False) -> tuple[float, str | None]:
+        """Cosine and name; with `whole`, of the templates all of whose words were found."""
         if not found.keys() & self.idf.keys():
             return 0.0, None
         weights = {w: c * self.idf.get(w, self.unseen) for w, c in found.items()}
@@ -142,24 +162,27 @@ class Matcher:
             return 0.0, None  # no cosine is above the share of the known words
         scores = []
         for k, (name, vector, size) in enumerate(self.vectors):
+            if whole and not vector.keys() <= weights.keys():
+                continue
             dot = sum(x * weights[w] for w, x in vector.items() if w in weights)
             scores.append((dot / (norm * size), -k, name))
-        score, _, name = max(scores)
+        score, _, name = max(scores, default=(0.0, 0, None))
         return score, name
 
 
 def own_licenses(docs: DataFrame, templates=TEMPLATES, floor: float = 0.7, text: str = "text", carry=None) -> DataFrame:
     """`row`, license, score and `whole`: whether the document is a licence file."""
     full = full_texts()
-    n, frequencies = document_frequencies(docs, vocabulary((*templates, *HEADERS, *full)), text)
+    n, frequencies = document_frequencies(docs, vocabulary((*templates, *HEADERS, *TITLES, *TAGS, *full)), text)
 
     def start():
-        matcher, headers, files = (Matcher(x, n, frequencies) for x in (templates, HEADERS, full))
+        matcher, headers, titles, tags, files = (Matcher(x, n, frequencies) for x in (templates, HEADERS, TITLES, TAGS, full))
         known = matcher.idf.keys() | headers.idf.keys()
+        any_known = known | titles.idf.keys() | tags.idf.keys()
 
         def judge(value: str | None) -> tuple[str | None, float, bool]:
             lines = [terms(line) for line in (value or "").split("\n")]
-            if not any(line.keys() & known for line in lines):
+            if not any(line.keys() & any_known for line in lines):
                 return None, 0.0, False
             total = Counter()
             for line in lines:
@@ -167,7 +190,15 @@ def own_licenses(docs: DataFrame, templates=TEMPLATES, floor: float = 0.7, text:
             score, name = files.best(total, FILE_FLOOR)
             if score >= FILE_FLOOR:
                 return name, score, True
-            found = [matcher.best(line) for line in lines]
+            stated = [m.best(line, EXACT_FLOOR, whole=True) for line in lines for m in (titles, tags)]
+            score, name = max(stated, key=lambda x: x[0])
+            if score >= EXACT_FLOOR:
+                # A title by itself makes a file: nothing stands beside it but copyright lines.
+                rest = sum((terms(x) for x in value.split("\n") if not _COPYRIGHT.match(x)), Counter())
+                as_title, title = titles.best(rest, EXACT_FLOOR, whole=True)
+                if as_title >= EXACT_FLOOR:
+                    return title, as_title, True
+            found = [x for x in stated if x[0] >= EXACT_FLOOR] + [matcher.best(line) for line in lines]
             found += [headers.best(line, floor) for line in lines]
             found += [m.best(w, floor) for w in windows(lines, known) for m in (matcher, headers)]
             # The best named licence; without one, `Proprietary`.

@@ -417,6 +417,31 @@ def test_real_license_texts_and_wrapped_headers(spark):
     assert {k: got[k] for k in heads} == {k: (name, "header") for k, (name, _) in heads.items()}
 
 
+def test_tags_and_titles(spark):
+    prose = "words about other things that go on for a while and never end\n" * 30
+    tagged = {
+        "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "/* SPDX-License-Identifier: MIT */": "MIT",
+        "// SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "SPDX-License-Identifier: GPL-2.0+": "GPL-2.0",
+        "-- SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1", "# SPDX-License-Identifier: Zlib": None,
+        "# SPDX-License-Identifier: CC-BY-SA-4.0": "CC-BY-SA-4.0", "SPDX-License-Identifier:": None, "License": None, "mit": None,
+        "GNU": None, "Version 2.0": None, "Licence of a garden": None,
+    }
+    files = {
+        "MIT License": "MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\nAll rights reserved.\n": "MIT",
+        "Apache License, Version 2.0": "Apache-2.0", "GNU GENERAL PUBLIC LICENSE\tVersion 3": "GPL-3.0", "ISC License\n© A. Person": "ISC",
+    }
+    docs = [(k, f"{line}\n{prose}", f"t/{k}") for k, line in enumerate(tagged)]
+    docs += [(100 + k, f"{prose}{line}", f"t/{k}") for k, line in enumerate(tagged)]
+    docs += [(200 + k, text, f"f{k}/LICENSE") for k, text in enumerate(files)]
+    docs += [(300 + k, prose, f"f{k}/src/x") for k in range(len(files))] + [(400 + k, "er kam mit dem License-Auto", "g/x") for k in range(300)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, p string")
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.scan_licenses(table, F.col("p")).collect()}
+    for k, name in enumerate(tagged.values()):
+        assert got[k] == got[100 + k] == (name, name and "header"), k
+    for k, name in enumerate(files.values()):
+        assert got[200 + k] == (name, "file") and got[300 + k] == (name, "inherited")
+
+
 def test_licenses_query_finds_every_notice(spark, rows):
     got = {r.doc_id: r for r in QUERIES["op10_licenses"](spark, MID).collect()}
     notices = {text: name for name, text in licenses.TEMPLATES}
