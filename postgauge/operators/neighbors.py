@@ -4,10 +4,13 @@ Rows are assigned to the nearest of a few pivots, and cells that are still large
 nearest of pivots of their own, and so on: a tree whose leaves keep their size as the table
 grows. What is known about a cell (its radius, its rows closest to the pivot) bounds, by the
 triangle inequality, how far a row's k-th neighbour can be, and a cell that cannot hold
-anything nearer is never visited. A row goes down the tree level by level; below the first
-level a cell's pivots meet its visitors as a table. Leaves, and the rows visiting them, are cut
-into blocks of bounded size, and only the k best per row and block leave a task. Copies of a
-vector are searched once.
+anything nearer is never visited. Every leaf is searched for its own rows first. Then leaves that
+lie together make teams of bounded size, and two teams meet in one task, once, if a row of
+either may have a neighbour in the other; so where vectors have so many dimensions that nothing can
+be left out, rows are sent once for each team, not once for each leaf, and no task holds more than
+two teams. With `probes` a row goes down the tree level by level; below the first level a cell's
+pivots meet its visitors as a table. Only the k best per row leave a task. Copies of a vector are
+searched once.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +37,11 @@ BROADCAST_CELLS = 100_000
 # Numbers one chunk of bounds may hold.
 CHUNK_NUMBERS = 1 << 22
 BROADCAST_COPIES = 10_000
+# Numbers that the vectors of one team may hold, and teams made at least, where there are leaves enough.
+TEAM_NUMBERS = 1 << 21
+TEAMS = 12
+SLICE_ROWS = 4096  # rows of a team that look for neighbours together
+MEASURED = 1 << 16  # pairs measured at a time
 
 
 def _unit(df: DataFrame) -> DataFrame:
@@ -203,6 +212,206 @@ def _best(k: int, digits: int | None):
     return run
 
 
+def _candidates(a: np.ndarray, b: np.ndarray, limit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of all pairs that may be as near as the row's `limit` and among its k nearest.
+
+    One product in single precision decides, with its error allowed for; where that leaves
+    too many, one in double precision.
+    """
+    middle = b.mean(0)
+    a, b = a - middle, b - middle
+    width, double = a.shape[1], np.finfo(float).eps
+    squares, halves = (a * a).sum(1), (b * b).sum(1) / 2
+    largest = squares + 2 * halves.max()
+    edge = (limit * (1 + 1e-6)) ** 2 - squares
+    for kind in (np.float32, np.float64):
+        if kind is np.float32 and not largest.max() < 1e30:
+            continue
+        error = 8.0 * (width + 4) * (np.finfo(kind).eps * largest + double * width * np.abs(middle).max() ** 2) + np.finfo(kind).tiny
+        # |x - y|^2 <= limit^2 is x.y - |y|^2 / 2 >= (|x|^2 - limit^2) / 2.
+        least = (-(edge + 2 * error) / 2).astype(kind)
+        product = np.column_stack([a, np.ones(len(a))]).astype(kind) @ np.column_stack([b, -halves]).astype(kind).T
+        hits = product >= least[:, None]
+        if np.count_nonzero(hits) > 4 * k * len(a) and len(b) > k:
+            kth = np.partition(product, len(b) - k, axis=1)[:, len(b) - k]
+            hits = product >= np.maximum(least, kth - 2 * error.astype(kind))[:, None]
+        if kind is np.float64 or np.count_nonzero(hits) <= 8 * k * len(a):
+            break
+    return np.nonzero(hits)
+
+
+def _measure(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray, digits: int | None) -> np.ndarray:
+    """Distances of single pairs, without cancellation."""
+    parts = [slice(i, i + MEASURED) for i in range(0, len(rows), MEASURED)]
+    exact = np.concatenate([np.zeros(0), *(np.sqrt(((a[rows[at]] - b[cols[at]]) ** 2).sum(1)) for at in parts)])
+    return exact if digits is None else exact.round(digits)
+
+
+class _Team:
+    """The rows of a team, ordered by their leaves, without those that have no distance."""
+
+    def __init__(self, table: pa.Table):
+        n = table.num_rows
+        vectors = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        leaf = table.column("leaf").combine_chunks().dictionary_encode()
+        names, codes = leaf.dictionary.to_pylist(), leaf.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        order = order[np.isfinite(vectors[order]).all(1)]
+        self.vectors, self.codes, self.names = vectors[order], codes[order], names
+        self.rep, self.reach = table.column("rep").to_numpy()[order], table.column("reach").to_numpy()[order]
+
+    def leaves(self) -> list[tuple[str, slice]]:
+        starts = np.flatnonzero(np.diff(self.codes, prepend=-1))
+        return [(self.names[self.codes[s]], slice(s, e)) for s, e in zip(starts, [*starts[1:], len(self.codes)])]
+
+
+def _nearest_of(queries: _Team, members: _Team, k: int, digits: int | None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """`rep, other, distance`: for each row the k nearest of the members in other leaves, within its reach."""
+    leaves, out = members.leaves(), []
+    if not leaves or not len(queries.rep):
+        return out
+    centres = np.stack([members.vectors[at].mean(0) for _, at in leaves])
+    radius = np.array([np.sqrt(((members.vectors[at] - c) ** 2).sum(1)).max() for (_, at), c in zip(leaves, centres)])
+    codes = {name: code for code, name in enumerate(queries.names)}
+    for begin in range(0, len(queries.rep), SLICE_ROWS):
+        part = slice(begin, begin + SLICE_ROWS)
+        vectors, limit, own = queries.vectors[part], queries.reach[part].copy(), queries.codes[part]
+        d = _distances(vectors, centres)
+        floor = d - radius - _off(radius, _error(vectors, centres)) - _off(d, _error(vectors, centres))
+        best, waiting, count = (np.zeros(0, int), np.zeros(0, int), np.zeros(0)), [], 0
+
+        def settle() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            rows, others, distances = (np.concatenate(c) for c in zip(best, *waiting))
+            order = np.lexsort((others, distances, rows))
+            rows, others, distances = rows[order], others[order], distances[order]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            last = place == k - 1
+            limit[rows[last]] = np.minimum(limit[rows[last]], distances[last])
+            kept = (place < k) & (distances <= limit[rows])
+            return rows[kept], others[kept], distances[kept]
+
+        for leaf in d.mean(0).argsort():
+            name, at = leaves[leaf]
+            near = np.flatnonzero((floor[:, leaf] <= limit * (1 + 1e-6)) & (own != codes.get(name, -1)))
+            step = max(1, CHUNK_NUMBERS // max(1, len(near)))
+            for first in range(at.start, at.stop if len(near) else at.start, step):
+                chunk = slice(first, min(first + step, at.stop))
+                rows, cols = _candidates(vectors[near], members.vectors[chunk], limit[near], k)
+                rows, distances = near[rows], _measure(vectors, members.vectors[chunk], near[rows], cols, digits)
+                found = distances <= limit[rows]
+                waiting.append((rows[found], members.rep[chunk][cols[found]], distances[found]))
+                count += len(waiting[-1][0])
+                if count > 2 * k * len(vectors):
+                    best, waiting, count = settle(), [], 0
+        rows, others, distances = settle()
+        out.append((queries.rep[part][rows], others, distances))
+    return out
+
+
+def _between(k: int, digits: int | None):
+    """Two teams, either the other's members; a team paired with itself is searched once."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = _Team(left), _Team(right)
+        found = _nearest_of(a, b, k, digits) + ([] if key[0] == key[1] else _nearest_of(b, a, k, digits))
+        empty = [(np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0))]
+        columns = [pa.array(np.concatenate(c)) for c in zip(*(found or empty))]
+        return pa.Table.from_arrays(columns, ["rep", "other", "distance"])
+
+    return run
+
+
+def _gathered(pivots: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
+    """A team for each cell: cells are halved across their widest direction until they hold `most` rows."""
+    teams, open_, made = np.zeros(len(pivots), int), [np.arange(len(pivots))], 0
+    while open_:
+        at = open_.pop()
+        if len(at) > 1 and sizes[at].sum() > most:
+            spread = pivots[at] - pivots[at].mean(0)
+            order = at[(spread @ np.linalg.eigh(spread.T @ spread)[1][:, -1]).argsort(kind="stable")]
+            total = sizes[order].cumsum()
+            cut = min(max(1, int(np.searchsorted(total, total[-1] / 2))), len(at) - 1)
+            open_ += [order[:cut], order[cut:]]
+        else:
+            teams[at], made = made, made + 1
+    return teams
+
+
+def _teams(leaving: DataFrame, sizes: DataFrame, pivots: np.ndarray, counts: np.ndarray, block_rows: int) -> tuple[DataFrame, np.ndarray, int]:
+    """`rep, vector, leaf, reach, base, team`, the centres of the bases and the rows a team is meant to have.
+
+    A base is first-level cells that lie together. One that is too large is cut by its leaves, and a leaf
+    that is too large by its rows.
+    """
+    most = min(TEAM_NUMBERS // pivots.shape[1], max(block_rows, math.ceil(counts.sum() / TEAMS)))
+    most = max(1, most)
+    pivots = np.nan_to_num(pivots)
+    bases = _gathered(pivots, counts, most)
+    centres = np.stack([np.average(pivots[bases == b], axis=0, weights=np.maximum(counts[bases == b], 1)) for b in range(bases.max() + 1)])
+    spark = leaving.sparkSession
+    roots = spark.createDataFrame([(str(c), int(b)) for c, b in enumerate(bases)], "root string, base int")
+    cut = W.partitionBy("base").orderBy("cell")  # one row for each leaf
+    named = sizes.withColumn("root", F.substring_index("cell", ".", 1)).join(F.broadcast(roots), "root").select(
+        F.col("cell").alias("leaf"),
+        "base",
+        F.floor((F.sum("n").over(cut) - F.col("n")) / most).alias("turn"),
+        F.ceil(F.col("n") / most).cast("int").alias("salts"),
+    )
+    salt = F.pmod(F.xxhash64("rep"), F.col("salts"))
+    team = F.concat_ws(".", "base", "turn", salt).alias("team")
+    dealt = leaving.join(_light(materialise(named)), "leaf").select("rep", "vector", "leaf", "reach", "base", team)
+    return materialise(dealt), centres, most
+
+
+def _rows_of(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _meetings(dealt: DataFrame, centres: np.ndarray) -> DataFrame:
+    """Pairs `a, b` of teams, a <= b, of which a row of one may have a neighbour in the other."""
+    step = max(1, CHUNK_NUMBERS // max(len(centres), centres.shape[1]))
+
+    def far(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                base = part.column("base").to_numpy()
+                d = np.sqrt(((_rows_of(part, "vector") - centres[base]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([part.column("team"), part.column("base"), pa.array(d)], ["team", "base", "d"])
+
+    # Rows without a distance are nobody's neighbours.
+    reached = dealt.select("team", "base", "vector").mapInArrow(far, "team string, base int, d double").where("not isnan(d)")
+    spans = reached.groupBy("team").agg(F.first("base").alias("base"), F.max("d").alias("radius")).collect()  # one row for each team
+    names = np.array([r["team"] for r in spans], dtype=object)
+    base, radius = np.array([r["base"] for r in spans], int), np.array([r["radius"] for r in spans], float)
+
+    def meet(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, max(1, CHUNK_NUMBERS // max(len(names), centres.shape[1], 1))):
+                part = batch.slice(at, max(1, CHUNK_NUMBERS // max(len(names), centres.shape[1], 1)))
+                vectors, teams = _rows_of(part, "vector"), part.column("team").to_numpy(zero_copy_only=False)
+                d, error = _distances(vectors, centres), _error(vectors, centres)
+                floor = (d - _off(d, error))[:, base] - radius * (1 + 1e-9)
+                open_ = floor <= (part.column("reach").to_numpy() * (1 + 1e-6))[:, None]
+                pairs = {(a, b) if a <= b else (b, a) for a in set(teams) for b in names[open_[teams == a].any(0)]}
+                columns = [pa.array([p[i] for p in pairs], pa.string()) for i in range(2)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return dealt.select("team", "vector", "reach").mapInArrow(meet, "a string, b string").distinct()
+
+
+def _exchanged(dealt: DataFrame, centres: np.ndarray, k: int, digits: int | None) -> DataFrame:
+    """Neighbours found in other leaves, within reach."""
+    pairs = _light(materialise(_meetings(dealt, centres)))
+
+    def side(team: str, pairs: DataFrame) -> DataFrame:
+        rows = dealt.select(*[F.col(c).alias(c) for c in ("rep", "vector", "leaf", "reach")], F.col("team").alias(team))
+        return rows.join(pairs, team).groupBy("a", "b")
+
+    left, right = side("a", pairs), side("b", pairs.select(F.col("a").alias("a"), F.col("b").alias("b")))
+    return left.cogroup(right).applyInArrow(_between(k, digits), "rep bigint, other bigint, distance double")
+
+
 def _closest(df: DataFrame, key: str, other: str, k: int) -> DataFrame:
     order = W.partitionBy(key).orderBy("distance", other)
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -280,6 +489,13 @@ def _distinct_edges(groups: DataFrame, k: int, block_rows: int, digits: int | No
     kth = near.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
     reach = F.when(F.col("n") == k, F.col("far")).otherwise(float("inf")).alias("reach")
     leaving = placed.join(kth, "rep", "left").select("rep", "vector", F.col("cell").alias("leaf"), reach)
+    if probes is None:
+        counts = np.zeros(len(pivots), int)
+        for r in top:
+            counts[int(r["cell"])] = r["n"]
+        dealt, centres, _ = _teams(leaving, sizes, pivots, counts, block_rows)
+        found = _exchanged(dealt, centres, k, digits)
+        return _closest(near.unionByName(found), "rep", "other", k)
     radius, inner, nearest = np.full(len(pivots), -np.inf), np.full(len(pivots), np.inf), np.full((len(pivots), k + 1), np.inf)
     for r in top:
         at = int(r["cell"])

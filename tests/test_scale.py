@@ -221,6 +221,43 @@ def test_probes_trade_neighbors_for_visits(spark):
     assert recall[0] < 0.7 and recall[1] >= 0.9, recall
 
 
+def test_rows_are_not_stored_once_for_each_leaf_they_visit(spark, monkeypatch):
+    """In many dimensions nothing can be left out; rows meet all others by teams, and no table takes them leaf by leaf."""
+    points, stored = np.random.default_rng(6).normal(size=(600, 24)), []
+    keep = neighbors.materialise
+
+    def counted(df):
+        out = keep(df)
+        stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbors, "materialise", counted)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>").repartition(4)
+    found = neighbors.knn_graph(df, "id", "v", k=5, block_rows=8)
+    got = {(r["id"], r["rank"]): r["neighbor"] for r in found.collect()}
+    assert got == {(i, r): j for i, j, r, _ in brute(points, 5, "euclidean")}
+    assert max(stored) <= 10 * len(points), stored
+
+
+def test_teams_are_bounded_and_small_distances_between_far_groups_decide(spark, monkeypatch):
+    """Single precision can't tell these rows apart, and one first-level cell is larger than a team."""
+    rng = np.random.default_rng(7)
+    points = 100 * rng.normal(size=(5, 6))[rng.integers(0, 5, 400)] + 1e-3 * rng.normal(size=(400, 6))
+    sizes, plain = [], neighbors._teams
+
+    def counted(*args):
+        dealt, centres, most = plain(*args)
+        sizes.extend((r["count"], most) for r in dealt.groupBy("team").count().collect())
+        return dealt, centres, most
+
+    monkeypatch.setattr(neighbors, "_teams", counted)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>").repartition(4)
+    found = neighbors.knn_graph(df, "id", "v", k=6, block_rows=8, fan=3)
+    got = {(r["id"], r["rank"]): r["neighbor"] for r in found.collect()}
+    assert got == {(i, r): j for i, j, r, _ in brute(points, 6, "euclidean")}
+    assert len(sizes) >= neighbors.TEAMS and all(n <= 2 * most for n, most in sizes), sizes
+
+
 def test_top_categories_break_ties_by_later_name(spark):
     df = spark.createDataFrame([(c,) for c in "aabbccddeeffg"] + [(None,)], "c string")
     assert structured.fit_categories(df, "c", 5) == (["c", "d", "e", "f"], True)
