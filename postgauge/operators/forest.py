@@ -10,23 +10,26 @@ the mean over those bags alone.
 from __future__ import annotations
 
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import Model, PipelineModel, Transformer
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.param.shared import HasInputCols, HasPredictionCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.param.shared import HasFeaturesCol, HasInputCols, HasPredictionCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
-from postgauge.session import materialise
+from postgauge.session import fresh_path, materialise
 
 TREES_PER_BAG = 1
 TOGETHER = 8  # bags grown at a time
+# Rows times trees that are grown together: deep trees have about a node for each row, and live on the driver.
+GROWN_ROWS = 500_000
 _UNIT = 1 << 52
 
 
@@ -50,6 +53,74 @@ class VoteMean(Transformer, HasInputCols, HasPredictionCol, DefaultParamsReadabl
         return df.withColumn(self.getPredictionCol(), (2 * ones > all_).cast("double")).drop(*names)
 
 
+class StoredForest(Model, HasFeaturesCol, HasPredictionCol, MLReadable, MLWritable):
+    """A forest as several of Spark's, one folder each; never more than one of them is on the driver.
+
+    Adds the class with the larger sum of all trees' shares, ties going to class 0. A transform runs
+    at once, folder after folder, and stores its rows.
+    """
+
+    def __init__(self, paths: list[str] | None = None, features: str = "features", prediction: str = "prediction"):
+        super().__init__()
+        self.paths = paths or []
+        self._set(featuresCol=features, predictionCol=prediction)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        features, row = self.getFeaturesCol(), f"row_{uuid.uuid4().hex}"  # clashes with no column
+        stored = materialise(df.withColumn(row, F.monotonically_increasing_id()))
+        votes = None
+        for at, path in enumerate(self.paths):
+            model = RandomForestClassificationModel.load(path).setFeaturesCol(features)
+            model = model.setRawPredictionCol("votes").setProbabilityCol("").setPredictionCol("")
+            cast = model.transform(stored.select(row, F.col(features).alias(features))).withColumn("votes", vector_to_array("votes"))
+            part = F.struct(F.lit(at).alias("at"), F.get("votes", F.lit(0)).alias("zeros"), F.get("votes", F.lit(1)).alias("ones"))
+            cast = materialise(cast.select(F.col(row), part.alias("part")))
+            votes = cast if votes is None else votes.unionByName(cast)
+        parts = votes.groupBy(row).agg(F.sort_array(F.collect_list("part")).alias("parts"))  # one for each folder
+        zeros, ones = (F.aggregate(F.col(f"parts.{c}"), F.lit(0.0), lambda a, x: a + x) for c in ("zeros", "ones"))
+        predicted = parts.select(row, (ones > zeros).cast("double").alias(self.getPredictionCol()))
+        return stored.join(predicted, row).drop(row)
+
+    def write(self) -> MLWriter:
+        return _ForestWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ForestReader()
+
+
+class _ForestWriter(MLWriter):
+    def __init__(self, forest: StoredForest):
+        super().__init__()
+        self.forest = forest
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.forest, path, self.sparkSession, {"parts": len(self.forest.paths)})
+        for at, part in enumerate(self.forest.paths):
+            RandomForestClassificationModel.load(part).write().overwrite().save(f"{path}/parts/{at}")
+
+
+class _ForestReader(MLReader):
+    def load(self, path: str) -> StoredForest:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        forest = StoredForest([f"{path}/parts/{at}" for at in range(metadata["parts"])])
+        forest._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(forest, metadata)
+        return forest
+
+
+def grow_stored(data: DataFrame, grower: RandomForestClassifier, together: int) -> StoredForest:
+    """As many trees as `grower` asks for, `together` at a time, each lot stored before the next is grown."""
+    paths, trees = [], grower.getNumTrees()
+    for at in range(0, trees, together):
+        lot = {grower.numTrees: min(together, trees - at), grower.seed: grower.getSeed() + at}
+        if trees > 1:  # a lot of one tree is one of a forest, with its bag and its choice of features
+            lot |= {grower.featureSubsetStrategy: "sqrt", grower.bootstrap: True}
+        paths.append(fresh_path(data.sparkSession, "trees"))
+        grower.copy(lot).fit(data).write().save(paths[-1])
+    return StoredForest(paths, grower.getFeaturesCol(), grower.getPredictionCol())
+
+
 @dataclass
 class BaggedForest:
     """`model` adds `prediction`; `votes` has the row id, the label, `trees`, the number of

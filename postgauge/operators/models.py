@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
 from postgauge.operators.evaluation import class_weights
-from postgauge.operators.forest import TREES_PER_BAG, BaggedForest, fit_bagged_forest
+from postgauge.operators.forest import GROWN_ROWS, TREES_PER_BAG, BaggedForest, fit_bagged_forest, grow_stored
+from postgauge.session import materialise
 
 # The deepest tree Spark grows; stands in for "no limit".
 DEEPEST = 30
@@ -43,14 +44,19 @@ def fit_classifier(
     label: str = "label",
     features: str = "features",
 ) -> Model:
-    """Fit on rows with a 0/1 label; `class_weight: balanced` weighs classes by their size."""
+    """Fit on rows with a 0/1 label; `class_weight: balanced` weighs classes by their size.
+
+    A forest of more than `GROWN_ROWS` rows times trees is grown and stored lot by lot.
+    """
     params = params or {}
     data = df.select(F.col(label).cast("double").alias(label), features)
-    rows = data.count() if algorithm == "logistic_regression" else 1
+    rows = data.count()
     classifier = make_classifier(algorithm, seed, rows, params).setLabelCol(label).setFeaturesCol(features)
     if params.get("class_weight") == "balanced":
         data = data.withColumn("weight", balanced(data, label))
         classifier = classifier.setWeightCol("weight")
+    if algorithm == "random_forest" and rows * classifier.getNumTrees() > GROWN_ROWS and classifier.getNumTrees() > 1:
+        return grow_stored(materialise(data), classifier, max(1, GROWN_ROWS // rows))
     return classifier.fit(data)
 
 

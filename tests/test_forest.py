@@ -56,6 +56,29 @@ def test_score_is_that_of_trees_which_never_saw_the_row(spark, rows, per_bag):
     assert predicted == {i: int(every[i] > 0.5 + 1e-12) for i in ids}
 
 
+def test_a_large_forest_is_grown_and_stored_in_lots(spark, rows, monkeypatch):
+    """No more rows times trees at once than the bound, all trees asked for, the same answer again and when reloaded."""
+    grown, fit = [], RandomForestClassifier.fit
+
+    def counted(self, data, *args):
+        grown.append(self.getNumTrees() * data.count())
+        return fit(self, data, *args)
+
+    monkeypatch.setattr(models, "GROWN_ROWS", 480, raising=False)
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted)
+    params = {"n_estimators": 7, "max_depth": 6, "class_weight": "balanced"}
+    first, second = (models.fit_classifier(rows, params=params) for _ in range(2))
+    assert max(grown) <= 480 and sum(grown) == 2 * 7 * 160
+
+    def answers(model):
+        return sorted(tuple(r) for r in models.predict(model, rows).select("Id", "label", "prediction").collect())
+
+    path = fresh_path(spark, "forest")
+    PipelineModel([first]).write().overwrite().save(path)
+    assert answers(first) == answers(second) == answers(PipelineModel.load(path))
+    assert sum(label == p for _, label, p in answers(first)) > 0.9 * 160
+
+
 def test_weights_nulls_and_saving(spark, rows):
     done = models.fit_forest_with_score(rows, "Id", params={"n_estimators": 4, "max_depth": 3, "class_weight": "balanced", "oob_score": True})
     path = fresh_path(spark, "forest")
