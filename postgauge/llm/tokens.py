@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
+import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -12,6 +12,21 @@ import numpy as np
 _TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _PROBES = ["abcdefghijklm", "nopqrstuvwxyz", "ABCDEFGHIJKLM", "NOPQRSTUVWXYZ", "the", "The", "Zebra"]
 _COST = 190  # bytes of a remembered piece besides its characters and ids, as measured
+# Letters of Latin and Cyrillic script: no two of them compose, and none changes its lower case by what is around it.
+_LETTERS = [c for c in map(chr, [*range(0xC0, 0x250), *range(0x400, 0x530)]) if c.isalpha()]
+# The characters that stand for bytes in the vocabulary, where they aren't those of the same number.
+_BYTES = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+
+
+class _Remembered(dict):
+    """Pieces with their ids; those of a new piece come from `make`."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.make(piece)
 
 
 class Encoder:
@@ -20,117 +35,81 @@ class Encoder:
     White space ends every token of the tokenizers this is meant for (`splits` tells
     whether that holds for the file), so the ids of a text are those of its pieces
     between blanks and line ends, one after the other. New pieces that are plain words, perhaps
-    with punctuation after them, go to the tokenizer's model directly: words of ASCII letters
-    if it takes them as they are in lower case. Other words are encoded many in one call; their last
-    tokens carry the vocabulary's end-of-word mark, which shows where one word ends.
+    with punctuation after them, go to the tokenizer's model directly, in lower case and, beyond ASCII,
+    with the characters that stand for their bytes: words of letters for which that was seen to give
+    what the whole tokenizer gives.
 
-    Memory is bounded by bytes: when the pieces remembered reach `keep` bytes they become the
-    older generation, and those that are met again move on; what the older one still holds
-    is forgotten the next time. Pieces of over `longest` characters aren't remembered.
+    Most pieces of a corpus are met once. So a new piece is held as `recent`, which is forgotten after half
+    of `keep` bytes, and is `known` from its second time on. Memory is bounded by bytes: known pieces of
+    `keep` bytes become the recent ones. Pieces of over `longest` characters aren't remembered.
     """
 
-    def __init__(self, path: str, keep: int = 48 << 20, longest: int = 64):
+    def __init__(self, path: str, keep: int = 32 << 20, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.longest = Tokenizer.from_file(path), keep, longest
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
-        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends = np.zeros(self.size, bool)
-        if mark:
-            for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
-                self.ends[number] = token.endswith(mark)
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = _Remembered(self._new)
+        self.recent: dict[str, bytes] = {}
+        self.learned = 0
+        mark = getattr(self.model, "end_of_word_suffix", None)
         self.plain = bool(mark) and array("I").itemsize == 4 and all(map(self._is_plain, _PROBES))
+        seen = "".join(c for c in _LETTERS if self.plain and self._is_plain(f"a{c}a"))
+        self.letters = re.compile(f"[A-Za-z{seen}]+" if seen else r"(?!)").fullmatch
         self.splits = self._whole("a b\nc d").tobytes() == b"".join(self._whole(x).tobytes() for x in "abcd")
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
+    def _alone(self, word: str) -> bytes:
+        """Ids that the model alone gives to a word in lower case."""
+        low = word.lower()
+        if not low.isascii():
+            low = low.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
+
     def _is_plain(self, word: str) -> bool:
-        """Whether the model alone, given the word in lower case, makes the word's ids."""
-        return self._whole(word).tolist() == [t.id for t in self.tokenizer.model.tokenize(word.lower())]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of single words, each apart."""
-        ids = self._whole(" ".join(words))
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(words) or len(ids) != ends[-1]:  # some word is more than one to the tokenizer
-            return [self._whole(w).tobytes() for w in words]
-        data, at = ids.tobytes(), [0, *(4 * ends).tolist()]
-        return [data[a:b] for a, b in zip(at, at[1:])]
-
-    def _learn(self, pieces: list[str]) -> None:
-        known, older = self.known, self.older
-        if older:
-            for piece in pieces:
-                if piece in older:
-                    known[piece] = older[piece]
-            pieces = [piece for piece in pieces if piece not in known]
-        joined, new, other = [], set(), []
-        for piece in pieces:
-            word = piece.rstrip(_TAIL)
-            if not word.isalpha() or len(piece) > self.longest:
-                other.append(piece)
-                continue
-            if word not in known:
-                new.add(word)
-            if len(word) < len(piece):
-                joined.append((piece, word, piece[len(word) :]))
-        if self.plain and new:
-            model = self.tokenizer.model.tokenize
-            for word in filter(str.isascii, new):
-                known[word] = array("I", [t.id for t in model(word.lower())]).tobytes()
-            new = {word for word in new if not word.isascii()}
-        if new:
-            words = list(new)
-            for k in range(0, len(words), 500):
-                known.update(zip(words[k : k + 500], self._words(words[k : k + 500])))
-        for piece, word, tail in joined:
-            if tail not in known:
-                known[tail] = self._whole(tail).tobytes()
-            known[piece] = known[word] + known[tail]
-        for piece in other:
-            known[piece] = self._whole(piece).tobytes()
-
-    def many(self, texts: Iterable[str | None], together: int = 1 << 20) -> Iterator[np.ndarray]:
+        return self._whole(word).tobytes() == self._alone(word)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of ASCII letters or those seen to be plain."""
+        if not self.plain:
+            return self._whole(word).tobytes()
+        if word.isascii():
+            return array("I", [t.id for t in self.model.tokenize(word.lower())]).tobytes()
+        return self._alone(word)
+
+    def _new(self, piece: str) -> bytes:
+        """Ids of a piece that isn't known yet."""
+        if len(piece) > self.longest:
+            return self._whole(piece).tobytes()
+        ids = self.recent.get(piece)
+        if ids is not None:
+            self.known[piece] = ids
+            return ids
+        word = piece.rstrip(_TAIL)
+        if not (word.isalpha() if word.isascii() else self.letters(word)):  # others may end in a mark, as İ does in lower case
+            ids = self._whole(piece).tobytes()
+        elif len(word) < len(piece):  # most such words are met once, and aren't held by themselves
+            ids = (self.known.get(word) or self.recent.get(word) or self._word(word)) + self.known[piece[len(word) :]]
+        else:
+            ids = self._word(word)
+        self.recent[piece] = ids
+        self.learned += _COST
+        return ids
+
+    def many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers; a null text has none."""
-        group: list[str] = []
-        size = 0
-        for text in texts:
-            group.append(text or "")
-            size += len(group[-1])
-            if size >= together:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.splits:
-            return [self._whole(text) for text in texts]
-        if self.held > self.keep:  # before a group: its pieces stay until it is done
-            self.known, self.older, self.held = {"": b""}, self.known, 0
-        collects = gc.isenabled()
-        gc.disable()  # nothing here is cyclic, and passes over all remembered pieces take long
-        try:
-            parts = [text.replace("\n", " ").split(" ") for text in texts]
-            missing: set[str] = set()
-            missing.update(*parts)
-            missing.difference_update(self.known)
-            if missing:
-                before = len(self.known)
-                self._learn(list(missing))
-                self.held += _COST * (len(self.known) - before)
-            made = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]
-            for piece in missing:
-                if len(piece) > self.longest:
-                    del self.known[piece]
-                    self.held -= _COST
-            return made
-        finally:
-            if collects:
-                gc.enable()
+        return map(self.ids, texts)
 
     def ids(self, text: str | None) -> np.ndarray:
-        return next(self.many([text]))
+        text = text or ""
+        if not self.splits:
+            return self._whole(text)
+        if _COST * len(self.known) > self.keep:
+            self.known, self.recent, self.learned = _Remembered(self._new), self.known, 0
+        elif 2 * self.learned > self.keep:
+            self.recent, self.learned = {}, 0
+        pieces = text.replace("\n", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")

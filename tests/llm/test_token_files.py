@@ -42,6 +42,23 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
 ENCODERS: list[Encoder] = []
 
 
+@given(st.text(st.sampled_from(list("aZéÉßÑœŒŉǅȺЖѝЙΣſİıŁ .,´")), max_size=40))
+@settings(deadline=None, max_examples=300)
+def test_words_beyond_ascii_give_the_ids_of_the_whole_text(text):
+    test_pieces_give_the_ids_of_the_whole_text.hypothesis.inner_test(text)
+
+
+def test_pieces_met_once_are_forgotten_and_those_met_again_stay():
+    """A corpus of new words, with a few that come back, holds hardly more than these few."""
+    import public_tokenizers
+
+    encoder, letters = Encoder(public_tokenizers.path("word_bpe_49k.json"), keep=200_000), "abcdefghij"
+    for n in range(20_000):
+        encoder.ids("the same words " + "".join(letters[int(d)] for d in str(n)) + "x,")
+    assert encoder.known.keys() >= {"the", "same", "words"}
+    assert len(encoder.known) + len(encoder.recent) < 700
+
+
 def test_tokenizers_that_keep_blanks_are_not_split():
     import public_tokenizers
 
