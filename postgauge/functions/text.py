@@ -149,7 +149,11 @@ def _ascii_tables() -> tuple[str, str, str, str]:
     parts = _ascii_parts()
     one = [c for c, part in parts.items() if len(part) == 1]
     more = [c for c in parts if len(parts[c]) > 1]
-    pattern = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in more) + "]"
+    # A class is tried range by range: few ranges, and none of them on an ASCII character.
+    starts = [c for c in more if chr(ord(c) - 1) not in more]
+    ends = [c for c in more if chr(ord(c) + 1) not in more]
+    ranges = "".join(f"\\x{{{ord(a):x}}}-\\x{{{ord(b):x}}}" for a, b in zip(starts, ends, strict=True))
+    pattern = f"(?![\\x00-\\x7f])[{ranges}]"
     return "".join(one), "".join(parts[c] for c in one), pattern, "\n".join(f"{c}\t{parts[c]}" for c in more)
 
 

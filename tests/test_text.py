@@ -1,3 +1,4 @@
+import re
 import unicodedata
 
 import pytest
@@ -150,3 +151,12 @@ def test_counts_run_before_the_explode(spark, data):
         plan = QUERIES[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
         above = plan.split("Generate explode")[0]
         assert "regexp_extract_all" not in above and "array_distinct" not in above, name
+
+
+def test_characters_that_become_several_are_found_by_a_few_ranges():
+    """The class is tried on every character of a text that isn't ASCII throughout."""
+    pattern = T._ascii_tables()[2]
+    assert pattern.count("-") < 60
+    python = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), pattern))
+    several = {c for c, part in T._ascii_parts().items() if len(part) > 1}
+    assert {c for c in map(chr, range(0x110000)) if python.fullmatch(c)} == several
