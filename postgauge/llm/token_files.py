@@ -36,30 +36,38 @@ from postgauge.llm.tokens import Encoder
 
 BLOCK = 1 << 20  # data bytes after which a block is written
 PART = 1 << 20  # ids of a document that are handled at once
+KEEP = 128 << 20  # bytes of pieces that a task remembers: the fewer, the more words are encoded again
 TOKENIZED = "doc_id bigint, row bigint, part int, more boolean, ids binary"
 NULL_ID, CONTINUED = 1, 2  # flags of a document part
-LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], "<i8")
+LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.uint8)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], "<u4")
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     numbers = np.ascontiguousarray(numbers, "<u4")
-    extra = (numbers > 0xFF).astype(np.uint8) + (numbers > 0xFFFF) + (numbers > 0xFFFFFF)
     codes = np.zeros(-(-len(numbers) // 4) * 4, np.uint8)
-    codes[: len(numbers)] = extra
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) <= extra[:, None]
-    return control.tobytes(), numbers.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    extra = codes[: len(numbers)]
+    longer = [np.flatnonzero(numbers > top) for top in (0xFF, 0xFFFF, 0xFFFFFF)]
+    for at in longer:
+        extra[at] += 1
+    four = codes.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    starts = np.arange(len(numbers)) + np.cumsum(extra, dtype="<i8") - extra
+    digits = numbers.view(np.uint8).reshape(-1, 4)
+    data = np.empty(len(numbers) + sum(map(len, longer)), np.uint8)
+    data[starts] = digits[:, 0]
+    for k, at in enumerate(longer, 1):
+        data[starts[at] + k] = digits[at, k]
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    ends = np.cumsum(lengths)
-    padded = np.frombuffer(data + bytes(4), np.uint8)
+    starts = np.cumsum(lengths, dtype="<i8") - lengths
     # Any four bytes that begin at a number's place, cut to the number's own length.
-    words = np.lib.stride_tricks.sliding_window_view(padded, 4)[ends - lengths]
-    return np.ascontiguousarray(words).view("<u4").ravel() & MASKS[lengths]
+    words = np.ndarray((len(data) + 1,), "<u4", data + bytes(4), strides=(1,))
+    return words.take(starts) & MASKS.take(lengths)
 
 
 class ShardWriter:
@@ -131,7 +139,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: s
     arrow = _arrow(TOKENIZED)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([end_id], "<u4")
+        encoder, end = Encoder(tokenizer, KEEP), np.array([end_id], "<u4")
         for batch in batches:
             rows, size = [], 0
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
@@ -240,7 +248,7 @@ def read_token_files(spark: SparkSession, path: str, reduce: Reduce | None = Non
                 at, rows = row["start"], []
                 with system.open_input_stream(f"{folder}/{row['file']}") as source:
                     for key, parts in read_shard(source):
-                        ids = tokens[np.concatenate(parts)]
+                        ids = tokens.take(parts[0] if len(parts) == 1 else np.concatenate(parts))
                         rows.append((key, at, len(ids), *reduce(ids)))
                         at += len(ids)
                         if len(rows) == 1000:
