@@ -13,6 +13,7 @@ import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Model, PipelineModel, Transformer
@@ -27,7 +28,10 @@ from postgauge.functions import fixed
 from postgauge.session import fresh_path, materialise
 
 TREES_PER_BAG = 1
-TOGETHER = 8  # bags grown at a time
+TOGETHER = 12  # bags grown at a time
+# Rows of a task that grows or asks a bag. Every task sums up all nodes of a level and is sent all nodes of the bag, so
+# tasks that are many for their rows cost more than they share.
+TASK_ROWS = 1 << 18
 # Rows times trees that are grown together: deep trees have about a node for each row, and live on the driver.
 GROWN_ROWS = 500_000
 _UNIT = 1 << 52
@@ -53,6 +57,38 @@ class VoteMean(Transformer, HasInputCols, HasPredictionCol, DefaultParamsReadabl
         return df.withColumn(self.getPredictionCol(), (2 * ones > all_).cast("double")).drop(*names)
 
 
+def _stages(model: Model) -> list:
+    return [s for stage in model.stages for s in _stages(stage)] if isinstance(model, PipelineModel) else [model]
+
+
+def transformed(model: Model, df: DataFrame) -> DataFrame:
+    """What `model.transform` gives. Bags that end in a `VoteMean` are asked at once, each by few tasks of its
+    own, and their rows stored: in one plan every task would hold the nodes of all bags."""
+    *before, mean = _stages(model)
+    if not isinstance(mean, VoteMean):
+        return model.transform(df)
+    names = mean.getInputCols()
+    bags = before[len(before) - len(names) :]
+    row = f"row_{uuid.uuid4().hex}"  # clashes with no column
+    stored = materialise(PipelineModel(before[: len(before) - len(names)]).transform(df).withColumn(row, F.monotonically_increasing_id()))
+    tasks = max(1, math.ceil(stored.count() / TASK_ROWS))
+
+    @inheritable_thread_target(df.sparkSession)
+    def ask(bag: int) -> DataFrame:
+        features = bags[bag].getFeaturesCol()
+        cast = bags[bag].transform(stored.select(row, F.col(features).alias(features)).coalesce(tasks)).withColumn("votes", vector_to_array(names[bag]))
+        part = F.struct(F.lit(bag).alias("bag"), F.get("votes", F.lit(0)).alias("zeros"), F.get("votes", F.lit(1)).alias("ones"))
+        return materialise(cast.select(F.col(row), part.alias("part")))
+
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        cast = list(pool.map(ask, range(len(bags))))
+    parts = reduce(DataFrame.unionByName, cast).groupBy(row).agg(F.sort_array(F.collect_list("part")).alias("parts"))  # one for each bag
+    ones = F.aggregate("parts.ones", F.lit(0.0), lambda a, x: a + x)
+    every = F.aggregate("parts", F.lit(0.0), lambda a, x: a + (x["zeros"] + x["ones"]))
+    predicted = parts.select(row, (2 * ones > every).cast("double").alias(mean.getPredictionCol()))
+    return stored.join(predicted, row).drop(row)
+
+
 class StoredForest(Model, HasFeaturesCol, HasPredictionCol, MLReadable, MLWritable):
     """A forest as several of Spark's, one folder each; never more than one of them is on the driver.
 
@@ -157,28 +193,35 @@ def fit_bagged_forest(
     out-of-bag answer; if all are, the score is None. Ties go to class 0.
     """
     label, features, trees = grower.getLabelCol(), grower.getFeaturesCol(), grower.getNumTrees()
-    data = materialise(df.select(row_id, F.col(label).cast("double").alias(label), features, (F.lit(1.0) if weight is None else weight).alias("_base")))
+    base = (F.lit(1.0) if weight is None else weight).alias("_base")
+    data = materialise(df.select(row_id, F.col(label).cast("double").alias(label), features, base, F.monotonically_increasing_id().alias("_row")))
+    tasks = max(1, math.ceil(data.count() / TASK_ROWS))
     sizes = [min(trees_per_bag, trees - at) for at in range(0, trees, trees_per_bag)]
 
     @inheritable_thread_target(df.sparkSession)
     def grow(bag: int):
         count = bag_weight(row_id, bag, seed)
         rows = data.select(label, features, count.alias("_count"), (count * F.col("_base")).alias("_weight")).where("_count > 0")
-        change = {grower.numTrees: sizes[bag], grower.bootstrap: False, grower.seed: seed + bag, grower.weightCol: "_weight"}
+        # With node ids kept by the rows, trees aren't sent to the tasks of every level.
+        change = {grower.numTrees: sizes[bag], grower.bootstrap: False, grower.seed: seed + bag, grower.weightCol: "_weight", grower.cacheNodeIds: True}
         if trees > 1:  # what Spark's forest does by itself, which a single tree of it does not
             change[grower.featureSubsetStrategy] = "sqrt"
-        model = grower.copy(change).fit(rows)
-        return model.setRawPredictionCol(f"_votes{bag}").setProbabilityCol("").setPredictionCol("")
+        model = grower.copy(change).fit(rows.coalesce(tasks))
+        model = model.setRawPredictionCol(f"_votes{bag}").setProbabilityCol("").setPredictionCol("")
+        left_out = data.where(bag_weight(row_id, bag, seed) == 0).select("_row", features).coalesce(tasks)
+        cast = model.transform(left_out).select("_row", _share(f"_votes{bag}").alias("ones"))
+        return model, materialise(cast.withColumn("bag", F.lit(bag)))
 
     with ThreadPoolExecutor(TOGETHER) as pool:
-        models = list(pool.map(grow, range(len(sizes))))
+        models, cast = zip(*pool.map(grow, range(len(sizes))), strict=True)
     names = [f"_votes{bag}" for bag in range(len(sizes))]
-    out = [bag_weight(row_id, bag, seed) == 0 for bag in range(len(sizes))]
-    cast = PipelineModel(models).transform(data)
-    n = sum(F.when(o, s).otherwise(0) for o, s in zip(out, sizes))
-    ones = sum(F.when(o, _share(v)).otherwise(0.0) for o, v in zip(out, names))
-    votes = cast.select(row_id, F.col(label).cast("int").alias(label), n.alias("trees"), F.try_divide(ones, n).alias("share"))
-    votes = materialise(votes)
+    n = sum(F.when(F.array_contains("parts.bag", bag), size).otherwise(0) for bag, size in enumerate(sizes))
+    ones = F.aggregate("parts.ones", F.lit(0.0), lambda a, x: a + x)
+    every = reduce(DataFrame.unionByName, cast)
+    parts = every.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("bag", "ones"))).alias("parts"))  # one for each bag
+    answers = parts.select("_row", n.alias("trees"), F.try_divide(ones, n).alias("share"))
+    voters = data.select("_row", row_id, F.col(label).cast("int").alias(label)).join(answers, "_row", "left")
+    votes = materialise(voters.select(row_id, label, F.coalesce("trees", F.lit(0)).alias("trees"), "share"))
     right = ((F.col("share") > 0.5).cast("int") == F.col(label)).cast("double")
     score = votes.where("trees > 0").agg(F.avg(right)).first()[0]
     return BaggedForest(PipelineModel([*models, VoteMean(inputCols=names)]), votes, score)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
 from postgauge.operators.evaluation import class_weights
-from postgauge.operators.forest import GROWN_ROWS, TREES_PER_BAG, BaggedForest, fit_bagged_forest, grow_stored
+from postgauge.operators.forest import GROWN_ROWS, TREES_PER_BAG, BaggedForest, fit_bagged_forest, grow_stored, transformed
 from postgauge.session import materialise
 
 # The deepest tree Spark grows; stands in for "no limit".
@@ -80,5 +80,5 @@ def fit_forest_with_score(
 
 def predict(model: Model, df: DataFrame) -> DataFrame:
     """Rows with a whole-number `prediction`."""
-    scored = model.transform(df).drop("rawPrediction", "probability")
+    scored = transformed(model, df).drop("rawPrediction", "probability")
     return scored.withColumn("prediction", F.col("prediction").cast("int"))

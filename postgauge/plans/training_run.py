@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -79,19 +80,23 @@ def run_training(
     def fit(path: str) -> None:
         rows = spark.read.parquet(f"{vectors}/train")
         rows, n = bounded_rows(rows, rows.count(), row_id, algorithm, seed, max_fit_rows)
-        classifier, score = grow(rows, row_id, algorithm, seed, params, output)
-        save_model(PipelineModel([classifier]), f"{path}/model")
+        grown, score = grow(rows, row_id, algorithm, seed, params, output)
+        save_model(PipelineModel([grown]), f"{path}/model")
         spark.createDataFrame([(n, score)], FACTS).write.mode("overwrite").parquet(f"{path}/facts")
 
+    @cache
+    def classifier() -> PipelineModel:
+        return PipelineModel.load(f"{trained}/model")
+
     def evaluate(path: str) -> None:
-        scored = predict(PipelineModel.load(f"{trained}/model"), spark.read.parquet(f"{vectors}/test"))
+        scored = predict(classifier(), spark.read.parquet(f"{vectors}/test"))
         scored.select(row_id, "label", "prediction").write.mode("overwrite").parquet(f"{path}/predictions")
         stored = spark.read.parquet(f"{path}/predictions")
         for name, measure in (("metrics", binary_metrics), ("report", classification_report), ("matrix", confusion_matrix)):
             measure(stored).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
     def save(path: str) -> None:
-        stages = [PostFeaturesModel.load(f"{vectors}/model"), *PipelineModel.load(f"{trained}/model").stages]
+        stages = [PostFeaturesModel.load(f"{vectors}/model"), *classifier().stages]
         save_model(PipelineModel(stages), f"{path}/model")
         save_model_metadata(spark, f"{path}/metadata", algorithm, threshold)
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -94,3 +94,29 @@ def test_a_row_in_every_bag_has_no_answer(spark):
     df = spark.createDataFrame(data, ["Id", "label", "features"])
     done = forest.fit_bagged_forest(df, RandomForestClassifier(numTrees=1), "Id")
     assert done.oob_score is None and done.votes.where("share is not null or trees > 0").count() == 0
+
+
+def test_tasks_do_not_multiply_the_nodes(spark, rows, monkeypatch):
+    """A bag is grown and asked by as few tasks as its rows need, however many files there are, and by itself."""
+    fit, ask, grown, asked = RandomForestClassifier.fit, RandomForestClassificationModel.transform, [], []
+
+    def counted(self, data, *args):
+        grown.append((data.rdd.getNumPartitions(), self.getCacheNodeIds()))
+        return fit(self, data, *args)
+
+    def seen(self, data, *args):
+        asked.append((data.rdd.getNumPartitions(), [c for c in data.columns if c.startswith("_votes")]))
+        return ask(self, data, *args)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", counted)
+    monkeypatch.setattr(RandomForestClassificationModel, "transform", seen)
+    grower = RandomForestClassifier(numTrees=6, maxDepth=4, seed=1)
+    done = forest.fit_bagged_forest(rows.repartition(8), grower, "Id", trees_per_bag=2)
+    assert grown == [(1, True)] * 3 and asked == [(1, [])] * 3
+    asked.clear()
+    got = {r["Id"]: r["prediction"] for r in models.predict(PipelineModel([done.model]), rows.repartition(8)).collect()}
+    assert asked == [(1, [])] * 3
+    monkeypatch.undo()
+    assert got == {r["Id"]: int(r["prediction"]) for r in done.model.transform(rows).collect()}
+    monkeypatch.setattr(forest, "TASK_ROWS", 50)  # three or four tasks give the same answers
+    assert got == {r["Id"]: r["prediction"] for r in models.predict(done.model, rows.repartition(8)).collect()}
