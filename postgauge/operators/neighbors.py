@@ -237,7 +237,8 @@ def _candidates(a: np.ndarray, b: np.ndarray, limit: np.ndarray, k: int) -> tupl
             hits = product >= np.maximum(least, kth - 2 * error.astype(kind))[:, None]
         if kind is np.float64 or np.count_nonzero(hits) <= 8 * k * len(a):
             break
-    return np.nonzero(hits)
+    # One flat search for the few hits is many times faster than one in two dimensions.
+    return np.divmod(np.flatnonzero(hits), len(b))
 
 
 def _measure(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray, digits: int | None) -> np.ndarray:

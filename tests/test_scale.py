@@ -282,3 +282,22 @@ def test_svd_components_are_orthogonal_and_stable(spark, data):
     assert np.allclose(basis, vectors.fit_svd(means.coalesce(1), "v", 10), atol=1e-8)
     singular = np.linalg.svd(x, compute_uv=False)[:10]
     assert np.allclose(np.linalg.norm(x @ basis, axis=0), singular)
+
+
+def test_pairs_that_may_be_near_are_found_flat(monkeypatch):
+    """Every pair within the limit, in rows' order, without a two-dimensional search of all pairs for few hits."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(60, 8)), rng.normal(size=(90, 8))
+    d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
+    limit = np.sort(d, 1)[:, 5]
+    nonzero = np.nonzero
+
+    def flat(x):
+        assert np.ndim(x) == 1
+        return nonzero(x)
+
+    monkeypatch.setattr(np, "nonzero", flat)
+    rows, cols = neighbors._candidates(a, b, limit, 6)
+    monkeypatch.undo()
+    assert (np.diff(rows) >= 0).all() and set(zip(*map(list, nonzero(d <= limit[:, None])))) <= set(zip(rows, cols))
+    assert len(rows) < 60 * 12
