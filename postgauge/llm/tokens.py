@@ -14,13 +14,17 @@ _PROBES = ["abcdefghijklm", "nopqrstuvwxyz", "ABCDEFGHIJKLM", "NOPQRSTUVWXYZ", "
 _COST = 190  # bytes of a remembered piece besides its characters and ids, as measured
 # Letters of Latin and Cyrillic script: no two of them compose, and none changes its lower case by what is around it.
 _LETTERS = [c for c in map(chr, [*range(0xC0, 0x250), *range(0x400, 0x530)]) if c.isalpha()]
-# The characters that stand for bytes in the vocabulary, where they aren't those of the same number.
-_BYTES = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+# The characters that stand for bytes in the vocabulary: for some not those of the same number. A whole table, since
+# characters that a dict lacks are slow to translate.
+_MOVED = {b: 256 + k for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+_BYTES = "".join(chr(_MOVED.get(b, b)) for b in range(256))
 
 
 class _Remembered(dict):
     """Pieces with their ids; those of a new piece come from `make`."""
 
+    __slots__ = ("make",)
+
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__({"": b""})
         self.make = make
@@ -50,9 +54,10 @@ class Encoder:
         self.tokenizer, self.keep, self.longest = Tokenizer.from_file(path), keep, longest
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.model = self.tokenizer.model
+        self.tokenize = self.model.tokenize
         self.known: dict[str, bytes] = _Remembered(self._new)
         self.recent: dict[str, bytes] = {}
-        self.learned = 0
+        self.older = 0  # recent pieces that were known ones
         mark = getattr(self.model, "end_of_word_suffix", None)
         self.plain = bool(mark) and array("I").itemsize == 4 and all(map(self._is_plain, _PROBES))
         seen = "".join(c for c in _LETTERS if self.plain and self._is_plain(f"a{c}a"))
@@ -67,36 +72,35 @@ class Encoder:
         low = word.lower()
         if not low.isascii():
             low = low.encode().decode("latin-1").translate(_BYTES)
-        return array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(low)]).tobytes()
 
     def _is_plain(self, word: str) -> bool:
         return self._whole(word).tobytes() == self._alone(word)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word of ASCII letters or those seen to be plain."""
-        if not self.plain:
-            return self._whole(word).tobytes()
-        if word.isascii():
-            return array("I", [t.id for t in self.model.tokenize(word.lower())]).tobytes()
-        return self._alone(word)
-
     def _new(self, piece: str) -> bytes:
         """Ids of a piece that isn't known yet."""
-        if len(piece) > self.longest:
-            return self._whole(piece).tobytes()
-        ids = self.recent.get(piece)
-        if ids is not None:
+        recent = self.recent
+        if (ids := recent.get(piece)) is not None:
             self.known[piece] = ids
             return ids
+        if len(piece) > self.longest:
+            return self._whole(piece).tobytes()
         word = piece.rstrip(_TAIL)
-        if not (word.isalpha() if word.isascii() else self.letters(word)):  # others may end in a mark, as İ does in lower case
+        ascii = word.isascii()
+        if not (word.isalpha() if ascii else self.letters(word)):  # others may end in a mark, as İ does in lower case
             ids = self._whole(piece).tobytes()
-        elif len(word) < len(piece):  # most such words are met once, and aren't held by themselves
-            ids = (self.known.get(word) or self.recent.get(word) or self._word(word)) + self.known[piece[len(word) :]]
-        else:
-            ids = self._word(word)
-        self.recent[piece] = ids
-        self.learned += _COST
+        else:  # most words before a mark are met once, and aren't held by themselves
+            marked = len(word) < len(piece)
+            if not marked or not (ids := self.known.get(word) or recent.get(word)):
+                if not self.plain:
+                    ids = self._whole(word).tobytes()
+                elif ascii:
+                    ids = array("I", [t.id for t in self.tokenize(word.lower())]).tobytes()
+                else:
+                    ids = self._alone(word)
+            if marked:
+                ids += self.known[piece[len(word) :]]
+        recent[piece] = ids
         return ids
 
     def many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
@@ -108,8 +112,9 @@ class Encoder:
         if not self.splits:
             return self._whole(text)
         if _COST * len(self.known) > self.keep:
-            self.known, self.recent, self.learned = _Remembered(self._new), self.known, 0
-        elif 2 * self.learned > self.keep:
-            self.recent, self.learned = {}, 0
+            self.known, self.recent = _Remembered(self._new), self.known
+            self.older = len(self.recent)
+        elif 2 * _COST * (len(self.recent) - self.older) > self.keep:
+            self.recent, self.older = {}, 0
         pieces = text.replace("\n", " ").split(" ")
         return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")

@@ -1,12 +1,14 @@
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from postgauge.llm import token_files as T
+from postgauge.llm import tokens
 from postgauge.llm.queries import QUERIES
 from postgauge.llm.tokens import Encoder
 from postgauge.session import fresh_path
@@ -105,3 +107,14 @@ def test_empty_table(spark, odd, tokenizer):
     path = fresh_path(spark, "none")
     T.write_token_files(odd.limit(0), path, tokenizer, end_id=2)
     assert T.read_token_files(spark, path).collect() == []
+
+
+def test_pieces_are_the_same_however_often_they_are_forgotten():
+    """Known, recent and forgotten pieces, marked words and letters of many bytes; every byte has its character in one table."""
+    assert len(tokens._BYTES) == len(set(tokens._BYTES)) == 256
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, plain = Encoder(path, 64 * tokens._COST), Encoder(path)
+    texts = ["Straße, naïve Ĳssel (word) words, words words! ёлка Ёлка", *(f"piece{chr(97 + k % 26) * (k % 9)} wÿrd{chr(0x430 + k % 32)}a," for k in range(400))]
+    for text in texts * 2:
+        assert encoder.ids(text).tolist() == plain._whole(text).tolist()
+        assert len(encoder.known) <= 64 + 20 and len(encoder.recent) - encoder.older <= 32 + 20
