@@ -13,7 +13,7 @@ from postgauge.functions import fixed
 from postgauge.operators.evaluation import binary_metrics, classification_report, confusion_matrix
 from postgauge.operators.models import predict
 from postgauge.plans.ledger import Ledger, digest_of, table_digest
-from postgauge.plans.training import FOREST, MAX_FIT_ROWS, bounded_rows, grow, labeled_sides
+from postgauge.plans.training import FOREST, bounded_rows, grow, labeled_sides
 from postgauge.sources.model_files import save_model, save_model_metadata
 from postgauge.stages.post_features import PostFeatures, PostFeaturesModel
 
@@ -48,7 +48,7 @@ def run_training(
     params: dict | None = None,
     seed: int = fixed.SEED,
     quality_labels: bool = True,
-    max_fit_rows: int | None = MAX_FIT_ROWS,
+    max_fit_rows: int | None = None,
 ) -> TrainingRun:
     """Label, featurise, train, evaluate and save, all below `folder`.
 
