@@ -18,8 +18,6 @@ from postgauge.session import materialise
 from postgauge.stages.post_features import PostFeatures
 
 FOREST = {"n_estimators": 100, "class_weight": "balanced", "max_depth": None, "min_samples_split": 2}
-# Rows a forest is grown from, about: deep trees grow with their rows, and live on the driver.
-MAX_FIT_ROWS = 1_000_000
 
 
 @dataclass
@@ -72,13 +70,13 @@ def train_evaluate(
     params: dict | None = None,
     seed: int = fixed.SEED,
     quality_labels: bool = True,
-    max_fit_rows: int | None = MAX_FIT_ROWS,
+    max_fit_rows: int | None = None,
 ) -> Training:
     """Train on one side, judge on the other.
 
-    A forest is grown from about `max_fit_rows` training rows, chosen by a seeded hash of their
-    ids, where there are more; None takes them all. Features are fitted, and the model is
-    judged, on all rows. `fit_rows` tells how many were used. With `oob_score` among the
+    Everything is fitted on all training rows. Only a caller that gives `max_fit_rows` has a forest
+    grown from about that many, chosen by a seeded hash of their ids; features are fitted, and
+    the model is judged, on all rows even then. `fit_rows` tells how many were used. With `oob_score` among the
     parameters the forest's bags are known, and the rows left out of them give that score.
 
     What comes from the texts is stored first: fitting, training and a lost executor

@@ -27,6 +27,11 @@ def posts(spark):
     return spark.createDataFrame(rows, "Id int, n double, Score double, OwnerUserId string")
 
 
+def test_train_evaluate_grows_from_all_rows_unless_a_caller_bounds_them(posts, bounds):
+    done = training.train_evaluate(posts, posts, PostFeatures(numericCols=["n"]), params=SMALL, quality_labels=False)
+    assert bounds == [None] and done.fit_rows == 60
+
+
 def test_a_run_grows_from_all_rows_unless_a_caller_bounds_them(spark, posts, bounds):
     folder = fresh_path(spark, "run")
     done = training_run.run_training(spark, folder, posts, posts, PostFeatures(numericCols=["n"]), params=SMALL, quality_labels=False)
