@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
 from postgauge.operators.evaluation import class_weights
 from postgauge.operators.forest import GROWN_ROWS, TREES_PER_BAG, BaggedForest, fit_bagged_forest, grow_stored, transformed
+from postgauge.operators.whole_forest import grow_whole
 from postgauge.session import materialise
 
 # The deepest tree Spark grows; stands in for "no limit".
 DEEPEST = 30
+# Rows up to which Spark's own forest is grown. For every node, however few its rows, it sums up the counts of all bins,
+# and of more than 10,000 rows it takes its thresholds from a sample.
+SPARK_ROWS = 1_000
 
 
 def make_classifier(algorithm: str = "random_forest", seed: int = fixed.SEED, rows: int = 1, params: dict | None = None):
@@ -43,23 +48,40 @@ def fit_classifier(
     params: dict | None = None,
     label: str = "label",
     features: str = "features",
+    row_id: str | None = None,
 ) -> Model:
     """Fit on rows with a 0/1 label; `class_weight: balanced` weighs classes by their size.
 
-    A forest of more than `GROWN_ROWS` rows times trees is grown and stored lot by lot.
+    A forest of more than `SPARK_ROWS` rows is grown from all of them by tasks, its bags chosen by `row_id` where there
+    is one; a smaller one of more than `GROWN_ROWS` rows times trees is grown and stored lot by lot.
     """
     params = params or {}
+    rows = df.count()
+    if algorithm == "random_forest" and rows > SPARK_ROWS:
+        grower = make_classifier(algorithm, seed, rows, params).setLabelCol(label).setFeaturesCol(features)
+        return grow_whole(_numbered(df, row_id, label, features), grower, row_id, shares_of(df, label, params), grower.getNumTrees() > 1)[0]
     data = df.select(F.col(label).cast("double").alias(label), features)
-    rows = data.count()
     classifier = make_classifier(algorithm, seed, rows, params).setLabelCol(label).setFeaturesCol(features)
     if params.get("class_weight") == "balanced":
         data = data.withColumn("weight", balanced(data, label))
         classifier = classifier.setWeightCol("weight")
     if algorithm == "random_forest" and rows * classifier.getNumTrees() > GROWN_ROWS and classifier.getNumTrees() > 1:
-        return grow_stored(materialise(data), classifier, max(1, GROWN_ROWS // rows))
+        ordered = data.repartition(1).sortWithinPartitions(vector_to_array(features), label)  # few rows, whose order decides their bags
+        return grow_stored(materialise(ordered), classifier, max(1, GROWN_ROWS // rows))
     return classifier.fit(data)
 
 
+def _numbered(df: DataFrame, row_id: str | None, label: str, features: str) -> DataFrame:
+    """Stored rows with what a forest is grown from, and their numbers."""
+    return materialise(df.select(*[row_id] if row_id else [], F.col(label).cast("int").alias(label), features, F.monotonically_increasing_id().alias("_row")))
+
+
+def shares_of(df: DataFrame, label: str, params: dict) -> dict[int, float]:
+    """The weights of classes that the parameters ask for."""
+    rows = class_weights(df, label).collect() if params.get("class_weight") == "balanced" else []  # one row for each class
+    return {int(r[label]): r["weight"] for r in rows}
+
+
 def balanced(df: DataFrame, label: str = "label") -> Column:
     """A row's weight by the size of its class."""
     weight = F.lit(1.0)

@@ -59,7 +59,7 @@ def grow(rows: DataFrame, row_id: str, algorithm: str, seed: int, params: dict,
     if algorithm == "random_forest" and params.get("oob_score"):
         forest = fit_forest_with_score(rows, row_id, seed, params, features=features)
         return forest.model, forest.oob_score
-    return fit_classifier(rows, algorithm, seed, params, features=features), None
+    return fit_classifier(rows, algorithm, seed, params, features=features, row_id=row_id), None
 
 
 def train_evaluate(
