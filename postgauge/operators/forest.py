@@ -222,6 +222,10 @@ def fit_bagged_forest(
     answers = parts.select("_row", n.alias("trees"), F.try_divide(ones, n).alias("share"))
     voters = data.select("_row", row_id, F.col(label).cast("int").alias(label)).join(answers, "_row", "left")
     votes = materialise(voters.select(row_id, label, F.coalesce("trees", F.lit(0)).alias("trees"), "share"))
+    return BaggedForest(PipelineModel([*models, VoteMean(inputCols=names)]), votes, out_of_bag_score(votes, label))
+
+
+def out_of_bag_score(votes: DataFrame, label: str) -> float | None:
+    """The share of right answers among rows that have one."""
     right = ((F.col("share") > 0.5).cast("int") == F.col(label)).cast("double")
-    score = votes.where("trees > 0").agg(F.avg(right)).first()[0]
-    return BaggedForest(PipelineModel([*models, VoteMean(inputCols=names)]), votes, score)
+    return votes.where("trees > 0").agg(F.avg(right)).first()[0]

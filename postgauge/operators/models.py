@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from postgauge.functions import fixed
 from postgauge.operators.evaluation import class_weights
-from postgauge.operators.forest import GROWN_ROWS, TREES_PER_BAG, BaggedForest, fit_bagged_forest, grow_stored, transformed
+from postgauge.operators.forest import GROWN_ROWS, TREES_PER_BAG, BaggedForest, fit_bagged_forest, grow_stored, out_of_bag_score, transformed
 from postgauge.operators.whole_forest import grow_whole
 from postgauge.session import materialise
 
@@ -96,10 +96,23 @@ def fit_forest_with_score(
     """A forest of known bags and its out-of-bag score: `oob_score` of the parameters."""
     params = params or {}
     grower = make_classifier("random_forest", seed, params=params).setLabelCol(label).setFeaturesCol(features)
+    if df.count() > SPARK_ROWS:
+        return _whole_with_score(df, grower, row_id, params)
     weight = balanced(df, label) if params.get("class_weight") == "balanced" else None
     return fit_bagged_forest(df, grower, row_id, weight, params.get("trees_per_bag", TREES_PER_BAG), seed)
 
 
+def _whole_with_score(df: DataFrame, grower: RandomForestClassifier, row_id: str, params: dict) -> BaggedForest:
+    label = grower.getLabelCol()
+    data = _numbered(df, row_id, label, grower.getFeaturesCol())
+    forest, answers = grow_whole(data, grower, row_id, shares_of(data, label, params), True, params.get("trees_per_bag", TREES_PER_BAG), score=True)
+    answers = answers.select(F.col("row").alias("_row"), F.col("trees").cast("int").alias("_trees"), "ones")
+    share = F.try_divide("ones", "_trees").alias("share")
+    voters = data.select("_row", row_id, label).join(answers, "_row", "left")
+    votes = materialise(voters.select(row_id, label, F.coalesce("_trees", F.lit(0)).alias("trees"), share))
+    return BaggedForest(PipelineModel([forest]), votes, out_of_bag_score(votes, label))
+
+
 def predict(model: Model, df: DataFrame) -> DataFrame:
     """Rows with a whole-number `prediction`."""
     scored = transformed(model, df).drop("rawPrediction", "probability")

@@ -83,6 +83,51 @@ def test_a_forest_depends_on_neither_order_nor_partitions(spark, rows, whole, mo
     assert sum(label == p for _, label, p in got) > 0.97 * 1500
 
 
+@pytest.mark.parametrize("unit", [10**6, 200])
+@pytest.mark.parametrize("per_bag", [1, 3])
+def test_score_is_that_of_trees_which_never_saw_the_row(spark, rows, whole, monkeypatch, unit, per_bag):
+    monkeypatch.setattr(W, "UNIT_ROWS", unit)
+    params = {"n_estimators": 8, "max_depth": 9, "trees_per_bag": per_bag, "oob_score": True}
+    done = models.fit_forest_with_score(rows, "Id", 5, params)
+    forest = done.model.stages[0]
+    plan = W.Plan.of(forest.plan)
+    ids = rows.select("Id", F.xxhash64("Id", F.lit(5)).alias("hash"), vector_to_array("features").alias("x"), "label").orderBy("Id").collect()
+    hashes, x = np.array([r["hash"] for r in ids]), np.array([r["x"] for r in ids]).astype(np.float32)
+    bins = np.stack([np.searchsorted(np.array(c, np.float32), x[:, i]) for i, c in enumerate(plan.cuts)], axis=1)
+    stored = {(r["unit"], r["tree"]): W.Nodes.of(bytes(r["data"])) for r in spark.read.parquet(forest.path).collect()}
+    ones, trees, every = np.zeros(1500), Counter(), np.zeros(1500)
+    for t, top in enumerate(plan.tops):
+        count, end = W.bag_counts(hashes, t // per_bag), top.nodes().ends(bins, np.zeros(1500))
+        for i in range(1500):
+            unit_, root = top.unit[end[i]], top.root[end[i]]
+            share = plan.closed.get(unit_)
+            if share is None:
+                nodes = stored[unit_, t]
+                share = nodes.share[nodes.ends(bins[i : i + 1], np.array([root]))][0]
+            every[i] += share
+            if count[i] == 0:
+                ones[i] += share
+                trees[i] += 1
+    got = {r["Id"]: (r["trees"], r["share"], r["label"]) for r in done.votes.collect()}
+    assert {i: got[i][0] for i in got} == {i: trees[i] for i in range(1500)}
+    judged = [i for i in range(1500) if trees[i]]
+    assert all(got[i][1] == pytest.approx(ones[i] / trees[i]) for i in judged) and all(got[i][1] is None for i in got if not trees[i])
+    right = sum((ones[i] / trees[i] > 0.5) == got[i][2] for i in judged) / len(judged)
+    assert done.oob_score == pytest.approx(right) and right > 0.9
+    assert [p for *_, p in answers(done.model, rows)] == [int(v > 4 + 1e-9) for v in every]
+
+
+def test_a_top_that_can_not_be_cut_is_an_end(spark, whole, monkeypatch):
+    """Rows that no feature tells apart are answered by their share, however many there are."""
+    monkeypatch.setattr(W, "UNIT_ROWS", 50)
+    df = spark.range(600).select(F.col("id").alias("Id"), (F.col("id") % 3 == 0).cast("int").alias("label"), F.when(F.col("id") < 300, 1.0).otherwise(2.0).alias("v"))
+    df = df.rdd.map(lambda r: (r[0], r[1], Vectors.dense([r[2]]))).toDF(["Id", "label", "features"])
+    done = models.fit_forest_with_score(df, "Id", 5, {"n_estimators": 4})
+    plan = W.Plan.of(done.model.stages[0].plan)
+    assert plan.closed and all(0.15 < s < 0.5 for s in plan.closed.values())
+    assert {p for *_, p in answers(done.model, df)} == {0} and done.oob_score == pytest.approx(2 / 3, abs=0.02)
+
+
 def test_least_rows_of_a_child(rows, whole, spark):
     model = models.fit_classifier(rows, params={"n_estimators": 1, "min_samples_split": 100})
     nodes = W.Nodes.of(bytes(spark.read.parquet(model.path).first()["data"]))
