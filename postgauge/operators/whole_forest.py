@@ -536,14 +536,14 @@ def _grown(blocks: DataFrame, plan: Plan, per_bag: int | None, how: Growth, scor
     """Rows of kind 0, the trees of a unit, and with `score` of kind 1, the votes for rows outside of their bags."""
     width, shared = len(plan.cuts), blocks.sparkSession.sparkContext.broadcast((plan.trees, plan.depths, plan.closed))
 
-    def votes(unit: int, block: Block, name: int, shares: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        ones, trees = np.zeros(len(block.row)), np.zeros(len(block.row))
+    def votes(unit: int, row: np.ndarray, name: int, shares: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        ones, trees = np.zeros(len(row)), np.zeros(len(row))
         for weight, share in shares:
             ones += np.where(weight == 0, share, 0)
             trees += weight == 0
         out = trees > 0
         if out.any():
-            yield _part(1, unit, name, 0, _votes(block.row[out], ones[out], trees[out]))
+            yield _part(1, unit, name, 0, _votes(row[out], ones[out], trees[out]))
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (of_unit, depths, closed), held = shared.value, {}
@@ -554,10 +554,11 @@ def _grown(blocks: DataFrame, plan: Plan, per_bag: int | None, how: Growth, scor
                     held.setdefault(unit, []).append((name, block))
                 elif score:
                     weight = _bag(of_unit[unit][0], per_bag, block.hash)
-                    yield from votes(unit, block, name, [(weight, np.full(len(weight), closed[unit]))])
+                    yield from votes(unit, block.row, name, [(weight, np.full(len(weight), closed[unit]))])
         for unit, parts in held.items():
             parts.sort(key=lambda p: p[0])
-            whole, shares = Block.joined([b for _, b in parts]), []
+            whole, sizes, shares = Block.joined([b for _, b in parts]), [(name, len(b.row)) for name, b in parts], []
+            parts.clear()  # the same rows once more
             for tree in of_unit[unit]:
                 weight = _bag(tree, per_bag, whole.hash)
                 nodes = grow_nodes(whole, weight, np.array(depths[unit]), how, _draw(how, tree, 0, unit))
@@ -567,9 +568,9 @@ def _grown(blocks: DataFrame, plan: Plan, per_bag: int | None, how: Growth, scor
                     share[out] = nodes.share[nodes.ends(whole.bins[out], whole.at[out])]
                     shares.append((weight, share))
             at = 0
-            for name, block in parts if score else ():
-                here = slice(at, at := at + len(block.row))
-                yield from votes(unit, block, name, [(w[here], s[here]) for w, s in shares])
+            for name, n in sizes if score else ():
+                here = slice(at, at := at + n)
+                yield from votes(unit, whole.row[here], name, [(w[here], s[here]) for w, s in shares])
 
     return _routed(blocks, plan).repartitionById(len(plan.trees), "unit").mapInArrow(grow, _PART)
 
